@@ -21,10 +21,10 @@ def uniform(key: Column, salt: str) -> Column:
     return hash32(key, salt) / F.lit(4294967296.0)
 
 
-def finite_or_zero(c: Column) -> Column:
-    """Null, NaN and both infinities become 0."""
-    bad = c.isNull() | F.isnan(c) | (F.abs(c) == F.lit(float("inf")))
-    return F.when(bad, F.lit(0.0)).otherwise(c)
+def finite_or_zero(c: str) -> str:
+    """SQL text: null, NaN and both infinities of a numeric column become 0."""
+    x = f"double(`{c}`)"
+    return f"if({x} is null or isnan({x}) or abs({x}) = double('inf'), 0.0d, {x})"
 
 
 def equal_width_bin(x: Column, low: Column, high: Column, n: int) -> Column:

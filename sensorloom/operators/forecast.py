@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.operators.ordered import arrange, number
+from sensorloom.session import freeze
 
 # Fixed values.
 HINGES = 25
@@ -85,19 +86,27 @@ def basis(time: Column, start: Column, end: Column) -> list[Column]:
 
 
 def _periods(points: DataFrame, by: Sequence[str]) -> DataFrame:
-    return points.groupBy(*by).agg(
+    """One row per key, written: it is joined to all readings and to the solved models."""
+    found = points.groupBy(*by).agg(
         F.min("time").alias("start"),
         F.max("time").alias("end"),
         F.count(F.lit(1)).alias("n"),
         F.max(F.abs("value")).alias("scale"),
     )
+    return freeze(found.where(F.col("n") >= MIN_POINTS), "periods")
 
 
 def _with_model(df: DataFrame, model: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Attach the model row of each key; a pooled model is a single row."""
+    """Attach the model row of each key; the single row of a pooled model as literals.
+
+    Without a pooled model no row is left, as in the join.
+    """
     if by:
         return df.join(model, list(by))
-    return df.withColumn("_all", F.lit(0)).join(model.withColumn("_all", F.lit(0)), "_all").drop("_all")
+    row = model.first()
+    if row is None:
+        return df.where("false").withColumns({f.name: F.lit(None).cast(f.dataType) for f in model.schema})
+    return df.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in model.schema})
 
 
 def moments(readings: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -106,7 +115,10 @@ def moments(readings: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     Index ``len(basis)`` is the value. Each task emits one row per pair and key it met.
     """
     points = usable_points(readings)
-    period = _periods(points, by).where(F.col("n") >= MIN_POINTS)
+    return _moments(points, _periods(points, by), by)
+
+
+def _moments(points: DataFrame, period: DataFrame, by: Sequence[str]) -> DataFrame:
     joined = _with_model(points.select(*by, "time", "value"), period.select(*by, "start", "end", "n"), by)
     width = len(basis_names())
     key = F.to_json(F.struct(*by)) if by else F.lit("")
@@ -136,6 +148,8 @@ def moments(readings: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     parts = wide.mapInArrow(products, "_key string, i bigint, j bigint, s double")
     sums = parts.groupBy("_key", "i", "j").agg(F.sum("s").alias("s"))
     counts = period.select(*by, "n", key.alias("_key"))
+    if not by:
+        return _with_model(sums, counts.select("n"), by).select("i", "j", (F.col("s") / F.col("n")).alias("moment"))
     return sums.join(counts, "_key").select(*by, "i", "j", (F.col("s") / F.col("n")).alias("moment"))
 
 
@@ -167,8 +181,8 @@ def _solver(by: Sequence[str]):
 def train_seasonal(readings: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Model table (by, start, end, n, coef, sigma); keys with fewer than 2 points have no row."""
     points = usable_points(readings)
-    period = _periods(points, by).where(F.col("n") >= MIN_POINTS)
-    system = _with_model(moments(points, by), period.select(*by, "n", "scale"), by)
+    period = _periods(points, by)
+    system = _with_model(_moments(points, period, by), period.select(*by, "n", "scale"), by)
     schema = ", ".join([*[f"{k} {dict(points.dtypes)[k]}" for k in by], "coef array<double>", "sigma double"])
     solved = system.groupBy(*by).applyInPandas(_solver(by), schema)
     return _with_model(solved, period.drop("scale"), by)

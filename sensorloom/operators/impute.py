@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.config import IMPUTATION_METHODS
 from sensorloom.operators.ordered import blocks, fill, number, running_sum
+from sensorloom.session import freeze
 
 SERIES = ["entity_id"]
 HALO_KNOTS = 40  # the influence of a knot decays by 3.7 per step: 40 knots are below double precision
@@ -28,7 +29,7 @@ def neighbour_mean(readings: DataFrame, keys: list[str] | None = None) -> DataFr
     feature, so the imputer falls back to the mean of the series.
     """
     keys = keys or SERIES
-    means = readings.groupBy(*keys).agg(F.avg("value").alias("_mean"))
+    means = freeze(readings.groupBy(*keys).agg(F.avg("value").alias("_mean")), "means")
     joined = readings.join(means, keys)
     return joined.withColumn("value", F.coalesce("value", "_mean")).drop("_mean")
 
@@ -92,7 +93,7 @@ def spline(arranged: DataFrame, keys: list[str] | None = None, block_knots: int
     rows = number(arranged, keys)
     known = F.col("value").isNotNull()
     rows = running_sum(rows, keys, {"knot": known.cast("bigint")})
-    counts = rows.groupBy(*keys).agg(F.count("value").alias("_knots"))
+    counts = freeze(rows.groupBy(*keys).agg(F.count("value").alias("_knots")), "knots")
     rows = rows.join(counts, keys)
 
     knots = rows.where(known & (F.col("_knots") >= 4)).select(*keys, "rn", "knot", "value")

@@ -37,14 +37,15 @@ def nearest_label(
 ) -> DataFrame:
     """As-of join in both directions: the label of the reading closest in time.
 
-    The earlier reading wins a tie, and the first row wins among equal times. Both tables go
-    into one ordered pass; there is no range condition and no pair of rows to test.
+    The earlier reading wins a tie, and the first row wins among equal times. The distinct
+    times of both tables go into one ordered pass; there is no range condition and no pair of
+    rows to test. The answer per time is then joined back to the points.
     """
     seen = _first_per_time(readings, keys, label).select(
-        *keys, "time", F.struct("time", F.col("_seen.label")).alias("_seen"), F.lit(None).alias("_point")
+        *keys, "time", F.struct("time", F.col("_seen.label")).alias("_seen"), F.lit(True).alias("_kind")
     )
-    asked = points.select(*keys, F.col(at).alias("time"), F.struct("*").alias("_point"))
-    union = asked.unionByName(seen, allowMissingColumns=True).withColumn("_kind", F.col("_point").isNull())
+    asked = points.select(*keys, F.col(at).alias("time")).distinct().withColumn("_kind", F.lit(False))
+    union = asked.unionByName(seen, allowMissingColumns=True)
     # Points sort before the reading of the same time, which is then the next one, at distance 0.
     placed = arrange(union, keys, ["time", "_kind"], partitions)
     placed = fill(placed, keys, {"_prev": "_seen"})
@@ -54,8 +55,9 @@ def nearest_label(
         return F.abs(F.timestamp_diff("MICROSECOND", F.col(f"{c}.time"), F.col("time")))
 
     use_prev = F.col("_next").isNull() | (distance("_prev") <= distance("_next"))
-    label_value = F.when(use_prev, F.col("_prev.label")).otherwise(F.col("_next.label"))
-    return placed.where("_point is not null").select("_point.*", label_value.cast("int").alias(label))
+    nearest = F.when(use_prev, F.col("_prev.label")).otherwise(F.col("_next.label"))
+    answers = placed.where(~F.col("_kind")).select(*keys, F.col("time").alias(at), nearest.cast("int").alias(label))
+    return points.join(answers, [*keys, at], "left")
 
 
 def binary_label(label: Column) -> Column:

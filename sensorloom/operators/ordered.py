@@ -45,7 +45,11 @@ def arrange(df: DataFrame, keys: Sequence[str], order: Sequence[str], partitions
 
 
 def _joined(df: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
-    # Catalyst broadcasts the summary only if its measured size allows it.
+    """Add the carry of each (series, chunk).
+
+    The windows of the callers need the rows by (series, chunk) as well, so where the summary
+    is too large to broadcast the join and the window share one shuffle.
+    """
     return df.join(summary, [*keys, CHUNK])
 
 
@@ -58,13 +62,17 @@ def local_window(keys: Sequence[str]):
 
 
 def number(arranged: DataFrame, keys: Sequence[str], out: str = "rn", total: str | None = None) -> DataFrame:
-    """1-based row number within ``keys`` (any refinement of the arranged keys by order)."""
+    """1-based row number within ``keys`` (any refinement of the arranged keys by order).
+
+    Only the summary is aggregated and written; the rows themselves are not shuffled unless
+    the summary outgrows a broadcast.
+    """
     spans = arranged.groupBy(*keys, CHUNK).agg(F.min(POS).alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = F.coalesce(F.sum("_n").over(_earlier(keys).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     kept = [*keys, CHUNK, (F.col("_first") - before).alias("_shift")]
     if total:
         kept.append(F.sum("_n").over(Window.partitionBy(*(keys or [F.lit(0)]))).alias(total))
-    numbered = _joined(arranged, spans.select(*kept), keys)
+    numbered = _joined(arranged, freeze(spans.select(*kept), "spans"), keys)
     return numbered.withColumn(out, F.col(POS) - F.col("_shift") + 1).drop("_shift")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.functions.columns import minutes_between
 from sensorloom.operators.ordered import CHUNK, POS, arrange, previous, running_sum
+from sensorloom.session import freeze
 
 SERIES = ["entity_id"]
 ORDER = ["time", "row_key"]
@@ -104,7 +105,7 @@ def time_split(cleaned: DataFrame, test_size_days: int) -> DataFrame:
     the finer series (entity_id, split).
     """
     cut = F.max("time") - F.make_dt_interval(F.lit(test_size_days))
-    cuts = cleaned.groupBy("entity_id").agg(cut.alias("_cut"))
+    cuts = freeze(cleaned.groupBy("entity_id").agg(cut.alias("_cut")), "cuts")
     label = F.when(F.col("time") < F.col("_cut"), "train").otherwise("test")
     return cleaned.join(cuts, "entity_id").withColumn("split", label).drop("_cut")
 

@@ -15,13 +15,14 @@ from sensorloom.sources.readings import require_columns
 def model_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """The named features in order, null and infinite values as 0, other columns kept."""
     require_columns(df, list(names))
-    return df.withColumns({n: finite_or_zero(F.col(n).cast("double")) for n in names})
+    wanted = set(names)
+    return df.selectExpr(*[f"{finite_or_zero(c)} as {c}" if c in wanted else c for c in df.columns])
 
 
 def fit_scaler(features: DataFrame, names: Sequence[str]) -> DataFrame:
     """scaler(feature, mean, std) with the population deviation, in one aggregation."""
     cleaned = model_columns(features, names)
-    aggs = [a for n in names for a in (F.avg(n).alias(f"mean_{n}"), F.stddev_pop(n).alias(f"std_{n}"))]
+    aggs = [F.expr(f"{f}({n}) as {p}_{n}") for n in names for f, p in (("avg", "mean"), ("stddev_pop", "std"))]
     return per_feature(cleaned.agg(*aggs), names, ["mean", "std"])
 
 
@@ -33,8 +34,10 @@ def scaler_values(scaler: DataFrame) -> dict[str, tuple[float, float]]:
 def scale(features: DataFrame, names: Sequence[str], scaler: dict[str, tuple[float, float]]) -> DataFrame:
     """(x - mean) / std; a column without spread is only centred."""
     cleaned = model_columns(features, names)
-    scaled = {}
-    for n in names:
+
+    def scaled(n: str) -> str:
         mean, std = scaler[n]
-        scaled[n] = (F.col(n) - F.lit(mean)) / F.lit(std if std else 1.0)
-    return cleaned.withColumns(scaled)
+        return f"({n} - double('{mean!r}')) / double('{std or 1.0!r}') as {n}"
+
+    wanted = set(names)
+    return cleaned.selectExpr(*[scaled(c) if c in wanted else c for c in cleaned.columns])

@@ -17,18 +17,16 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 def per_feature(row: DataFrame, names: Sequence[str], parts: Sequence[str]) -> DataFrame:
     """One-row table with columns ``<part>_<feature>`` to one row per feature."""
-    entries = [
-        F.struct(F.lit(n).alias("feature"), *[F.col(f"{p}_{n}").alias(p) for p in parts]) for n in names
-    ]
+    entry = lambda n: ", ".join([f"'feature', '{n}'", *[f"'{p}', {p}_{n}" for p in parts]])
+    entries = ", ".join(f"named_struct({entry(n)})" for n in names)
     shared = [c for c in row.columns if c not in {f"{p}_{n}" for n in names for p in parts}]
-    return row.select(*shared, F.explode(F.array(*entries)).alias("e")).select("e.*", *shared)
+    return row.selectExpr(*shared, f"explode(array({entries})) as e").select("e.*", *shared)
 
 
 def feature_statistics(features: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """Mean and sample deviation of every numeric column, and the number of windows."""
     names = list(names or numeric_columns(features))
-    aggs = [F.avg(n).cast("double").alias(f"mean_{n}") for n in names]
-    aggs += [F.stddev_samp(n).alias(f"std_{n}") for n in names]
+    aggs = [F.expr(f"{f}({n}) as {p}_{n}") for n in names for f, p in (("avg", "mean"), ("stddev_samp", "std"))]
     row = features.agg(F.count(F.lit(1)).alias("n_windows"), *aggs)
     return per_feature(row, names, ["mean", "std"])
 

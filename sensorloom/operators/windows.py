@@ -90,20 +90,17 @@ def with_features(windows: DataFrame, names: Sequence[str] | None = None) -> Dat
     Groups that no requested feature needs are not evaluated.
     """
     names = list(names if names is not None else MODEL_FEATURES)
-    meta = {"mean_oxygen": "mean", "std_oxygen": "std"}
-    ends = {"min_oxygen": F.array_min("values"), "max_oxygen": F.array_max("values")}
-    group_of = {f: g for g, fs in GROUPS.items() for f in fs}
-    needed = {group_of[meta.get(n, n)] for n in names if meta.get(n, n) in group_of}
-    wide = windows.withColumns({f"_{g}": group_struct(g, F.col("values")) for g in sorted(needed)}) if needed else windows
-    columns = []
-    for n in names:
-        source = meta.get(n, n)
-        if source in group_of:
-            columns.append(F.col(f"_{group_of[source]}")[source].alias(n))
-        else:
-            columns.append(ends[n].alias(n) if n in ends else F.col(n))
+    source = {f: f"_{g}.{f}" for g, fs in GROUPS.items() for f in fs}
+    source |= {
+        "mean_oxygen": "_distribution.mean",
+        "std_oxygen": "_distribution.std",
+        "min_oxygen": "array_min(values)",
+        "max_oxygen": "array_max(values)",
+    }
+    needed = [g for g in GROUPS if any(source.get(n, n).startswith(f"_{g}.") for n in names)]
+    wide = windows.withColumns({f"_{g}": group_struct(g, F.col("values")) for g in needed}) if needed else windows
     keep = [c for c in windows.columns if c != "values" and c not in names]
-    return wide.select(*keep, *columns)
+    return wide.selectExpr(*keep, *[f"{source.get(n, n)} as {n}" for n in names])
 
 
 def extract_features(

@@ -43,6 +43,8 @@ SURROGATE = ["mean_oxygen", "std_oxygen", "min_oxygen", "max_oxygen", "range", "
 CONTAMINATION = 0.07
 CORRELATED = [*SURROGATE, "n_points", "skewness", "kurtosis", "entropy"]
 FAULT_SHARE = 0.1
+# Whole microseconds in minutes or hours: 10 decimals never end in an exact half.
+DURATIONS = ("gap_minutes", "max_gap_minutes", "time_span_hours")
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,9 +59,13 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    return df.withColumns({c: F.round(c, digits) + F.lit(0.0) for c in doubles}) if doubles else df
+def rounded(df: DataFrame) -> DataFrame:
+    def shown(f: T.StructField) -> str:
+        if not isinstance(f.dataType, T.DoubleType):
+            return f"`{f.name}`"
+        return f"round(`{f.name}`, {10 if f.name in DURATIONS else 6}) + 0.0d as `{f.name}`"
+
+    return df.selectExpr(*[shown(f) for f in df.schema.fields])
 
 
 def _arranged(spark: SparkSession, sf_dir: str, variant: str = "plain") -> DataFrame:
@@ -592,7 +598,8 @@ def hourly_resample_by_entity(spark, sf_dir):
 
 @query
 def future_grid(spark, sf_dir):
-    return forecast.future_grid(_train(spark, sf_dir), 7 * 24 * 60)
+    grid = forecast.future_grid(_train(spark, sf_dir), 7 * 24 * 60)
+    return grid.withColumn("step", F.coalesce("step", F.lit(0)))
 
 
 def _hour_table(train: DataFrame) -> DataFrame:
@@ -676,7 +683,7 @@ def preprocessing_job(spark, sf_dir):
     """Clean, segment, split, inject: rows per series and part with their labels."""
     done = jobs.run_preprocessing(read_events(spark, sf_dir, "nulls"), _config())
     return done.rows.groupBy(*SPLIT).agg(
-        F.count(F.lit(1)).alias("n"), F.max("segment_id").alias("last_segment"), F.sum("anomaly_label").cast("bigint").alias("n_labelled")
+        F.count(F.lit(1)).alias("n"), F.max("segment_id").alias("last_segment"), F.count_if(F.col("anomaly_label") == 1).alias("n_labelled")
     )
 
 

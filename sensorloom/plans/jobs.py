@@ -64,9 +64,9 @@ def run_feature_extraction(
     spark = prepared.rows.sparkSession
     path = f"{path}/{config.feature_hash()}"
     rows = prepared.rows
-    if not force:
-        missing, _ = store.check_features(spark, path, rows.select("entity_id").distinct())
-        rows = rows.join(missing, "entity_id", "left_semi")
+    have = freeze(store.stored_entities(spark, path), "stored")
+    if not force and not have.isEmpty():
+        rows = rows.join(have, "entity_id", "left_anti")
     if not rows.isEmpty():
         store.write_features(features_of(rows, config), path)
     return store.read_features(spark, path)

@@ -11,7 +11,7 @@ from sensorloom.functions import window_features as wf
 from sensorloom.operators import forecast as fc
 from sensorloom.operators.inject import FAULTS
 from sensorloom.operators.windows import MODEL_FEATURES
-from sensorloom.plans.catalog import CONTAMINATION, CORRELATED, FAULT_SHARE, MAX_GAP, SURROGATE
+from sensorloom.plans.catalog import CONTAMINATION, CORRELATED, DURATIONS, FAULT_SHARE, MAX_GAP, SURROGATE
 
 VALUES = {
     "plain": "value",
@@ -24,7 +24,7 @@ STEPS = 7 * 24 * 60
 
 
 def r6(expression: str, name: str) -> str:
-    return f"round({expression}, 6) + 0.0 AS {name}"
+    return f"round({expression}, {10 if name in DURATIONS else 6}) + 0.0 AS {name}"
 
 
 def readings(variant: str = "plain") -> str:
@@ -504,10 +504,10 @@ SELECT lo.row_key AS event_id, (CASE WHEN hi.bk IS NULL OR (lo.bk IS NOT NULL AN
     sql["hourly_resample"] = with_(rn) + f"SELECT {hour}, {r6('avg(value)', 'hourly_mean')} FROM r WHERE value IS NOT NULL GROUP BY 1"
     sql["hourly_resample_by_entity"] = with_(rn) + f"""SELECT entity_id, {hour}, {r6("avg(value)", "hourly_mean")} FROM r
       WHERE value IS NOT NULL GROUP BY 1, 2"""
-    sql["future_grid"] = with_(r, SPLIT, GRID) + "SELECT timestamp, step FROM gr"
+    sql["future_grid"] = with_(r, SPLIT, GRID) + "SELECT timestamp, coalesce(step, 0) AS step FROM gr"
     sql["step_hold_blend"] = with_(r, SPLIT, GRID) + f"""SELECT step, timestamp,
       {r6("0.6::DOUBLE * forecast_point + 0.4::DOUBLE * hv", "ensemble_point")} FROM fo
-      JOIN (SELECT hour(time) AS h, avg(value) AS hv FROM tr GROUP BY 1) ON h = least((step - 1) // 60, 23)"""
+      JOIN (SELECT hour(time) AS h, avg(value) AS hv FROM tr GROUP BY 1) ON h = least((step - 1) // 60, 23) WHERE step IS NOT NULL"""
     sql["forecast_metrics"] = with_(r, SPLIT, GRID, """al AS (
   SELECT s.value AS a, forecast_point AS f FROM s JOIN fo ON date_trunc('minute', s.time) = date_trunc('minute', fo.timestamp)
   WHERE split = 'test' AND step IS NOT NULL)""") + ERRORS
@@ -525,6 +525,6 @@ SELECT lo.row_key AS event_id, (CASE WHEN hi.bk IS NULL OR (lo.bk IS NOT NULL AN
         "r AS (SELECT * FROM r0)",
         SEGMENTS,
         _injection().replace("FROM r)", "FROM sg)", 1),
-    ) + """SELECT s.entity_id, s.split, count(*) AS n, max(segment_id) AS last_segment, sum(x.anomaly_label)::BIGINT AS n_labelled
+    ) + """SELECT s.entity_id, s.split, count(*) AS n, max(segment_id) AS last_segment, coalesce(sum(x.anomaly_label), 0)::BIGINT AS n_labelled
       FROM s LEFT JOIN x USING (row_key) GROUP BY s.entity_id, s.split"""
     return sql

@@ -36,7 +36,10 @@ def freeze(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
     Used where later steps must agree on a placement that Spark would otherwise sample
-    again on recomputation, and where a costly result is read more than once.
+    again on recomputation, where a costly result is read more than once, and for summaries
+    that are joined to a large table: Catalyst knows the size of a written table, so it plans
+    a broadcast up to ``spark.sql.autoBroadcastJoinThreshold`` and does not shuffle the large
+    side before it has seen how small the other one is.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
