@@ -16,6 +16,11 @@ def hash32(key: Column, salt: str) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
+def uniform52(text: Column) -> Column:
+    """Reproducible uniform number in [0, 1) with 52 bits, for tables of any size."""
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint").cast("double") / F.lit(float(1 << 52))
+
+
 def uniform(key: Column, salt: str) -> Column:
     """Reproducible uniform number in [0, 1)."""
     return hash32(key, salt) / F.lit(4294967296.0)

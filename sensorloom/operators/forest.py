@@ -7,6 +7,7 @@ scoring task gets whole.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sensorloom.functions.columns import uniform52
 from sensorloom.operators.quantile import exact_quantile
 from sensorloom.operators.scaling import fit_scaler, scale, scaler_values
 from sensorloom.session import freeze
@@ -53,6 +55,12 @@ def average_path(n: np.ndarray | float) -> np.ndarray:
     return np.where(n > 2, path, np.where(n == 2, 1.0, 0.0))
 
 
+def _row_text(rows: DataFrame, ids: Sequence[str]):
+    kinds = dict(rows.dtypes)
+    parts = [F.unix_micros(c) if kinds[c] == "timestamp" else F.col(c) for c in ids]
+    return F.concat_ws("|", *[p.cast("string") for p in parts])
+
+
 def sample_rows(rows: DataFrame, ids: Sequence[str], n_rows: int, trees: int, size: int, seed: int) -> DataFrame:
     """``size`` random rows for each tree, without replacement: the input plus a ``tree`` column.
 
@@ -61,26 +69,32 @@ def sample_rows(rows: DataFrame, ids: Sequence[str], n_rows: int, trees: int, si
     large tables a row falls into one slice at most, so nothing is multiplied.
     """
     share = min(1.0, OVERSAMPLE * size / n_rows)
-    key = F.xxhash64(F.lit(seed), *ids)
-    u = F.pmod(key, F.lit(1 << 52)) / F.lit(float(1 << 52))
+    placed = rows.withColumn("_id", _row_text(rows, ids))
+    placed = placed.withColumn("_u", uniform52(F.concat(F.lit(f"{seed}|"), "_id")))
     if share * trees <= 1:
-        tree = F.floor(u / F.lit(share)).cast("int")
-        drawn = rows.withColumn("tree", tree).where(F.col("tree") < trees)
+        tree = F.floor(F.col("_u") / F.lit(share)).cast("int")
+        drawn = placed.withColumn("tree", tree).where(F.col("tree") < trees)
     else:
-        own_slice = lambda t: F.pmod(u - t * F.lit(share), F.lit(1.0)) < share
-        every = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), own_slice)
-        drawn = rows.withColumn("tree", F.explode(every))
-    order = Window.partitionBy("tree").orderBy(F.xxhash64(F.lit(seed), "tree", *ids), *ids)
-    return drawn.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= size).drop("_rank")
+        inside = f"filter(sequence(0, {trees - 1}), t -> _u - t * {share!r}d - floor(_u - t * {share!r}d) < {share!r}d)"
+        drawn = placed.withColumn("tree", F.explode(F.expr(inside)))
+    drawn = drawn.withColumn("_order", uniform52(F.concat_ws("|", F.lit(seed), "tree", "_id")))
+    first = Window.partitionBy("tree").orderBy("_order", "_id")
+    return drawn.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= size).drop(
+        "_rank", "_u", "_id", "_order"
+    )
+
+
+def _draw(seed: int, tree: int, node: int, what: str) -> float:
+    digest = hashlib.md5(f"{seed}|{tree}|{node}|{what}".encode()).hexdigest()
+    return int(digest[:13], 16) / (1 << 52)
 
 
 def _grow(names: Sequence[str], max_depth: int, seed: int):
     def grow(sample: pd.DataFrame) -> pd.DataFrame:
+        """Nodes are numbered as in a heap: the children of k are 2k and 2k + 1."""
         tree = int(sample["tree"].iloc[0])
-        rng = np.random.default_rng([seed, tree])
         x = sample[list(names)].to_numpy(float)
-        nodes, todo = [], [(0, np.arange(len(x)), 0)]
-        created = 1
+        nodes, todo = [], [(1, np.arange(len(x)), 0)]
         while todo:
             node, rows, depth = todo.pop()
             part = x[rows]
@@ -89,17 +103,22 @@ def _grow(names: Sequence[str], max_depth: int, seed: int):
             if depth == max_depth or not len(usable):
                 nodes.append((tree, node, -1, 0.0, -1, -1, depth, len(rows)))
                 continue
-            feature = int(rng.choice(usable))
-            cut = rng.uniform(low[feature], high[feature])
+            feature = int(usable[int(_draw(seed, tree, node, "feature") * len(usable))])
+            cut = low[feature] + _draw(seed, tree, node, "cut") * (high[feature] - low[feature])
             goes_left = part[:, feature] <= cut
-            nodes.append((tree, node, feature, cut, created, created + 1, depth, len(rows)))
-            todo += [(created, rows[goes_left], depth + 1), (created + 1, rows[~goes_left], depth + 1)]
-            created += 2
+            nodes.append((tree, node, feature, cut, 2 * node, 2 * node + 1, depth, len(rows)))
+            todo += [(2 * node, rows[goes_left], depth + 1), (2 * node + 1, rows[~goes_left], depth + 1)]
         return pd.DataFrame(nodes, columns=[c.split()[0] for c in NODES.split(", ")])
 
     return grow
 
 
+def steady(scaled: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Features on 9 decimals, so that no tree splits on rounding noise."""
+    wanted = set(names)
+    return scaled.selectExpr(*[f"round({c}, 9) as {c}" if c in wanted else c for c in scaled.columns])
+
+
 def grow_forest(sample: DataFrame, names: Sequence[str], size: int, seed: int) -> DataFrame:
     depth = max(1, math.ceil(math.log2(size)))
     rows = sample.select("tree", *names)
@@ -109,16 +128,18 @@ def grow_forest(sample: DataFrame, names: Sequence[str], size: int, seed: int) -
 def _flat(nodes: pd.DataFrame):
     """All trees in one set of arrays; leaves point to themselves and carry their path length."""
     nodes = nodes.sort_values(["tree", "node"]).reset_index(drop=True)
-    start = nodes.groupby("tree").size().cumsum().shift(fill_value=0)
-    base = nodes["tree"].map(start).to_numpy()
+    at = pd.Series(nodes.index, index=pd.MultiIndex.from_frame(nodes[["tree", "node"]]))
     leaf = (nodes["feature"] < 0).to_numpy()
     here = np.arange(len(nodes))
-    left = np.where(leaf, here, nodes["left"].to_numpy() + base)
-    right = np.where(leaf, here, nodes["right"].to_numpy() + base)
+
+    def child(side: str) -> np.ndarray:
+        found = at.reindex(pd.MultiIndex.from_frame(nodes[["tree", side]])).to_numpy()
+        return np.where(leaf, here, np.nan_to_num(found)).astype(np.int64)
+
     path = nodes["depth"].to_numpy() + average_path(nodes["size"].to_numpy())
     feature = np.where(leaf, 0, nodes["feature"].to_numpy())
-    roots = start.to_numpy()
-    return roots, feature, nodes["threshold"].to_numpy(), left, right, path, int(nodes["depth"].max())
+    roots = here[nodes["node"] == 1]
+    return roots, feature, nodes["threshold"].to_numpy(), child("left"), child("right"), path, int(nodes["depth"].max())
 
 
 def raw_scores(scaled: DataFrame, names: Sequence[str], nodes: DataFrame, sample_size: int, out: str) -> DataFrame:
@@ -158,7 +179,7 @@ def fit_forest(
     read for the scaler, for the samples and for the scores.
     """
     scaler = freeze(fit_scaler(features, names), "scaler")
-    scaled = scale(features, names, scaler_values(scaler))
+    scaled = steady(scale(features, names, scaler_values(scaler)), names)
     n_rows = features.count()
     if not n_rows:
         raise ValueError("no training rows")
@@ -177,6 +198,6 @@ def score_rows(features: DataFrame, model: ForestModel, refit: bool = False) ->
     ``refit`` scales by the scored rows themselves instead of the training rows.
     """
     scaler = fit_scaler(features, model.names) if refit else model.scaler
-    scaled = scale(features, model.names, scaler_values(scaler))
+    scaled = steady(scale(features, model.names, scaler_values(scaler)), model.names)
     scored = raw_scores(scaled, model.names, model.nodes, model.sample_size, "_raw")
     return scored.withColumn("anomaly_score", F.col("_raw") - F.lit(model.offset)).drop("_raw", *model.names)

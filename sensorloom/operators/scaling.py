@@ -12,6 +12,9 @@ from sensorloom.operators.stats import per_feature
 from sensorloom.sources.readings import require_columns
 
 
+NO_SPREAD = 1e-12  # below this a deviation is rounding noise of a constant column
+
+
 def model_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """The named features in order, null and infinite values as 0, other columns kept."""
     require_columns(df, list(names))
@@ -37,7 +40,7 @@ def scale(features: DataFrame, names: Sequence[str], scaler: dict[str, tuple[flo
 
     def scaled(n: str) -> str:
         mean, std = scaler[n]
-        return f"({n} - double('{mean!r}')) / double('{std or 1.0!r}') as {n}"
+        return f"({n} - double('{mean!r}')) / double('{std if std > NO_SPREAD else 1.0!r}') as {n}"
 
     wanted = set(names)
     return cleaned.selectExpr(*[scaled(c) if c in wanted else c for c in cleaned.columns])

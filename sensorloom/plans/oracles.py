@@ -46,7 +46,7 @@ SEGMENTS = f"""{GAPS}, sg AS (
 
 
 def with_(*parts: str) -> str:
-    return "WITH " + ",\n".join(parts) + "\n"
+    return "WITH RECURSIVE " + ",\n".join(parts) + "\n"
 
 
 def windows(source: str, keys: list[str], size: int = 60, step: int = 1) -> str:
@@ -271,6 +271,123 @@ sd_ AS (
   FROM rw, off WHERE split = 'test')"""
 
 
+TREES, SAMPLE, SEED, DEPTH = 100, 256, 42, 8
+
+
+def _u52(text: str) -> str:
+    return f"(('0x' || substr(md5({text}), 1, 13))::BIGINT::DOUBLE / {float(1 << 52)!r}::DOUBLE)"
+
+
+def _path(n: str) -> str:
+    return (
+        f"(CASE WHEN {n} > 2 THEN 2 * (ln({n} - 1.0::DOUBLE) + 0.5772156649::DOUBLE) - 2 * ({n} - 1.0::DOUBLE) / {n}"
+        f" WHEN {n} = 2 THEN 1.0 ELSE 0.0 END)"
+    )
+
+
+def _forest(train: str, scored: str) -> str:
+    """Grow the forest on the windows of ``train`` level by level and score ``train`` and ``scored``.
+
+    sd_: windows of ``scored`` with score and flag; td_: the same for the training windows.
+    """
+    n_features = len(MODEL_FEATURES)
+    safe = lambda c: f"(CASE WHEN {c} IS NULL OR isnan({c}::DOUBLE) OR isinf({c}::DOUBLE) THEN 0 ELSE {c} END)::DOUBLE"
+    fit = ", ".join(f"avg({safe(c)}) AS m_{c}, stddev_pop({safe(c)}) AS s_{c}" for c in MODEL_FEATURES)
+    # A column whose spread is rounding noise has none.
+    scaled = ", ".join(
+        f"round(({safe(c)} - m_{c}) / (CASE WHEN s_{c} < 1e-12 THEN 1 ELSE s_{c} END), 9)" for c in MODEL_FEATURES
+    )
+    levels = []
+    for d in range(DEPTH):
+        u = lambda what: _u52(f"'{SEED}|' || tree || '|' || node || '|{what}'")
+        levels.append(f"""mm{d} AS MATERIALIZED (
+  SELECT tree, node, k, min(x) AS lo, max(x) AS hi FROM a{d} JOIN lx USING (id) GROUP BY tree, node, k HAVING max(x) > min(x)),
+ch{d} AS (SELECT tree, node, list_sort(list(k)) AS ks FROM mm{d} GROUP BY tree, node),
+sp{d} AS MATERIALIZED (
+  SELECT tree, node, k, lo + {u("cut")} * (hi - lo) AS cut
+  FROM (SELECT tree, node, ks[floor({u("feature")} * len(ks))::INT + 1] AS k FROM ch{d}) JOIN mm{d} USING (tree, node, k)),
+a{d + 1} AS MATERIALIZED (
+  SELECT a.id, a.tree, 2 * a.node + (x > cut)::INT AS node
+  FROM a{d} a JOIN sp{d} s USING (tree, node) JOIN lx ON lx.id = a.id AND lx.k = s.k)""")
+        levels.append(f"""d{d + 1} AS (
+  SELECT q.id, q.tree, CASE WHEN s.k IS NULL THEN q.node ELSE 2 * q.node + (x > cut)::INT END AS node
+  FROM d{d} q LEFT JOIN sp{d} s USING (tree, node) LEFT JOIN lx ON lx.id = q.id AND lx.k = s.k)""")
+    sizes = " UNION ALL ".join(f"SELECT tree, node, {d} AS depth, count(*) AS n FROM a{d} GROUP BY tree, node" for d in range(DEPTH + 1))
+    times = "entity_id, window_start, window_end, window_center"
+    return f"""bo AS (SELECT {times}, true AS is_train, * EXCLUDE ({times}) FROM {train}
+  UNION ALL BY NAME SELECT {times}, false AS is_train, * EXCLUDE ({times}) FROM {scored}),
+fit AS (SELECT {fit} FROM {train}),
+wx AS MATERIALIZED (
+  SELECT entity_id || '|' || epoch_us(window_start) AS rid, is_train || '|' || entity_id || '|' || epoch_us(window_start) AS id,
+         {times}, is_train, [{scaled}] AS xs FROM bo, fit),
+lx AS MATERIALIZED (SELECT id, unnest(xs) AS x, unnest(range({n_features})) AS k FROM wx),
+sh AS (SELECT least(1.0::DOUBLE, 4.0::DOUBLE * {SAMPLE} / count(*)) AS share FROM wx WHERE is_train),
+ring AS (
+  SELECT id, rid, tree FROM (SELECT id, rid, {_u52(f"'{SEED}|' || rid")} AS u, share, unnest(range({TREES})) AS tree
+                             FROM wx, sh WHERE is_train)
+  WHERE u - tree * share - floor(u - tree * share) < share),
+a0 AS MATERIALIZED (
+  SELECT id, tree, 1 AS node FROM (
+    SELECT id, tree, row_number() OVER (PARTITION BY tree ORDER BY {_u52(f"'{SEED}|' || tree || '|' || rid")}, rid) AS k FROM ring)
+  WHERE k <= {SAMPLE}),
+d0 AS (SELECT id, unnest(range({TREES})) AS tree, 1 AS node FROM wx),
+{", ".join(levels)},
+sz AS MATERIALIZED ({sizes}),
+rs AS MATERIALIZED (
+  SELECT id, -pow(2.0::DOUBLE, -avg(depth + {_path("n")}) / {_path(f"{SAMPLE}.0::DOUBLE")}) AS raw
+  FROM d{DEPTH} JOIN sz USING (tree, node) GROUP BY id),
+off AS (SELECT quantile_cont(raw, {CONTAMINATION}) AS o FROM rs JOIN wx USING (id) WHERE is_train),
+al_ AS (SELECT {times}, is_train, raw - o AS anomaly_score, (raw - o < 0)::INT AS flag FROM rs JOIN wx USING (id), off),
+sd_ AS (SELECT * FROM al_ WHERE NOT is_train), td_ AS (SELECT * FROM al_ WHERE is_train)"""
+
+
+def _spline() -> str:
+    """sy: every reading with its spline value; the tridiagonal system is swept by recursion."""
+    return f"""n AS (
+  SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY time, row_key) AS rn,
+         count(value) OVER (PARTITION BY entity_id ORDER BY time, row_key) AS seen FROM r),
+k AS (
+  SELECT entity_id, seen AS i, rn::DOUBLE AS x, value AS y, count(*) OVER e AS cnt,
+         lead(rn) OVER w - rn AS h, (lead(value) OVER w - value) / (lead(rn) OVER w - rn) AS s
+  FROM n WHERE value IS NOT NULL WINDOW e AS (PARTITION BY entity_id), w AS (PARTITION BY entity_id ORDER BY rn)),
+h3 AS (SELECT *, lag(h) OVER w AS hb, lag(h, 2) OVER w AS hbb, lead(h) OVER w AS hn, lag(s) OVER w AS sb
+       FROM k WINDOW w AS (PARTITION BY entity_id ORDER BY i)),
+sys AS MATERIALIZED (
+  SELECT entity_id, i, cnt, 6 * (s - sb) AS r,
+         hb - CASE WHEN i = cnt - 1 THEN h * h / hb ELSE 0 END AS a,
+         2 * (hb + h) + CASE WHEN i = 2 THEN hb + hb * hb / h ELSE 0 END + CASE WHEN i = cnt - 1 THEN h + h * h / hb ELSE 0 END AS b,
+         h - CASE WHEN i = 2 THEN hb * hb / h ELSE 0 END AS c
+  FROM h3 WHERE i BETWEEN 2 AND cnt - 1),
+fw AS (
+  SELECT entity_id, i, cnt, c / b AS cp, r / b AS rp FROM sys WHERE i = 2
+  UNION ALL
+  SELECT y.entity_id, y.i, y.cnt, y.c / (y.b - y.a * f.cp), (y.r - y.a * f.rp) / (y.b - y.a * f.cp)
+  FROM fw f JOIN sys y ON y.entity_id = f.entity_id AND y.i = f.i + 1),
+fm AS MATERIALIZED (SELECT * FROM fw),
+bw AS (
+  SELECT entity_id, i, rp AS m FROM fm WHERE i = cnt - 1
+  UNION ALL
+  SELECT f.entity_id, f.i, f.rp - f.cp * b.m FROM bw b JOIN fm f ON f.entity_id = b.entity_id AND f.i = b.i - 1),
+inner_ AS (SELECT entity_id, i, m FROM bw),
+ends AS (
+  SELECT h.entity_id, 1 AS i, m2.m - h.h / h.hn * (m3.m - m2.m) AS m FROM h3 h
+  JOIN inner_ m2 ON m2.entity_id = h.entity_id AND m2.i = 2 JOIN inner_ m3 ON m3.entity_id = h.entity_id AND m3.i = 3 WHERE h.i = 1
+  UNION ALL
+  SELECT h.entity_id, h.i, m2.m + h.hb / h.hbb * (m2.m - m3.m) FROM h3 h
+  JOIN inner_ m2 ON m2.entity_id = h.entity_id AND m2.i = h.cnt - 1
+  JOIN inner_ m3 ON m3.entity_id = h.entity_id AND m3.i = h.cnt - 2 WHERE h.i = h.cnt),
+mm AS (SELECT * FROM inner_ UNION ALL SELECT * FROM ends),
+pc AS (
+  SELECT k.entity_id, k.i, k.x, k.y, k.s - k.h * (2 * a.m + b.m) / 6 AS b, a.m / 2 AS c, (b.m - a.m) / (6 * k.h) AS d, k.cnt
+  FROM k JOIN mm a ON a.entity_id = k.entity_id AND a.i = k.i JOIN mm b ON b.entity_id = k.entity_id AND b.i = k.i + 1),
+sy AS (
+  SELECT n.row_key, n.entity_id,
+         CASE WHEN n.value IS NOT NULL THEN n.value
+              ELSE p.y + (n.rn - p.x) * (p.b + (n.rn - p.x) * (p.c + (n.rn - p.x) * p.d)) END AS value
+  FROM n JOIN (SELECT entity_id, max(cnt) AS cnt FROM k GROUP BY 1) t USING (entity_id)
+  JOIN pc p ON p.entity_id = n.entity_id AND p.i = least(greatest(n.seen, 1), t.cnt - 1))"""
+
+
 CONFUSION = """cm AS (
   SELECT count(*) FILTER (label = 0 AND flag = 0) AS tn, count(*) FILTER (label = 0 AND flag = 1) AS fp,
          count(*) FILTER (label = 1 AND flag = 0) AS fn, count(*) FILTER (label = 1 AND flag = 1) AS tp FROM sd_)"""
@@ -394,6 +511,7 @@ def build() -> dict[str, str]:
     sql["forward_fill"] = with_(rn) + f"SELECT row_key AS event_id, entity_id, {r6(last, 'value')} FROM r"
     sql["impute_knn"] = with_(rn) + f"SELECT row_key AS event_id, entity_id, {r6(mean, 'value')} FROM r"
     sql["impute_ensemble"] = sql["impute_knn"]
+    sql["impute_spline"] = with_(rn, _spline()) + f"SELECT row_key AS event_id, entity_id, {r6('value', 'value')} FROM sy"
     sql["missing_counts"] = with_(rn) + f"""SELECT entity_id, count(*) FILTER (value IS NULL) AS nulls_before,
       count(*) FILTER (filled IS NULL) AS nulls_after FROM (SELECT entity_id, value, {last} AS filled FROM r) GROUP BY entity_id"""
 
@@ -489,6 +607,15 @@ SELECT lo.row_key AS event_id, (CASE WHEN hi.bk IS NULL OR (lo.bk IS NOT NULL AN
     sql["run_summary"] = with_(r, SPLIT) + """SELECT count(DISTINCT entity_id) AS n_entities, count(DISTINCT entity_id) FILTER (c >= 60)
       AS n_successful FROM (SELECT entity_id, split, count(*) AS c FROM s GROUP BY ALL)"""
 
+    # forest
+    split_windows = ",\n".join([r, SPLIT, windows("s", ES), features(ES)])
+    halves = "ft AS (SELECT * FROM f WHERE split = 'train'), fs AS (SELECT * FROM f WHERE split = 'test')"
+    grown = with_(split_windows, halves, _forest("ft", "fs"), PREDICTIONS)
+    shown = f"""SELECT entity_id, {', '.join(TIMES)}, flag AS anomaly_prediction, {r6("anomaly_score", "anomaly_score")},
+      flag = 1 AS is_anomaly, severity_score, severity_high_is_bad FROM pr"""
+    sql["forest_scores"] = grown + shown
+    sql["forest_training_summary"] = grown + sql["detection_summary"][len(sur) :].replace("sd_", "td_")
+
     # stores
     trained = "SELECT entity_id FROM s WHERE split = 'train' GROUP BY entity_id HAVING count(*) >= 60"
     sql["feature_cache"] = with_(r, SPLIT) + f"""SELECT DISTINCT entity_id, CASE WHEN equipment = 'EQ0' AND entity_id IN ({trained})
