@@ -143,7 +143,10 @@ def _flat(nodes: pd.DataFrame):
 
 
 def raw_scores(scaled: DataFrame, names: Sequence[str], nodes: DataFrame, sample_size: int, out: str) -> DataFrame:
-    """-2^(-mean path / expected path): near -1 for rows that are isolated early."""
+    """-2^(-mean path / expected path): near -1 for rows that are isolated early.
+
+    On 12 decimals, so that equal scores do not depend on the order of the trees.
+    """
     flat = scaled.sparkSession.sparkContext.broadcast(_flat(nodes.toPandas()))  # trees x 511 nodes
     expected = float(average_path(sample_size))
 
@@ -158,7 +161,7 @@ def raw_scores(scaled: DataFrame, names: Sequence[str], nodes: DataFrame, sample
             for _ in range(depth):
                 node = np.where(x[row, feature[node]] <= threshold[node], left[node], right[node])
             total += path[node]
-        return pa.array(-(2.0 ** (-total / len(roots) / expected)))
+        return pa.array(np.round(-(2.0 ** (-total / len(roots) / expected)), 12))
 
     return scaled.withColumn(out, score(*[F.col(n) for n in names]))
 

@@ -334,7 +334,7 @@ d0 AS (SELECT id, unnest(range({TREES})) AS tree, 1 AS node FROM wx),
 {", ".join(levels)},
 sz AS MATERIALIZED ({sizes}),
 rs AS MATERIALIZED (
-  SELECT id, -pow(2.0::DOUBLE, -avg(depth + {_path("n")}) / {_path(f"{SAMPLE}.0::DOUBLE")}) AS raw
+  SELECT id, round(-pow(2.0::DOUBLE, -avg(depth + {_path("n")}) / {_path(f"{SAMPLE}.0::DOUBLE")}), 12) AS raw
   FROM d{DEPTH} JOIN sz USING (tree, node) GROUP BY id),
 off AS (SELECT quantile_cont(raw, {CONTAMINATION}) AS o FROM rs JOIN wx USING (id) WHERE is_train),
 al_ AS (SELECT {times}, is_train, raw - o AS anomaly_score, (raw - o < 0)::INT AS flag FROM rs JOIN wx USING (id), off),
@@ -654,4 +654,22 @@ SELECT lo.row_key AS event_id, (CASE WHEN hi.bk IS NULL OR (lo.bk IS NOT NULL AN
         _injection().replace("FROM r)", "FROM sg)", 1),
     ) + """SELECT s.entity_id, s.split, count(*) AS n, max(segment_id) AS last_segment, coalesce(sum(x.anomaly_label), 0)::BIGINT AS n_labelled
       FROM s LEFT JOIN x USING (row_key) GROUP BY s.entity_id, s.split"""
+    merged = """u AS (SELECT entity_id, split, time, row_key, value, NULL::INT AS anomaly_label FROM s
+    WHERE split = 'train' OR entity_id <> (SELECT min(entity_id) FROM s)
+  UNION ALL SELECT entity_id, split, time, row_key, value, anomaly_label FROM x)"""
+    labelled = """sl_ AS (SELECT q.*, coalesce(x.anomaly_label, 0) AS label FROM sd_ q
+  LEFT JOIN x ON x.entity_id = q.entity_id AND x.time = q.window_center)"""
+    sql["training_job"] = with_(
+        r, _injection(), merged, windows("u", ES), features(ES), halves, _forest("ft", "fs"), labelled,
+        CONFUSION.replace("sd_", "sl_"), AUC.replace("sd_", "sl_"),
+    ) + f"SELECT tn, fp, fn, tp, {PRF}, {r6('roc_auc', 'roc_auc')} FROM cm, au"
+    sources = f"""u AS (SELECT 'old' AS src, entity_id, split, time, row_key, value FROM s WHERE split = 'train'
+  UNION ALL SELECT 'new', entity_id, 'all', time, row_key, coalesce(v, avg(v) OVER (PARTITION BY entity_id))
+  FROM (SELECT *, CASE WHEN row_key % 17 = 0 THEN NULL ELSE value END AS v FROM r))"""
+    sk = ["src", *ES]
+    sql["inference_job"] = with_(
+        r, SPLIT, sources, windows("u", sk), features(sk),
+        "ft AS (SELECT * FROM f WHERE src = 'old'), fs AS (SELECT * FROM f WHERE src = 'new')",
+        _forest("ft", "fs"), PREDICTIONS,
+    ) + shown
     return sql
