@@ -92,7 +92,7 @@ def spline(arranged: DataFrame, keys: list[str] | None = None, block_knots: int
     keys = keys or SERIES
     rows = number(arranged, keys)
     known = F.col("value").isNotNull()
-    rows = running_sum(rows, keys, {"knot": known.cast("bigint")})
+    rows = freeze(running_sum(rows, keys, {"knot": known.cast("bigint")}), "knotted")
     counts = freeze(rows.groupBy(*keys).agg(F.count("value").alias("_knots")), "knots")
     rows = rows.join(counts, keys)
 
@@ -103,9 +103,8 @@ def spline(arranged: DataFrame, keys: list[str] | None = None, block_knots: int
     solved = cut.groupBy(*keys, "_block").applyInPandas(_pieces(keys), schema)
     pieces = solved.select(*keys, "rn", F.struct("x", "a", "b", "c", "d").alias("_piece"))
 
-    rows = rows.join(pieces, [*keys, "rn"], "left")
-    rows = fill(rows, keys, {"_left": "_piece", "_last": "value"})
-    rows = fill(rows, keys, {"_right": "_piece"}, forward=False)
+    rows = freeze(rows.join(pieces, [*keys, "rn"], "left"), "pieces")
+    rows = fill(rows, keys, {"_left": "_piece", "_last": "value"}, {"_right": "_piece"})
     p = F.coalesce("_left", "_right")
     t = F.col("rn") - p["x"]
     cubic = p["a"] + t * (p["b"] + t * (p["c"] + t * p["d"]))

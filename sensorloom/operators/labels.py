@@ -48,8 +48,7 @@ def nearest_label(
     union = asked.unionByName(seen, allowMissingColumns=True)
     # Points sort before the reading of the same time, which is then the next one, at distance 0.
     placed = arrange(union, keys, ["time", "_kind"], partitions)
-    placed = fill(placed, keys, {"_prev": "_seen"})
-    placed = unplaced(fill(placed, keys, {"_next": "_seen"}, forward=False))
+    placed = unplaced(fill(placed, keys, {"_prev": "_seen"}, {"_next": "_seen"}))
 
     def distance(c: str) -> Column:
         return F.abs(F.timestamp_diff("MICROSECOND", F.col(f"{c}.time"), F.col("time")))

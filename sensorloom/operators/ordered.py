@@ -9,6 +9,9 @@ carried by a summary with one row per (series, chunk):
 * running sums, previous row, last/next non-null value: chunk-local window + carry.
 
 The order columns should end in a unique key, so that equal times can be split as well.
+These operators read their input twice, for the summary and for the rows. Give them a written
+table: chained without one, every step would double the work before it.
+
 With exact row numbers, ``blocks`` cuts series into groups of a fixed number of rows plus the
 neighbours a row frame needs; these groups are bounded whatever the skew.
 """
@@ -103,25 +106,27 @@ def previous(arranged: DataFrame, keys: Sequence[str], cols: dict[str, str]) ->
     return out.drop("_carry")
 
 
-def fill(arranged: DataFrame, keys: Sequence[str], cols: dict[str, str], forward: bool = True) -> DataFrame:
-    """Nearest non-null value at or before (``forward``) or at or after each row."""
-    pick = F.max_by if forward else F.min_by
-    near = F.last if forward else F.first
-    ends = arranged.groupBy(*keys, CHUNK).agg(
-        *[pick(c, F.when(F.col(c).isNotNull(), F.col(POS))).alias(f"_e_{o}") for o, c in cols.items()]
-    )
-    beyond = (Window.unboundedPreceding, -1) if forward else (1, Window.unboundedFollowing)
-    within = (Window.unboundedPreceding, 0) if forward else (0, Window.unboundedFollowing)
-    carry = ends.select(
-        *keys,
-        CHUNK,
-        *[near(f"_e_{o}", ignorenulls=True).over(_earlier(keys).rowsBetween(*beyond)).alias(f"_c_{o}") for o in cols],
-    )
-    local = local_window(keys).rowsBetween(*within)
-    out = _joined(arranged, carry, keys).withColumns(
-        {o: F.coalesce(near(c, ignorenulls=True).over(local), F.col(f"_c_{o}")) for o, c in cols.items()}
-    )
-    return out.drop(*[f"_c_{o}" for o in cols])
+def fill(
+    arranged: DataFrame,
+    keys: Sequence[str],
+    forward: dict[str, str] | None = None,
+    backward: dict[str, str] | None = None,
+) -> DataFrame:
+    """Nearest non-null value at or before (``forward``) and at or after (``backward``) each row.
+
+    Both map output names to input columns; both directions take one pass.
+    """
+    wanted = [(o, c, True) for o, c in (forward or {}).items()] + [(o, c, False) for o, c in (backward or {}).items()]
+    ends, carried, filled = [], [], {}
+    for o, c, ahead in wanted:
+        pick, near = (F.max_by, F.last) if ahead else (F.min_by, F.first)
+        beyond = (Window.unboundedPreceding, -1) if ahead else (1, Window.unboundedFollowing)
+        within = (Window.unboundedPreceding, 0) if ahead else (0, Window.unboundedFollowing)
+        ends.append(pick(c, F.when(F.col(c).isNotNull(), F.col(POS))).alias(f"_e_{o}"))
+        carried.append(near(f"_e_{o}", ignorenulls=True).over(_earlier(keys).rowsBetween(*beyond)).alias(f"_c_{o}"))
+        filled[o] = F.coalesce(near(c, ignorenulls=True).over(local_window(keys).rowsBetween(*within)), F.col(f"_c_{o}"))
+    carry = arranged.groupBy(*keys, CHUNK).agg(*ends).select(*keys, CHUNK, *carried)
+    return _joined(arranged, carry, keys).withColumns(filled).drop(*[f"_c_{o}" for o, _, _ in wanted])
 
 
 def blocks(

@@ -70,7 +70,8 @@ def time_delta(arranged: DataFrame) -> DataFrame:
 def segments(arranged: DataFrame, max_gap_minutes: float) -> DataFrame:
     """``segment_id`` counts the gaps longer than ``max_gap_minutes`` seen so far in the series."""
     jump = F.when(F.col("gap_minutes") > max_gap_minutes, 1).otherwise(0).cast("bigint")
-    return running_sum(time_delta(arranged), SERIES, {"segment_id": jump})
+    deltas = freeze(time_delta(arranged), "deltas")
+    return running_sum(deltas, SERIES, {"segment_id": jump})
 
 
 def gap_report(arranged: DataFrame, max_gap_minutes: float) -> DataFrame:
