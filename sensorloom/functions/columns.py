@@ -34,8 +34,8 @@ def finite_or_zero(c: str) -> str:
 
 def equal_width_bin(x: Column, low: Column, high: Column, n: int) -> Column:
     """0-based bin among ``n`` equal bins; the last one is closed; a zero range is bin 0."""
-    scaled = F.try_divide((x - low) * F.lit(n), high - low)
-    return F.coalesce(F.least(F.floor(scaled), F.lit(n - 1)), F.lit(0)).cast("bigint")
+    scaled = F.floor(F.try_divide((x - low) * F.lit(n), high - low))
+    return F.when(high > low, F.least(scaled, F.lit(n - 1))).otherwise(F.lit(0)).cast("bigint")
 
 
 def ratio_or_zero(a: Column, b: Column) -> Column:

@@ -692,8 +692,8 @@ def training_job(spark, sf_dir):
     """Preprocessing, features, detector: evaluation on the injected faults."""
     done = jobs.run_preprocessing(read_events(spark, sf_dir), _config())
     table = freeze(jobs.features_of(done.rows, _config()), "features")
-    _, metrics = jobs.run_detector_training(table, _config())
-    return metrics
+    model, metrics = jobs.run_detector_training(table, _config())
+    return metrics or jobs.evaluate_detector(table.where("split = 'test'"), model)
 
 
 @query

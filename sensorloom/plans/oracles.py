@@ -333,9 +333,10 @@ a0 AS MATERIALIZED (
 d0 AS (SELECT id, unnest(range({TREES})) AS tree, 1 AS node FROM wx),
 {", ".join(levels)},
 sz AS MATERIALIZED ({sizes}),
+cn AS (SELECT {_path("least(s, " + str(SAMPLE) + ")")} AS c FROM (SELECT count(*)::DOUBLE AS s FROM wx WHERE is_train)),
 rs AS MATERIALIZED (
-  SELECT id, round(-pow(2.0::DOUBLE, -avg(depth + {_path("n")}) / {_path(f"{SAMPLE}.0::DOUBLE")}), 12) AS raw
-  FROM d{DEPTH} JOIN sz USING (tree, node) GROUP BY id),
+  SELECT id, round(-pow(2.0::DOUBLE, -avg(depth + {_path("n")}) / any_value(c)), 12) AS raw
+  FROM d{DEPTH} JOIN sz USING (tree, node), cn GROUP BY id),
 off AS (SELECT quantile_cont(raw, {CONTAMINATION}) AS o FROM rs JOIN wx USING (id) WHERE is_train),
 al_ AS (SELECT {times}, is_train, raw - o AS anomaly_score, (raw - o < 0)::INT AS flag FROM rs JOIN wx USING (id), off),
 sd_ AS (SELECT * FROM al_ WHERE NOT is_train), td_ AS (SELECT * FROM al_ WHERE is_train)"""
@@ -591,7 +592,7 @@ SELECT lo.row_key AS event_id, (CASE WHEN hi.bk IS NULL OR (lo.bk IS NOT NULL AN
       FROM rw, off WHERE split = 'train'"""
     sql["anomaly_predictions"] = with_(_surrogate(), PREDICTIONS) + f"""SELECT entity_id, {', '.join(TIMES)}, flag AS anomaly_prediction,
       {r6("anomaly_score", "anomaly_score")}, flag = 1 AS is_anomaly, severity_score, severity_high_is_bad FROM pr"""
-    sql["detection_summary"] = sur + f"""SELECT count(*) AS n_windows, sum(flag)::BIGINT AS n_anomalies,
+    sql["detection_summary"] = sur + f"""SELECT count(*) AS n_windows, coalesce(sum(flag), 0)::BIGINT AS n_anomalies,
       {r6("100.0 * sum(flag) / count(*)", "anomaly_rate_pct")}, {r6("min(anomaly_score)", "min_score")},
       {r6("max(anomaly_score)", "max_score")} FROM sd_"""
     sql["confusion_matrix"] = with_(_surrogate(), CONFUSION) + "SELECT * FROM cm"
