@@ -291,7 +291,8 @@ def step_hold_blend(minutes: DataFrame, hourly: DataFrame, by: Sequence[str] = (
         held = minutes.join(last, list(by), "left")
     else:
         held = minutes.withColumn("_last_h", F.lit(last.first()[0]))
-    held = held.withColumn("h", F.least(F.expr("(step - 1) div 60").cast("int"), F.col("_last_h")))
+    hour = F.least(F.expr("(step - 1) div 60").cast("int"), F.col("_last_h"))
+    held = held.withColumn("h", F.when(F.col("step").isNotNull(), hour))
     joined = held.join(hourly, [*by, "h"], "left")
     mixed = F.lit(weight) * F.col("seasonal_point") + F.lit(1 - weight) * F.col("hourly_value")
     return joined.withColumn("ensemble_point", F.coalesce(mixed, F.col("seasonal_point"))).drop(
