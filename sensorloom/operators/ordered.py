@@ -56,12 +56,16 @@ def _joined(df: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame
     return df.join(summary, [*keys, CHUNK])
 
 
-def _earlier(keys: Sequence[str]):
-    return Window.partitionBy(*(keys or [F.lit(0)])).orderBy(CHUNK)
+# Backward frames are written as forward frames over the reverse order: a frame that ends at
+# UNBOUNDED FOLLOWING is evaluated anew for every row, a growing one is updated.
 
 
-def local_window(keys: Sequence[str]):
-    return Window.partitionBy(*keys, CHUNK).orderBy(POS)
+def _earlier(keys: Sequence[str], ahead: bool = True):
+    return Window.partitionBy(*(keys or [F.lit(0)])).orderBy(CHUNK if ahead else F.desc(CHUNK))
+
+
+def local_window(keys: Sequence[str], ahead: bool = True):
+    return Window.partitionBy(*keys, CHUNK).orderBy(POS if ahead else F.desc(POS))
 
 
 def number(arranged: DataFrame, keys: Sequence[str], out: str = "rn", total: str | None = None) -> DataFrame:
@@ -119,12 +123,12 @@ def fill(
     wanted = [(o, c, True) for o, c in (forward or {}).items()] + [(o, c, False) for o, c in (backward or {}).items()]
     ends, carried, filled = [], [], {}
     for o, c, ahead in wanted:
-        pick, near = (F.max_by, F.last) if ahead else (F.min_by, F.first)
-        beyond = (Window.unboundedPreceding, -1) if ahead else (1, Window.unboundedFollowing)
-        within = (Window.unboundedPreceding, 0) if ahead else (0, Window.unboundedFollowing)
+        pick = F.max_by if ahead else F.min_by
+        beyond = _earlier(keys, ahead).rowsBetween(Window.unboundedPreceding, -1)
+        within = local_window(keys, ahead).rowsBetween(Window.unboundedPreceding, 0)
         ends.append(pick(c, F.when(F.col(c).isNotNull(), F.col(POS))).alias(f"_e_{o}"))
-        carried.append(near(f"_e_{o}", ignorenulls=True).over(_earlier(keys).rowsBetween(*beyond)).alias(f"_c_{o}"))
-        filled[o] = F.coalesce(near(c, ignorenulls=True).over(local_window(keys).rowsBetween(*within)), F.col(f"_c_{o}"))
+        carried.append(F.last(f"_e_{o}", ignorenulls=True).over(beyond).alias(f"_c_{o}"))
+        filled[o] = F.coalesce(F.last(c, ignorenulls=True).over(within), F.col(f"_c_{o}"))
     carry = arranged.groupBy(*keys, CHUNK).agg(*ends).select(*keys, CHUNK, *carried)
     return _joined(arranged, carry, keys).withColumns(filled).drop(*[f"_c_{o}" for o, _, _ in wanted])
 
