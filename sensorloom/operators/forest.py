@@ -84,6 +84,11 @@ def sample_rows(rows: DataFrame, ids: Sequence[str], n_rows: int, trees: int, si
     )
 
 
+def _steady(x: np.ndarray) -> np.ndarray:
+    """Features on 9 decimals, so that no tree splits on rounding noise."""
+    return np.round(x, 9)
+
+
 def _draw(seed: int, tree: int, node: int, what: str) -> float:
     digest = hashlib.md5(f"{seed}|{tree}|{node}|{what}".encode()).hexdigest()
     return int(digest[:13], 16) / (1 << 52)
@@ -93,7 +98,7 @@ def _grow(names: Sequence[str], max_depth: int, seed: int):
     def grow(sample: pd.DataFrame) -> pd.DataFrame:
         """Nodes are numbered as in a heap: the children of k are 2k and 2k + 1."""
         tree = int(sample["tree"].iloc[0])
-        x = sample[list(names)].to_numpy(float)
+        x = _steady(sample[list(names)].to_numpy(float))
         nodes, todo = [], [(1, np.arange(len(x)), 0)]
         while todo:
             node, rows, depth = todo.pop()
@@ -113,12 +118,6 @@ def _grow(names: Sequence[str], max_depth: int, seed: int):
     return grow
 
 
-def steady(scaled: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Features on 9 decimals, so that no tree splits on rounding noise."""
-    wanted = set(names)
-    return scaled.selectExpr(*[f"round({c}, 9) as {c}" if c in wanted else c for c in scaled.columns])
-
-
 def grow_forest(sample: DataFrame, names: Sequence[str], size: int, seed: int) -> DataFrame:
     depth = max(1, math.ceil(math.log2(size)))
     rows = sample.select("tree", *names)
@@ -126,20 +125,21 @@ def grow_forest(sample: DataFrame, names: Sequence[str], size: int, seed: int) -
 
 
 def _flat(nodes: pd.DataFrame):
-    """All trees in one set of arrays; leaves point to themselves and carry their path length."""
+    """All trees in one set of arrays, siblings side by side.
+
+    A row moves from node k to ``child[k]``, or to the node after it if its value is above the
+    threshold. Leaves lead to themselves and carry their path length.
+    """
     nodes = nodes.sort_values(["tree", "node"]).reset_index(drop=True)
     at = pd.Series(nodes.index, index=pd.MultiIndex.from_frame(nodes[["tree", "node"]]))
     leaf = (nodes["feature"] < 0).to_numpy()
     here = np.arange(len(nodes))
-
-    def child(side: str) -> np.ndarray:
-        found = at.reindex(pd.MultiIndex.from_frame(nodes[["tree", side]])).to_numpy()
-        return np.where(leaf, here, np.nan_to_num(found)).astype(np.int64)
-
+    left = at.reindex(pd.MultiIndex.from_frame(nodes[["tree", "left"]])).to_numpy()
+    child = np.where(leaf, here, np.nan_to_num(left)).astype(np.int32)
+    threshold = np.where(leaf, np.inf, nodes["threshold"])
+    feature = np.where(leaf, 0, nodes["feature"]).astype(np.int32)
     path = nodes["depth"].to_numpy() + average_path(nodes["size"].to_numpy())
-    feature = np.where(leaf, 0, nodes["feature"].to_numpy())
-    roots = here[nodes["node"] == 1]
-    return roots, feature, nodes["threshold"].to_numpy(), child("left"), child("right"), path, int(nodes["depth"].max())
+    return here[nodes["node"] == 1], feature, threshold, child, path, int(nodes["depth"].max())
 
 
 def raw_scores(scaled: DataFrame, names: Sequence[str], nodes: DataFrame, sample_size: int, out: str) -> DataFrame:
@@ -152,15 +152,15 @@ def raw_scores(scaled: DataFrame, names: Sequence[str], nodes: DataFrame, sample
 
     @F.arrow_udf(T.DoubleType())
     def score(*columns: pa.Array) -> pa.Array:
-        roots, feature, threshold, left, right, path, depth = flat.value
-        x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in columns])
-        row = np.arange(len(x))
-        total = np.zeros(len(x))
+        roots, feature, threshold, child, path, depth = flat.value
+        x = _steady(np.column_stack([c.to_numpy(zero_copy_only=False) for c in columns]))
+        row, values, total = np.arange(len(x)) * x.shape[1], x.ravel(), np.zeros(len(x))
         for root in roots:
-            node = np.full(len(x), root)
+            node = np.full(len(x), root, np.int32)
             for _ in range(depth):
-                node = np.where(x[row, feature[node]] <= threshold[node], left[node], right[node])
-            total += path[node]
+                value = values.take(row + feature.take(node))
+                node = child.take(node) + (value > threshold.take(node))
+            total += path.take(node)
         return pa.array(np.round(-(2.0 ** (-total / len(roots) / expected)), 12))
 
     return scaled.withColumn(out, score(*[F.col(n) for n in names]))
@@ -182,7 +182,7 @@ def fit_forest(
     read for the scaler, for the samples and for the scores.
     """
     scaler = freeze(fit_scaler(features, names), "scaler")
-    scaled = steady(scale(features, names, scaler_values(scaler)), names)
+    scaled = scale(features, names, scaler_values(scaler))
     n_rows = features.count()
     if not n_rows:
         raise ValueError("no training rows")
@@ -201,6 +201,6 @@ def score_rows(features: DataFrame, model: ForestModel, refit: bool = False) ->
     ``refit`` scales by the scored rows themselves instead of the training rows.
     """
     scaler = fit_scaler(features, model.names) if refit else model.scaler
-    scaled = steady(scale(features, model.names, scaler_values(scaler)), model.names)
+    scaled = scale(features, model.names, scaler_values(scaler))
     scored = raw_scores(scaled, model.names, model.nodes, model.sample_size, "_raw")
     return scored.withColumn("anomaly_score", F.col("_raw") - F.lit(model.offset)).drop("_raw", *model.names)

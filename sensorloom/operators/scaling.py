@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.functions.columns import finite_or_zero
-from sensorloom.operators.stats import per_feature
 from sensorloom.sources.readings import require_columns
 
 
@@ -23,10 +25,20 @@ def model_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def fit_scaler(features: DataFrame, names: Sequence[str]) -> DataFrame:
-    """scaler(feature, mean, std) with the population deviation, in one aggregation."""
-    cleaned = model_columns(features, names)
-    aggs = [F.expr(f"{f}({n}) as {p}_{n}") for n in names for f, p in (("avg", "mean"), ("stddev_pop", "std"))]
-    return per_feature(cleaned.agg(*aggs), names, ["mean", "std"])
+    """scaler(feature, mean, std) with the population deviation, in one pass.
+
+    All columns go through one vector aggregate; a hundred scalar aggregates would make one
+    method too large to be compiled.
+    """
+    cleaned = VectorAssembler(inputCols=list(names), outputCol="_x").transform(model_columns(features, names))
+    found = cleaned.select(Summarizer.metrics("count", "mean", "variance").summary(F.col("_x")).alias("s"))
+    label = F.array(*[F.lit(n) for n in names])
+    column = lambda c: vector_to_array(F.col(f"s.{c}"))
+    zipped = F.arrays_zip(label.alias("feature"), column("mean").alias("mean"), column("variance").alias("variance"))
+    n = F.col("n").cast("double")
+    return found.select(F.col("s.count").alias("n"), F.explode(zipped).alias("e")).select(
+        "e.feature", "e.mean", F.sqrt(F.try_divide(F.greatest(F.col("e.variance"), F.lit(0.0)) * (n - 1), n)).alias("std")
+    )
 
 
 def scaler_values(scaler: DataFrame) -> dict[str, tuple[float, float]]:
