@@ -1,18 +1,34 @@
-"""Session helpers: UTC sessions and tables that cut lineage."""
+"""Session helpers: UTC sessions, code on the executors, tables that cut lineage."""
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        package = Path(__file__).parent
+        target = Path(tempfile.mkdtemp(prefix="package-")) / package.name
+        sc.addPyFile(shutil.make_archive(str(target), "zip", package.parent, package.name))
+        _shipped.add(sc.applicationId)
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """All times are UTC instants; the session must agree."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship(spark)
     return spark
 
 
@@ -22,6 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session without the setting gets a folder of its own: on a cluster a
     machine-local folder would be lost with its machine.
     """
+    ship(spark)
     sc = spark.sparkContext
     named = spark.conf.get(CHECKPOINT_DIR, None) or sc.getCheckpointDir()
     if named:
