@@ -327,7 +327,8 @@ def ensemble_forecast(
 
 def forecast_ensemble(readings: DataFrame, steps: int, by: Sequence[str] = (), width: float = 0.90) -> DataFrame:
     """Train both models and forecast ``steps`` minutes beyond the readings."""
-    seasonal, arima = train_seasonal(readings, by), train_arima(readings, by)
+    seasonal = freeze(train_seasonal(readings, by), "seasonal")
+    arima = freeze(train_arima(readings, by), "arima")
     return ensemble_forecast(future_grid(readings, steps, by), seasonal, arima, by, width)
 
 

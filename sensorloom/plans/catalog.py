@@ -45,6 +45,13 @@ CORRELATED = [*SURROGATE, "n_points", "skewness", "kurtosis", "entropy"]
 FAULT_SHARE = 0.1
 # Whole microseconds in minutes or hours: 10 decimals never end in an exact half.
 DURATIONS = ("gap_minutes", "max_gap_minutes", "time_span_hours")
+# Results of solved equations, shown on 3 decimals.
+SOLVED = ("seasonal_point", "ensemble_point", "forecast_point", "forecast_lower", "forecast_upper", "aic", "mae", "rmse", "mape")
+
+
+def digits(name: str) -> int:
+    return 10 if name in DURATIONS else 3 if name in SOLVED else 6
+
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,7 +70,7 @@ def rounded(df: DataFrame) -> DataFrame:
     def shown(f: T.StructField) -> str:
         if not isinstance(f.dataType, T.DoubleType):
             return f"`{f.name}`"
-        return f"round(`{f.name}`, {10 if f.name in DURATIONS else 6}) + 0.0d as `{f.name}`"
+        return f"round(`{f.name}`, {digits(f.name)}) + 0.0d as `{f.name}`"
 
     return df.selectExpr(*[shown(f) for f in df.schema.fields])
 
@@ -647,7 +654,8 @@ def forecast_moments(spark, sf_dir):
 def seasonal_forecast(spark, sf_dir):
     train = _train(spark, sf_dir)
     model = freeze(forecast.train_seasonal(train), "seasonal")
-    return forecast.seasonal_forecast(forecast.future_grid(train, 7 * 24 * 60), model)
+    table = forecast.seasonal_forecast(forecast.future_grid(train, 7 * 24 * 60), model)
+    return table.withColumn("step", F.coalesce("step", F.lit(0)))
 
 
 @query
@@ -657,7 +665,8 @@ def arima_orders(spark, sf_dir):
 
 @query
 def ensemble_forecast(spark, sf_dir):
-    return forecast.forecast_ensemble(_train(spark, sf_dir), 7 * 24 * 60)
+    table = forecast.forecast_ensemble(_train(spark, sf_dir), 7 * 24 * 60)
+    return table.withColumn("step", F.coalesce("step", F.lit(0)))
 
 
 @query

@@ -11,7 +11,7 @@ from sensorloom.functions import window_features as wf
 from sensorloom.operators import forecast as fc
 from sensorloom.operators.inject import FAULTS
 from sensorloom.operators.windows import MODEL_FEATURES
-from sensorloom.plans.catalog import CONTAMINATION, CORRELATED, DURATIONS, FAULT_SHARE, MAX_GAP, SURROGATE
+from sensorloom.plans.catalog import CONTAMINATION, CORRELATED, FAULT_SHARE, MAX_GAP, SURROGATE, digits
 
 VALUES = {
     "plain": "value",
@@ -24,7 +24,7 @@ STEPS = 7 * 24 * 60
 
 
 def r6(expression: str, name: str) -> str:
-    return f"round({expression}, {10 if name in DURATIONS else 6}) + 0.0 AS {name}"
+    return f"round({expression}, {digits(name)}) + 0.0 AS {name}"
 
 
 def readings(variant: str = "plain") -> str:
@@ -455,6 +455,110 @@ ERRORS = f"""SELECT count(*) AS n, {r6("avg(abs(a - f))", "mae")}, {r6("sqrt(avg
   {r6("100 * avg(CASE WHEN a <> 0 THEN abs((a - f) / a) END)", "mape")} FROM al"""
 
 
+def _gauss(name: str, start: str, size: str, keys: str = "") -> str:
+    """Solve [A | b] held as a list of rows in column ``m`` of ``start``; ``size`` rows."""
+    k = f"{keys}, " if keys else ""
+    return f"""{name}_g AS (
+  SELECT {k}0 AS step, m FROM {start}
+  UNION ALL
+  SELECT {k}step + 1, list_transform(m, lambda r, i: CASE WHEN i = step + 1
+      THEN list_transform(r, lambda x: x / r[step + 1])
+      ELSE list_transform(r, lambda x, j: x - r[step + 1] * m[step + 1][j] / m[step + 1][step + 1]) END)
+  FROM {name}_g WHERE step < {size}),
+{name} AS MATERIALIZED (SELECT {k}list_transform(m, lambda r: r[len(r)]) AS coef FROM {name}_g WHERE step = {size})"""
+
+
+def _seasonal() -> str:
+    """fit3: coefficients and variance; ss: the seasonal forecast of every grid time."""
+    basis = _basis_sql("us", "lo", "hi")
+    width = len(basis)
+    named = ", ".join(f"{c} AS x{i}" for i, c in enumerate(basis))
+    matrix = lambda last: ", ".join(
+        "[" + ", ".join(f"avg(x{i} * x{j})" for j in range(last)) + "]" for i in range(last)
+    )
+    wide = ["NULL", "NULL"] + [f"{fc.HINGE_SCALE}"] * fc.HINGES + [f"{fc.SEASON_SCALE}"] * (width - 2 - fc.HINGES)
+    parts = [
+        f"""tn AS (SELECT epoch_us(time)::DOUBLE AS us, value AS x{width} FROM s WHERE split = 'train'),
+ends AS (SELECT min(us) AS lo, max(us) AS hi, count(*) AS n, max(abs(x{width})) AS scale FROM tn),
+bs AS (SELECT {named}, x{width} FROM tn, ends),
+gm AS MATERIALIZED (SELECT [{matrix(width + 1)}] AS g FROM bs),
+v0 AS (SELECT greatest(g[{width + 1}][{width + 1}] - g[1][{width + 1}] * g[1][{width + 1}], 0) AS v FROM gm)"""
+    ]
+    for r in range(1, 4):
+        parts.append(f"""st{r} AS (
+  SELECT list_transform(g[1:{width}], lambda row, i: list_transform(row, lambda x, j: x + CASE WHEN i = j THEN 1e-9
+      + coalesce(v / n / pow(([{", ".join(wide)}])[i]::DOUBLE * scale, 2), 0) ELSE 0 END)) AS m FROM gm, ends, v{r - 1})""")
+        parts.append(_gauss(f"co{r}", f"st{r}", str(width)))
+        parts.append(f"""v{r} AS MATERIALIZED (
+  SELECT greatest(g[{width + 1}][{width + 1}] - 2 * list_dot_product(coef, g[{width + 1}][1:{width}])
+      + list_dot_product(coef, list_transform(g[1:{width}], lambda row: list_dot_product(row[1:{width}], coef))), 0) AS v
+  FROM gm, co{r})""")
+    point = " + ".join(f"coef[{i + 1}] * x{i}" for i in range(width))
+    parts.append(f"""ss AS (
+  SELECT timestamp, step, {point} AS seasonal_point, sqrt(v) * 1.6448536269514722 AS half
+  FROM (SELECT timestamp, step, {named} FROM (SELECT *, epoch_us(timestamp)::DOUBLE AS us FROM gr), ends), co3, v3)""")
+    return ",\n".join(parts)
+
+
+def _arima() -> str:
+    """fits: every order with coefficients and AIC; ah: 168 hours ahead by the best order."""
+    lag_w = ", ".join(f"lag(w, {i}) OVER t AS w{i}" for i in range(1, 13))
+    long_cols = ["1.0", *[f"w{i}" for i in range(1, 13)]]
+    gram = lambda cols, y: "[" + ", ".join("[" + ", ".join(f"sum({a} * {b})" for b in [*cols, y]) + "]" for a in cols) + "]"
+    short = ["1.0", "w1", "w2", "e1", "e2"]
+    orders = ", ".join(str({"p": p, "d": d, "q": q}) for p, d, q in fc.ARIMA_ORDERS)
+    return f"""hr AS (SELECT date_trunc('hour', time) AS hour, avg(value) AS y FROM s WHERE split = 'train' GROUP BY 1),
+hn AS (SELECT y, row_number() OVER (ORDER BY hour) - 1 AS t, y - lag(y) OVER (ORDER BY hour) AS dy, count(*) OVER () AS n_hours FROM hr),
+ww AS (SELECT 0 AS d, t, y AS w, n_hours FROM hn UNION ALL SELECT 1, t - 1, dy, n_hours FROM hn WHERE t >= 1),
+wl AS MATERIALIZED (SELECT d, t, w, n_hours, {lag_w} FROM ww WINDOW t AS (PARTITION BY d ORDER BY t)),
+lg AS (SELECT d, {gram(long_cols, "w")} AS m FROM wl WHERE t >= 12 GROUP BY d),
+{_gauss("lc", "lg", "13", "d")},
+en AS (SELECT wl.*, CASE WHEN t >= 12 THEN w - list_dot_product(coef, [{", ".join(long_cols)}]::DOUBLE[]) ELSE 0 END AS e
+       FROM wl JOIN lc USING (d)),
+el AS MATERIALIZED (SELECT *, lag(e) OVER t AS e1, lag(e, 2) OVER t AS e2 FROM en WINDOW t AS (PARTITION BY d ORDER BY t)),
+sg AS (SELECT d, {gram(short, "w")} AS g, sum(w * w) AS yy, count(*) AS n, any_value(n_hours) AS n_hours
+       FROM el WHERE t >= 15 - d GROUP BY d),
+od AS (SELECT unnest([{orders}]) AS o),
+ix AS (SELECT o.p AS p, o.d AS d, o.q AS q, list_concat(CASE WHEN o.d = 0 THEN [1] ELSE [] END,
+         list_concat(([2, 3])[1:o.p], ([4, 5])[1:o.q])) AS cols FROM od),
+om AS (SELECT p, q, d, len(cols) AS size,
+         list_transform(cols, lambda i: list_concat(list_transform(cols, lambda j: g[i][j]), [g[i][6]])) AS m, cols, g, yy, n, n_hours
+       FROM ix JOIN sg USING (d)),
+os_g AS (
+  SELECT p, q, d, size, 0 AS step, m FROM om
+  UNION ALL
+  SELECT p, q, d, size, step + 1, list_transform(m, lambda r, i: CASE WHEN i = step + 1
+      THEN list_transform(r, lambda x: x / r[step + 1])
+      ELSE list_transform(r, lambda x, j: x - r[step + 1] * m[step + 1][j] / m[step + 1][step + 1]) END)
+  FROM os_g WHERE step < size),
+os AS (SELECT p, q, d, list_transform(m, lambda r: r[len(r)])::DOUBLE[] AS coef FROM os_g WHERE step = size),
+fits AS MATERIALIZED (
+  SELECT p, d, q, n_hours, ar1, ar2, ma1, ma2, c0,
+         CASE WHEN (p = 1 AND abs(ar1) >= 1) OR (p = 2 AND (abs(ar2) >= 1 OR ar2 + ar1 >= 1 OR ar2 - ar1 >= 1)) THEN NULL
+              ELSE n * ln((yy - explained) / n) + 2 * (size + 1) END AS aic
+  FROM (SELECT *, coalesce(CASE WHEN d = 0 THEN coef[1] END, 0) AS c0,
+          coalesce(CASE WHEN p >= 1 THEN coef[2 - d] END, 0) AS ar1, coalesce(CASE WHEN p >= 2 THEN coef[3 - d] END, 0) AS ar2,
+          coalesce(CASE WHEN q >= 1 THEN coef[2 - d + p] END, 0) AS ma1, coalesce(CASE WHEN q >= 2 THEN coef[3 - d + p] END, 0) AS ma2,
+          CASE WHEN size = 0 THEN 0 ELSE list_dot_product(coef, list_transform(cols, lambda i: g[i][6])::DOUBLE[]) END AS explained
+        FROM om JOIN os USING (p, q, d))),
+be AS (SELECT * FROM fits WHERE aic IS NOT NULL ORDER BY aic, p, d, q LIMIT 1),
+rs_ AS (SELECT be.*, t, w, w1, w - c0 - ar1 * w1 - ar2 * w2 - ma1 * e1 - ma2 * e2 AS shock, lag(w - c0 - ar1 * w1 - ar2 * w2 - ma1 * e1 - ma2 * e2)
+          OVER (ORDER BY t) AS shock1 FROM be JOIN el USING (d)),
+ah AS (
+  SELECT 0 AS h, c0, ar1, ar2, ma1, ma2, d, w AS a, w1 AS b, shock AS u, shock1 AS v, (SELECT arg_max(y, t) FROM hn) AS level
+  FROM rs_ WHERE t = (SELECT max(t) FROM rs_)
+  UNION ALL
+  SELECT h + 1, c0, ar1, ar2, ma1, ma2, d, c0 + ar1 * a + ar2 * b + ma1 * u + ma2 * v, a, 0, u,
+         CASE WHEN d = 1 THEN level ELSE 0 END + c0 + ar1 * a + ar2 * b + ma1 * u + ma2 * v
+  FROM ah WHERE h < {fc.HOURS_AHEAD})"""
+
+
+ENSEMBLE = """es AS (
+  SELECT timestamp, step, seasonal_point, seasonal_point - half AS forecast_lower, seasonal_point + half AS forecast_upper,
+         CASE WHEN step IS NULL THEN seasonal_point ELSE 0.6::DOUBLE * seasonal_point + 0.4::DOUBLE * level END AS ensemble_point
+  FROM ss LEFT JOIN (SELECT h, level FROM ah WHERE h > 0) ON h = least((step - 1) // 60 + 1, 168) AND step IS NOT NULL)"""
+
+
 def _statistics(variant: str = "plain") -> str:
     return with_(readings(variant), windows("r", E), features(E))
 
@@ -647,6 +751,18 @@ SELECT lo.row_key AS event_id, (CASE WHEN hi.bk IS NULL OR (lo.bk IS NOT NULL AN
       ORDER BY timestamp LIMIT (SELECT count(*) FROM s WHERE split = 'test')"""
     sql["forecast_moments"] = _moments()
 
+    sql["seasonal_forecast"] = with_(r, SPLIT, GRID, _seasonal()) + f"""SELECT timestamp, coalesce(step, 0) AS step,
+      {r6("seasonal_point", "seasonal_point")}, {r6("seasonal_point - half", "forecast_lower")},
+      {r6("seasonal_point + half", "forecast_upper")} FROM ss"""
+    sql["arima_orders"] = with_(r, SPLIT, _arima()) + f"SELECT p, d, q, n_hours, {r6('aic', 'aic')} FROM fits"
+    both = with_(r, SPLIT, GRID, _seasonal(), _arima(), ENSEMBLE)
+    sql["ensemble_forecast"] = both + f"""SELECT timestamp, coalesce(step, 0) AS step, {r6("seasonal_point", "seasonal_point")},
+      {r6("ensemble_point", "ensemble_point")}, {r6("ensemble_point", "forecast_point")},
+      {r6("forecast_lower", "forecast_lower")}, {r6("forecast_upper", "forecast_upper")} FROM es"""
+    sql["forecast_evaluation"] = with_(r, SPLIT, GRID, _seasonal(), _arima(), ENSEMBLE, """al AS (
+  SELECT s.value AS a, ensemble_point AS f FROM s JOIN es ON date_trunc('minute', s.time) = date_trunc('minute', es.timestamp)
+  WHERE split = 'test' AND step IS NOT NULL)""") + ERRORS
+
     # jobs
     sql["preprocessing_job"] = with_(
         f"r0 AS ({with_(rn)} SELECT * FROM r WHERE value IS NOT NULL)",
