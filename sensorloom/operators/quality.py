@@ -56,9 +56,13 @@ def entity_profile(readings: DataFrame) -> DataFrame:
     )
 
 
-def arrange_readings(readings: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Readings in (series, time, row) order, ready for the ordered operators."""
-    return arrange(readings, SERIES, ORDER, partitions)
+def arrange_readings(readings: DataFrame, partitions: int | None = None, keep_keys: bool = False) -> DataFrame:
+    """Readings in (series, time, row) order, ready for the ordered operators.
+
+    The two key texts behind ``entity_id`` are not shuffled along unless ``keep_keys``.
+    """
+    wanted = readings if keep_keys else readings.drop("equipment", "system")
+    return arrange(wanted, SERIES, ORDER, partitions)
 
 
 def time_delta(arranged: DataFrame) -> DataFrame:

@@ -547,7 +547,7 @@ def forest_training_summary(spark, sf_dir):
 def feature_cache(spark, sf_dir):
     """Which series have stored train features after storing those of one unit."""
     path = _folder(spark, "store")
-    rows = _split(spark, sf_dir).where("equipment = 'EQ0'")
+    rows = _split(spark, sf_dir).where("entity_id like 'EQ0%'")
     store.write_features(windows.extract_features(rows, SPLIT, SIZE, 1, ["mean_oxygen"]), path)
     missing, existing = store.check_features(spark, path, quality.entities(read_events(spark, sf_dir)))
     return missing.withColumn("status", F.lit("missing")).unionByName(existing.withColumn("status", F.lit("existing")))

@@ -42,10 +42,11 @@ def run_preprocessing(
 ) -> Prepared:
     """Clean, segment and split the readings; put faults into one test part; store if asked."""
     require_rows(readings, "readings")
-    arranged = quality.arrange_readings(quality.clean(check_times(readings)))
-    segmented = quality.segments(arranged, config.max_gap_minutes)
+    arranged = quality.arrange_readings(quality.clean(check_times(readings)), keep_keys=bool(path))
+    segmented = freeze(quality.segments(arranged, config.max_gap_minutes), "segmented")
     if path:
         quality.write_clean(segmented, path)
+    segmented = segmented.drop("equipment", "system")
     rows = freeze(number(quality.time_split(segmented, config.test_size_days), KEYS), "prepared")
     entity = fault_entity or (inject.default_entity(rows) if create_faults else None)
     if not create_faults:
