@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.llm.common import table
 from sensorloom.llm.exact_dedup import exact_dedup
+from sensorloom.llm.simhash import hex_of, near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,3 +30,9 @@ select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
        doc_id = max(doc_id) over w as kept, sha256(coalesce(text, '')) as text_sha256
 from documents window w as (partition by coalesce(text, ''))
 """
+
+
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs).select("doc_id", hex_of().alias("fingerprint"), "component_id")
