@@ -110,7 +110,7 @@ def _probe(segments: int, sent):
 
 
 def _probe_segment(segments: int):
-    def run(key, hashes: pa.Table, bits: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], hashes: pa.Table, bits: pa.Table) -> pa.Table:
         h = hashes.column("_hash").to_numpy()
         own = {key[0].as_py(): np.frombuffer(bits.column("bits")[0].as_buffer(), np.uint8)} if bits.num_rows else {}
         found = _look_up(h, segments, own) if len(h) else np.zeros(0, bool)

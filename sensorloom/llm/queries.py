@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sensorloom.llm.common import table
 from sensorloom.llm.exact_dedup import exact_dedup
 from sensorloom.llm.simhash import hex_of, near_duplicates
+from sensorloom.llm.substring import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,3 +37,9 @@ from documents window w as (partition by coalesce(text, ''))
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs).select("doc_id", hex_of().alias("fingerprint"), "component_id")
+
+
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
