@@ -2,9 +2,10 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorloom.llm import language, quality
 from sensorloom.llm.common import table
 from sensorloom.llm.exact_dedup import exact_dedup
 from sensorloom.llm.simhash import hex_of, near_duplicates
@@ -15,6 +16,10 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+def _remainder(id: str, of: int) -> Column:
+    return F.coalesce(F.crc32(F.col(id).cast("string").cast("binary")) % of, F.lit(-1))
+
+
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
     return fn
@@ -43,3 +48,23 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality.train(docs, labels.where(_remainder("doc_id", 5) != 0))
+    return quality.score(docs, model).select("doc_id", (_remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+def language_model(docs: DataFrame) -> language.LanguageModel:
+    """Learned from the two thirds of documents that are not held out."""
+    return language.train(docs.where(_remainder("doc_id", 3) != 1))
+
+
+@query
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs.select("doc_id", "text"), language_model(docs))
+    return found.select("doc_id", (_remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "ambiguous")
