@@ -10,6 +10,7 @@ from sensorloom.llm.common import table
 from sensorloom.llm.exact_dedup import exact_dedup
 from sensorloom.llm.simhash import hex_of, near_duplicates
 from sensorloom.llm.substring import remove_repeats
+from sensorloom.llm.urls import filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -68,3 +69,9 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language.identify(docs.select("doc_id", "text"), language_model(docs))
     return found.select("doc_id", (_remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return filter_urls(pages).select("page_id", "host", "path", "rule", "verdict", "score")
