@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import language, quality
+from sensorloom.llm import bpe, language, quality
 from sensorloom.llm.common import table
 from sensorloom.llm.exact_dedup import exact_dedup
 from sensorloom.llm.simhash import hex_of, near_duplicates
@@ -21,6 +21,13 @@ def _remainder(id: str, of: int) -> Column:
     return F.coalesce(F.crc32(F.col(id).cast("string").cast("binary")) % of, F.lit(-1))
 
 
+def vocabulary_path() -> str:
+    """Where the public vocabulary file lies on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
     return fn
@@ -75,3 +82,17 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return filter_urls(pages).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@query
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    sent = bpe.send_vocabulary(spark, vocabulary_path())
+    coded = bpe.decode(bpe.encode(docs, sent), sent)
+    listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
