@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from sensorloom.llm import bpe, language, quality
 from sensorloom.llm.common import table
 from sensorloom.llm.exact_dedup import exact_dedup
+from sensorloom.llm.neighbours import nearest
+from sensorloom.llm.packing import pack_documents, send_definition
 from sensorloom.llm.simhash import hex_of, near_duplicates
 from sensorloom.llm.substring import remove_repeats
 from sensorloom.llm.urls import filter_urls
@@ -96,3 +98,23 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    packed = pack_documents(docs, send_definition(spark, vocabulary_path()))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors, F.col("vec_id") % 100 == 0, 10)
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
