@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import bpe, language, quality
+from sensorloom.llm import bpe, language, quality, scoring
 from sensorloom.llm.common import table
 from sensorloom.llm.exact_dedup import exact_dedup
 from sensorloom.llm.neighbours import nearest
@@ -35,6 +35,14 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = scoring.build_vocabulary(docs)
+    scored = scoring.score(docs, vocabulary, scoring.train(docs, vocabulary))
+    return scored.select("doc_id", "n_tokens", "log_likelihood", "mean_log_prob", "pseudo_perplexity")
+
+
 @query
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
