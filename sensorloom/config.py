@@ -7,6 +7,8 @@ import json
 from dataclasses import asdict, dataclass
 
 IMPUTATION_METHODS = ("ensemble", "knn", "spline", "forward_fill")
+# Every scoring task holds the forest: 40 bytes for each of 2 * tree_sample - 1 nodes a tree at most.
+MAX_TREES, MAX_TREE_SAMPLE = 1000, 1024
 
 
 @dataclass(frozen=True)
@@ -36,6 +38,14 @@ class PipelineConfig:
             raise ValueError("contamination must be in (0, 0.5]")
         if not 0 < self.anomaly_fraction <= 1:
             raise ValueError("anomaly_fraction must be in (0, 1]")
+        if not 1 <= self.n_trees <= MAX_TREES:
+            raise ValueError(f"n_trees must be in [1, {MAX_TREES}]")
+        if not 2 <= self.tree_sample <= MAX_TREE_SAMPLE:
+            raise ValueError(f"tree_sample must be in [2, {MAX_TREE_SAMPLE}]")
+        if self.forecast_steps < 1:
+            raise ValueError("forecast_steps must be at least 1")
+        if not 0 < self.interval_width < 1:
+            raise ValueError("interval_width must be in (0, 1)")
 
     @property
     def step(self) -> int:

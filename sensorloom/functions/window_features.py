@@ -1,8 +1,7 @@
 """The 43 window features.
 
-Spark cuts the windows and spreads them (operators/windows.py); a window reaches these
-functions as an array column. Each of the five groups is one vectorised Arrow UDF that sees a
-batch of windows as an n x W matrix, without copying. Frames cannot express order statistics,
+Spark spreads blocks of consecutive readings (operators/windows.py); a task cuts the windows of a
+block as an n x W view and gives it to these functions, one for each of the five groups. Frames cannot express order statistics,
 runs, nearest-value distances and histograms, and for the moment features sliding frames cost
 several times more than one pass over the batch (README, "Window features").
 
@@ -14,10 +13,6 @@ depend on the order of summation.
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Fixed values.
 NEIGHBOURS = 5
@@ -91,20 +86,6 @@ GROUPS = {
 FEATURES = tuple(name for names in GROUPS.values() for name in names)
 
 
-def _matrix(windows: pa.Array) -> np.ndarray:
-    return windows.flatten().to_numpy(zero_copy_only=False).reshape(len(windows), -1)
-
-
-def _struct(**columns) -> pa.Array:
-    return pa.StructArray.from_arrays(
-        [pa.array(c.astype(float), from_pandas=True) for c in columns.values()], list(columns)
-    )
-
-
-def _struct_type(names) -> T.StructType:
-    return T.StructType([T.StructField(n, T.DoubleType()) for n in names])
-
-
 def _std(x: np.ndarray) -> np.ndarray:
     """Population deviation per row, exactly 0 where a row is constant."""
     return np.where((x == x[:, :1]).all(1), 0.0, x.std(1))
@@ -136,16 +117,14 @@ def _longest_run(flags: np.ndarray) -> np.ndarray:
     return longest
 
 
-@F.arrow_udf(_struct_type(POINT))
-def _point(windows: pa.Array) -> pa.Array:
-    x = _matrix(windows)
+def _point(x: np.ndarray) -> dict[str, np.ndarray]:
     s, dev, sd = np.sort(x, 1), np.abs(x - x.mean(1, keepdims=True)), _std(x)
     z = _over(dev, np.broadcast_to(sd[:, None], x.shape))
     q25, q75, median = _percentile(s, 0.25), _percentile(s, 0.75), _percentile(s, 0.5)
     iqr = q75 - q25
     below = np.round(x - (q25 - 1.5 * iqr)[:, None], 9) < 0
     above = np.round(x - (q75 + 1.5 * iqr)[:, None], 9) > 0
-    return _struct(
+    return dict(
         max_zscore=z.max(1),
         mean_abs_zscore=z.mean(1),
         n_zscore_outliers=(np.round(z, 9) > 3).sum(1),
@@ -157,15 +136,13 @@ def _point(windows: pa.Array) -> pa.Array:
     )
 
 
-@F.arrow_udf(_struct_type(COLLECTIVE))
-def _collective(windows: pa.Array) -> pa.Array:
-    x = _matrix(windows)
+def _collective(x: np.ndarray) -> dict[str, np.ndarray]:
     d = np.diff(x, axis=1)
     roc = np.abs(d)
     index = np.broadcast_to(np.arange(x.shape[1], dtype=float), x.shape)
     zero = np.zeros(len(x))
     lagged = lambda k: _correlation(x[:, :-k], x[:, k:]) if x.shape[1] > k + 1 else zero
-    return _struct(
+    return dict(
         max_roc=roc.max(1),
         mean_roc=roc.mean(1),
         std_roc=_std(roc),
@@ -212,13 +189,11 @@ def _neighbour_distance(s: np.ndarray, k: int) -> np.ndarray:
     return nearest.max(1)
 
 
-@F.arrow_udf(_struct_type(CONTEXTUAL))
-def _contextual(windows: pa.Array) -> pa.Array:
-    x = _matrix(windows)
+def _contextual(x: np.ndarray) -> dict[str, np.ndarray]:
     sd, dev = _std(x), x - x.mean(1, keepdims=True)
     square = dev * dev
     shape = lambda m, p: np.nan_to_num(_over(m, sd**p))
-    return _struct(
+    return dict(
         deviation_from_rolling_mean_5=_rolling_deviation(x, 5),
         deviation_from_rolling_mean_10=_rolling_deviation(x, 10),
         max_local_outlier_factor=_neighbour_distance(np.sort(x, 1), NEIGHBOURS),
@@ -228,9 +203,7 @@ def _contextual(windows: pa.Array) -> pa.Array:
     )
 
 
-@F.arrow_udf(_struct_type(FAULT))
-def _fault(windows: pa.Array) -> pa.Array:
-    x = _matrix(windows)
+def _fault(x: np.ndarray) -> dict[str, np.ndarray]:
     n = x.shape[1]
     d = np.diff(x, axis=1)
     flat = np.abs(d) <= FLAT_TOLERANCE
@@ -243,7 +216,7 @@ def _fault(windows: pa.Array) -> pa.Array:
         frames = _frames(x[:, :-1], FLAT_ROWS)
         mean = sum(frames) / FLAT_ROWS
         still = (np.sqrt(sum((f - mean) ** 2 for f in frames) / FLAT_ROWS) < FLAT_STD).mean(1)
-    return _struct(
+    return dict(
         consecutive_constants=_longest_run(flat),
         n_constant_values=n_flat,
         fraction_constant=n_flat / n,
@@ -265,12 +238,10 @@ def _entropy(x: np.ndarray, low: np.ndarray, spread: np.ndarray) -> np.ndarray:
     return -(share * np.log2(share + LOG_GUARD)).sum(1)
 
 
-@F.arrow_udf(_struct_type(DISTRIBUTION))
-def _distribution(windows: pa.Array) -> pa.Array:
-    x = _matrix(windows)
+def _distribution(x: np.ndarray) -> dict[str, np.ndarray]:
     s, mean, sd = np.sort(x, 1), x.mean(1), _std(x)
     spread = s[:, -1] - s[:, 0]
-    return _struct(
+    return dict(
         mean=mean,
         std=sd,
         median=_percentile(s, 0.5),
@@ -282,7 +253,7 @@ def _distribution(windows: pa.Array) -> pa.Array:
     )
 
 
-_UDFS = {
+_OF_GROUP = {
     "point": _point,
     "collective": _collective,
     "contextual": _contextual,
@@ -291,6 +262,6 @@ _UDFS = {
 }
 
 
-def group_struct(group: str, windows: Column) -> Column:
-    """All features of one group as a struct column over an array column of full windows."""
-    return _UDFS[group](windows)
+def group_features(group: str, windows: np.ndarray) -> dict[str, np.ndarray]:
+    """All features of one group for an n x W matrix of full windows; NaN where undefined."""
+    return _OF_GROUP[group](windows)

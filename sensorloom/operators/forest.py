@@ -1,8 +1,8 @@
 """Isolation forest: sampled and grown per tree, scored on all rows.
 
-Only the samples (trees x 256 rows) leave the feature table. Trees are independent groups of
-that bounded size; the finished forest is a table of at most trees x 511 nodes, which every
-scoring task gets whole.
+Only the samples (trees x 256 rows by default) leave the feature table. Trees are independent groups of
+that bounded size; the finished forest is a table of at most trees x 511 nodes (``MAX_NODES`` for the
+largest settings), which every scoring task gets whole.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sensorloom.config import MAX_TREE_SAMPLE, MAX_TREES
 from sensorloom.functions.columns import uniform52
 from sensorloom.operators.quantile import exact_quantile
 from sensorloom.operators.scaling import fit_scaler, scale, scaler_values
@@ -26,6 +27,7 @@ from sensorloom.session import freeze
 
 EULER_GAMMA = 0.5772156649
 OVERSAMPLE = 4
+MAX_NODES = MAX_TREES * (2 * MAX_TREE_SAMPLE - 1)
 NODES = "tree int, node int, feature int, threshold double, left int, right int, depth int, size bigint"
 
 
@@ -71,12 +73,18 @@ def sample_rows(rows: DataFrame, ids: Sequence[str], n_rows: int, trees: int, si
     share = min(1.0, OVERSAMPLE * size / n_rows)
     placed = rows.withColumn("_id", _row_text(rows, ids))
     placed = placed.withColumn("_u", uniform52(F.concat(F.lit(f"{seed}|"), "_id")))
-    if share * trees <= 1:
-        tree = F.floor(F.col("_u") / F.lit(share)).cast("int")
-        drawn = placed.withColumn("tree", tree).where(F.col("tree") < trees)
-    else:
-        inside = f"filter(sequence(0, {trees - 1}), t -> _u - t * {share!r}d - floor(_u - t * {share!r}d) < {share!r}d)"
-        drawn = placed.withColumn("tree", F.explode(F.expr(inside)))
+    # Slice t is [t * share, t * share + share) on a ring of length 1. The trees near the place of a
+    # row on each turn of the ring are tried, so the work follows the copies made, not the trees.
+    turns = int((trees - 1) * share) + 1
+    near = (
+        f"flatten(transform(sequence(0, {turns}), k -> transform(sequence(-1, 1), j -> "
+        f"cast(floor((_u + k) / {share!r}d) as int) + j)))"
+    )
+    inside = (
+        f"array_distinct(filter({near}, t -> t >= 0 and t < {trees} and "
+        f"_u - t * {share!r}d - floor(_u - t * {share!r}d) < {share!r}d))"
+    )
+    drawn = placed.withColumn("tree", F.explode(F.expr(inside)))
     drawn = drawn.withColumn("_order", uniform52(F.concat_ws("|", F.lit(seed), "tree", "_id")))
     first = Window.partitionBy("tree").orderBy("_order", "_id")
     return drawn.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= size).drop(
@@ -110,6 +118,8 @@ def _grow(names: Sequence[str], max_depth: int, seed: int):
                 continue
             feature = int(usable[int(_draw(seed, tree, node, "feature") * len(usable))])
             cut = low[feature] + _draw(seed, tree, node, "cut") * (high[feature] - low[feature])
+            # A cut that rounds up to the highest value would leave the right side empty.
+            cut = min(cut, np.nextafter(high[feature], low[feature]))
             goes_left = part[:, feature] <= cut
             nodes.append((tree, node, feature, cut, 2 * node, 2 * node + 1, depth, len(rows)))
             todo += [(2 * node, rows[goes_left], depth + 1), (2 * node + 1, rows[~goes_left], depth + 1)]
@@ -147,7 +157,10 @@ def raw_scores(scaled: DataFrame, names: Sequence[str], nodes: DataFrame, sample
 
     On 12 decimals, so that equal scores do not depend on the order of the trees.
     """
-    flat = scaled.sparkSession.sparkContext.broadcast(_flat(nodes.toPandas()))  # trees x 511 nodes
+    held = nodes.limit(MAX_NODES + 1).toPandas()
+    if len(held) > MAX_NODES:
+        raise ValueError(f"a forest of more than {MAX_NODES} nodes is not sent to every task")
+    flat = scaled.sparkSession.sparkContext.broadcast(_flat(held))
     expected = float(average_path(sample_size))
 
     @F.arrow_udf(T.DoubleType())

@@ -34,6 +34,26 @@ def neighbour_mean(readings: DataFrame, keys: list[str] | None = None) -> DataFr
     return joined.withColumn("value", F.coalesce("value", "_mean")).drop("_mean")
 
 
+def _tridiagonal(low: np.ndarray, diag: np.ndarray, up: np.ndarray, rhs: np.ndarray) -> np.ndarray:
+    """Solve a diagonally dominant tridiagonal system by cyclic reduction of all rows at once.
+
+    Each round removes the neighbours at the current distance and doubles it.
+    """
+    far = 1
+    while far < len(diag):
+        before = lambda v, fill=0.0: np.r_[np.full(far, fill), v[:-far]]
+        behind = lambda v, fill=0.0: np.r_[v[far:], np.full(far, fill)]
+        left, right = -low / before(diag, 1.0), -up / behind(diag, 1.0)
+        diag, rhs, low, up = (
+            diag + left * before(up) + right * behind(low),
+            rhs + left * before(rhs) + right * behind(rhs),
+            left * before(low),
+            right * behind(up),
+        )
+        far *= 2
+    return rhs / diag
+
+
 def _second_derivatives(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Second derivatives of the not-a-knot cubic spline at its knots (at least 4)."""
     h, n = np.diff(x), len(x)
@@ -50,15 +70,7 @@ def _second_derivatives(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     diag[-2] += h[-1] + h[-1] ** 2 / h[-2]
     lower[-2] -= h[-1] ** 2 / h[-2]
     m = np.zeros(n)
-    inner = slice(1, n - 1)
-    d, u, low, r = diag[inner].copy(), upper[1 : n - 2], lower[1 : n - 2], rhs[inner].copy()
-    for i in range(1, n - 2):
-        w = low[i - 1] / d[i - 1]
-        d[i] -= w * u[i - 1]
-        r[i] -= w * r[i - 1]
-    m[n - 2] = r[-1] / d[-1]
-    for i in range(n - 4, -1, -1):
-        m[i + 1] = (r[i] - u[i] * m[i + 2]) / d[i]
+    m[1:-1] = _tridiagonal(np.r_[0.0, lower[1 : n - 2]], diag[1:-1], np.r_[upper[1 : n - 2], 0.0], rhs[1:-1])
     m[0] = m[1] - h[0] / h[1] * (m[2] - m[1])
     m[-1] = m[-2] + h[-1] / h[-2] * (m[-2] - m[-3])
     return m
@@ -66,17 +78,23 @@ def _second_derivatives(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def _pieces(keys: list[str]):
     def solve(knots: pd.DataFrame) -> pd.DataFrame:
-        """Cubic to the right of each own knot; the last knot continues the last interval."""
-        if not knots["_own"].any():  # only neighbours of the last block
-            return knots.assign(x=0.0, a=0.0, b=0.0, c=0.0, d=0.0).iloc[:0][[*keys, "rn", *"xabcd"]]
+        """Cubic to the right of each own knot that a null follows; the last knot continues the last interval.
+
+        The first knot also serves the nulls before it. Blocks without such a knot are not solved.
+        """
         knots = knots.sort_values("knot")
+        gap = np.r_[np.diff(knots["rn"].to_numpy()) > 1, False]
+        number = knots["knot"].to_numpy()
+        wanted = knots["_own"].to_numpy() & (gap | (number == 1) | (number == knots["_knots"].to_numpy()))
+        if not wanted.any():
+            return knots.assign(x=0.0, a=0.0, b=0.0, c=0.0, d=0.0).iloc[:0][[*keys, "rn", *"xabcd"]]
         x, y = knots["rn"].to_numpy(float), knots["value"].to_numpy(float)
         m, h = _second_derivatives(x, y), np.diff(x)
         b = np.diff(y) / h - h * (2 * m[:-1] + m[1:]) / 6
         cubic = np.column_stack([x, y, np.r_[b, 0.0], m / 2, np.r_[np.diff(m) / (6 * h), 0.0]])
         cubic[-1] = cubic[-2]
         out = pd.concat([knots[[*keys, "rn"]].reset_index(drop=True), pd.DataFrame(cubic, columns=list("xabcd"))], axis=1)
-        return out[knots["_own"].to_numpy()]
+        return out[wanted]
 
     return solve
 
@@ -96,7 +114,7 @@ def spline(arranged: DataFrame, keys: list[str] | None = None, block_knots: int
     counts = freeze(rows.groupBy(*keys).agg(F.count("value").alias("_knots")), "knots")
     rows = rows.join(counts, keys)
 
-    knots = rows.where(known & (F.col("_knots") >= 4)).select(*keys, "rn", "knot", "value")
+    knots = rows.where(known & (F.col("_knots") >= 4)).select(*keys, "rn", "knot", "value", "_knots")
     cut = blocks(knots, keys, rn="knot", before=HALO_KNOTS, after=HALO_KNOTS, rows=block_knots)
     schema = ", ".join(f"{k} {t}" for k, t in cut.dtypes if k in keys)
     schema += ", rn bigint, x double, a double, b double, c double, d double"

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorloom.functions.columns import minutes_between
-from sensorloom.operators.ordered import CHUNK, POS, arrange, previous, running_sum
+from sensorloom.operators.ordered import CHUNK, POS, arrange, local_window, previous
 from sensorloom.session import freeze
 
 SERIES = ["entity_id"]
@@ -14,14 +14,23 @@ ORDER = ["time", "row_key"]
 
 
 def load_profile(readings: DataFrame) -> DataFrame:
-    """One row: size, period, null share and number of devices and systems."""
-    nulls = F.count_if(F.col("value").isNull())
-    return readings.agg(
-        F.count(F.lit(1)).alias("n_records"),
-        F.min("time").alias("min_time"),
-        F.max("time").alias("max_time"),
+    """One row: size, period, null share and number of devices and systems.
+
+    Counted per (equipment, system) first: the distinct counts then read that small table.
+    """
+    pairs = readings.groupBy("equipment", "system").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("time").alias("first"),
+        F.max("time").alias("last"),
+        F.count_if(F.col("value").isNull()).alias("nulls"),
+    )
+    n, nulls = F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("nulls"), F.lit(0))
+    return pairs.agg(
+        n.alias("n_records"),
+        F.min("first").alias("min_time"),
+        F.max("last").alias("max_time"),
         nulls.alias("null_count"),
-        F.try_divide(nulls * F.lit(100.0), F.count(F.lit(1))).alias("null_pct"),
+        F.try_divide(nulls * F.lit(100.0), n).alias("null_pct"),
         F.count_distinct("equipment").alias("n_equipment"),
         F.count_distinct("system").alias("n_systems"),
     )
@@ -72,10 +81,30 @@ def time_delta(arranged: DataFrame) -> DataFrame:
 
 
 def segments(arranged: DataFrame, max_gap_minutes: float) -> DataFrame:
-    """``segment_id`` counts the gaps longer than ``max_gap_minutes`` seen so far in the series."""
+    """``segment_id`` counts the gaps longer than ``max_gap_minutes`` seen so far in the series.
+
+    One local window per chunk finds its gaps and counts them; a summary with the chunk's first
+    and last time and its number of gaps then corrects the first row's gap and all counts. One
+    shuffle and one write of the rows.
+    """
+    at = local_window(SERIES)
+    gap = minutes_between(F.lag("time").over(at), F.col("time"))
+    local = arranged.withColumn("gap_minutes", gap)
     jump = F.when(F.col("gap_minutes") > max_gap_minutes, 1).otherwise(0).cast("bigint")
-    deltas = freeze(time_delta(arranged), "deltas")
-    return running_sum(deltas, SERIES, {"segment_id": jump})
+    so_far = F.sum(jump).over(at.rowsBetween(Window.unboundedPreceding, 0))
+    local = local.withColumns({"_jumps": so_far, "_first": F.row_number().over(at) == 1})
+    local = freeze(local, "gaps")
+    chunks = local.groupBy(*SERIES, CHUNK).agg(F.min("time").alias("_from"), F.max("time").alias("_to"), F.max("_jumps").alias("_n"))
+    earlier = Window.partitionBy(*SERIES).orderBy(CHUNK)
+    border = minutes_between(F.lag("_to").over(earlier), F.col("_from"))
+    chunks = chunks.withColumn("_gap", border)
+    own_jump = F.when(F.col("_gap") > max_gap_minutes, 1).otherwise(0).cast("bigint")
+    before = F.coalesce(F.sum("_n").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    carry = chunks.select(*SERIES, CHUNK, "_gap", (before + F.sum(own_jump).over(earlier)).alias("_before"))
+    joined = local.join(freeze(carry, "carry"), [*SERIES, CHUNK])
+    return joined.withColumns(
+        {"gap_minutes": F.when(F.col("_first"), F.col("_gap")).otherwise(F.col("gap_minutes")), "segment_id": F.col("_jumps") + F.col("_before")}
+    ).drop("_jumps", "_first", "_gap", "_before")
 
 
 def gap_report(arranged: DataFrame, max_gap_minutes: float) -> DataFrame:
@@ -133,7 +162,10 @@ def unplaced(df: DataFrame) -> DataFrame:
 
 
 def write_clean(segmented: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Clean rows per series; files follow the series order, long series get several."""
-    ordered = unplaced(segmented).repartitionByRange("entity_id", "time", "row_key")
-    writer = ordered.sortWithinPartitions("entity_id", "time", "row_key").write.mode("overwrite")
+    """Clean rows per series; a long series gets several files, each in order.
+
+    The shuffle is a rebalance: AQE splits the long series by size, and nothing is run twice for a sample.
+    """
+    placed = unplaced(segmented).hint("rebalance", "entity_id")
+    writer = placed.sortWithinPartitions("entity_id", "time", "row_key").write.mode("overwrite")
     writer.partitionBy("entity_id").option("header", True).format(fmt).save(path)

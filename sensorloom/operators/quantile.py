@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import isfinite
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,8 +20,18 @@ def value_at_rank(df: DataFrame, col: str, rank: int) -> tuple[float, int]:
     one distinct value. Every round shrinks the range 65,536-fold, however the values are
     spread and however many are equal.
     """
-    below, part = 0, df.select(F.col(col).cast("double").alias("x")).where("x is not null")
+    below, part = 0, df.select(F.col(col).cast("double").alias("x")).where("x is not null and not isnan(x)")
     low, high = part.agg(F.min("x"), F.max("x")).first()
+    while low < high and not isfinite(high - low):
+        # Infinite ends, or a range too wide for a double, have no equal bins: cut at zero and the ends.
+        side = F.when(F.col("x") == float("-inf"), 0).when(F.col("x") < 0, 1).when(F.col("x") < float("inf"), 2).otherwise(3)
+        counts = part.groupBy(side.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+        for row in sorted(counts.collect()):
+            if below + row.n > rank:
+                break
+            below += row.n
+        low, high = row.low, row.high
+        part = part.where(F.col("x").between(low, high))
     while low < high:
         binned = part.groupBy(equal_width_bin(F.col("x"), F.lit(low), F.lit(high), BINS).alias("bin"))
         counts = binned.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
@@ -33,11 +45,12 @@ def value_at_rank(df: DataFrame, col: str, rank: int) -> tuple[float, int]:
 
 
 def exact_quantile(df: DataFrame, col: str, p: float) -> float | None:
-    """Linear-interpolation quantile of the non-null values; null for an empty column.
+    """Linear-interpolation quantile of the values that are neither null nor NaN; null if there are none.
 
     Reads ``df`` a few times: pass a written or cached table if it is costly.
     """
-    n = df.where(F.col(col).isNotNull()).count()
+    df = df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double")))
+    n = df.count()
     if not n:
         return None
     at = p * (n - 1)
@@ -46,4 +59,5 @@ def exact_quantile(df: DataFrame, col: str, p: float) -> float | None:
     if at == rank or upto > rank + 1:
         return value
     following = df.where(F.col(col) > value).agg(F.min(col)).first()[0]
-    return value + (following - value) * (at - rank)
+    share = at - rank
+    return value * (1 - share) + following * share if not isfinite(following - value) else value + (following - value) * share

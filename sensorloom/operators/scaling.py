@@ -14,7 +14,7 @@ from sensorloom.functions.columns import finite_or_zero
 from sensorloom.sources.readings import require_columns
 
 
-NO_SPREAD = 1e-12  # below this a deviation is rounding noise of a constant column
+NO_SPREAD = 1e-12  # a deviation below this share of the mean's size is rounding noise of a constant column
 
 
 def model_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -52,7 +52,8 @@ def scale(features: DataFrame, names: Sequence[str], scaler: dict[str, tuple[flo
 
     def scaled(n: str) -> str:
         mean, std = scaler[n]
-        return f"({n} - double('{mean!r}')) / double('{std if std > NO_SPREAD else 1.0!r}') as {n}"
+        spread = std if std > NO_SPREAD * abs(mean) else 1.0
+        return f"({n} - double('{mean!r}')) / double('{spread!r}') as {n}"
 
     wanted = set(names)
     return cleaned.selectExpr(*[scaled(c) if c in wanted else c for c in cleaned.columns])

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sensorloom.functions.window_features import FEATURES, GROUPS, group_struct
-from sensorloom.operators.ordered import BLOCK, block_window, blocks, number, own
+from sensorloom.functions.window_features import FEATURES, GROUPS, group_features
+from sensorloom.operators.ordered import BLOCK, CHUNK, POS, block_window, blocks, number, own
 
 META = (
     "window_start",
@@ -20,6 +23,7 @@ META = (
     "min_oxygen",
     "max_oxygen",
 )
+ROWS_PER_BLOCK = 2048
 # Columns a model trains on: everything but the keys, the times and the label.
 MODEL_FEATURES = (*META[3:], *FEATURES)
 
@@ -39,13 +43,42 @@ def long_enough(readings: DataFrame, keys: Sequence[str], rows: int) -> DataFram
     return readings.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") >= rows)
 
 
+def _per_block(
+    arranged: DataFrame, keys: Sequence[str], size: int, step: int, rn: str | None, rows_per_block: int, schema: T.StructType, make: Callable
+) -> DataFrame:
+    """Cut series into blocks and give each block once to a task.
+
+    ``make`` gets the block's rows in order, the places where its own windows begin (every
+    ``step``-th row of the series), and their values as an n x ``size`` view with NaN for nulls.
+    The cost follows the windows that are kept, and a reading travels once, not once a window.
+    """
+    numbered = arranged if rn else number(arranged, keys)
+    rn = rn or "rn"
+    cut = blocks(numbered, keys, rn, after=size - 1, rows=rows_per_block)
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by(rn).combine_chunks()
+        values = np.array(rows.column("value").to_numpy(zero_copy_only=False), float)
+        begins = rows.column("_own").to_numpy() & ((rows.column(rn).to_numpy() - 1) % step == 0)
+        begins[max(0, len(values) - size + 1) :] = False
+        at = np.flatnonzero(begins)
+        view = np.lib.stride_tricks.sliding_window_view(values, size)[at] if len(at) else np.empty((0, size))
+        return make(rows, at, view)
+
+    return cut.groupBy(*keys, BLOCK).applyInArrow(run, schema)
+
+
+def _fields(df: DataFrame, names: Sequence[str]) -> list[T.StructField]:
+    return [df.schema[n] for n in names]
+
+
 def sliding_windows(
     arranged: DataFrame,
     keys: Sequence[str],
     size: int = 60,
     step: int = 1,
     rn: str | None = None,
-    rows_per_block: int = 2048,
+    rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
     """One row per full window of ``size`` rows, every ``step`` rows of a series.
 
@@ -53,20 +86,21 @@ def sliding_windows(
     fewer than ``size`` entries if readings are null). The window's own columns are those of
     its first row.
     """
-    numbered = arranged if rn else number(arranged, keys)
-    rn = rn or "rn"
-    cut = blocks(numbered, keys, rn, after=size - 1, rows=rows_per_block)
-    at = block_window(keys, rn)
-    framed = cut.withColumns(
-        {
-            "values": F.collect_list("value").over(at.rowsBetween(0, size - 1)),
-            "window_end": F.lead("time", size - 1).over(at),
-            "window_center": F.lead("time", size // 2).over(at),
-            "_last": F.lead(rn, size - 1).over(at),
-        }
-    )
-    starts = own(framed.where(F.col("_last").isNotNull() & ((F.col(rn) - 1) % step == 0)))
-    return starts.drop("_last").withColumnRenamed("time", "window_start").withColumn("n_points", F.lit(size).cast("bigint"))
+    names = [c for c in arranged.columns if c not in (POS, CHUNK)]
+    names += [] if rn else ["rn"]
+    time = arranged.schema["time"].dataType
+    fields = [T.StructField("rn", T.LongType()) if c not in arranged.columns else arranged.schema[c] for c in names]
+    added = [T.StructField("values", T.ArrayType(T.DoubleType())), T.StructField("window_end", time), T.StructField("window_center", time)]
+
+    def make(rows: pa.Table, at: np.ndarray, view: np.ndarray) -> pa.Table:
+        known = ~np.isnan(view)
+        ends = np.concatenate([[0], np.cumsum(known.sum(1))])
+        values = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(view[known]))
+        times = rows.column("time")
+        return pa.table([*(rows.column(c).take(at) for c in names), values, times.take(at + size - 1), times.take(at + size // 2)], [f.name for f in fields + added])
+
+    found = _per_block(arranged, keys, size, step, rn, rows_per_block, T.StructType(fields + added), make)
+    return found.withColumnRenamed("time", "window_start").withColumn("n_points", F.lit(size).cast("bigint"))
 
 
 def window_counts(windows: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
@@ -84,23 +118,13 @@ def complete(windows: DataFrame, size: int) -> DataFrame:
     return windows.where(F.size("values") == size)
 
 
-def with_features(windows: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
-    """Replace ``values`` by metadata and the named features (all by default).
+ALIAS = {"mean_oxygen": "mean", "std_oxygen": "std"}
 
-    Groups that no requested feature needs are not evaluated.
-    """
-    names = list(names if names is not None else MODEL_FEATURES)
-    source = {f: f"_{g}.{f}" for g, fs in GROUPS.items() for f in fs}
-    source |= {
-        "mean_oxygen": "_distribution.mean",
-        "std_oxygen": "_distribution.std",
-        "min_oxygen": "array_min(values)",
-        "max_oxygen": "array_max(values)",
-    }
-    needed = [g for g in GROUPS if any(source.get(n, n).startswith(f"_{g}.") for n in names)]
-    wide = windows.withColumns({f"_{g}": group_struct(g, F.col("values")) for g in needed}) if needed else windows
-    keep = [c for c in windows.columns if c != "values" and c not in names]
-    return wide.selectExpr(*keep, *[f"{source.get(n, n)} as {n}" for n in names])
+
+def needed_groups(names: Sequence[str]) -> list[str]:
+    """Groups of features that the named columns come from."""
+    source = {f: g for g, fs in GROUPS.items() for f in fs}
+    return sorted({source[ALIAS.get(n, n)] for n in names if ALIAS.get(n, n) in source})
 
 
 def extract_features(
@@ -111,12 +135,33 @@ def extract_features(
     names: Sequence[str] | None = None,
     rn: str | None = None,
 ) -> DataFrame:
-    """Window table with features; keys and times first."""
-    windows = complete(sliding_windows(arranged, keys, size, step, rn), size)
-    table = with_features(windows, names)
-    first = [*keys, *META[:3]]
-    chosen = list(names if names is not None else MODEL_FEATURES)
-    return table.select(*first, *[c for c in chosen if c not in first])
+    """Features of the windows without nulls; keys and times first.
+
+    Groups of features of which none is asked for are not evaluated.
+    """
+    chosen = [n for n in (names if names is not None else MODEL_FEATURES) if n not in (*keys, *META[:3])]
+    needed = needed_groups(chosen)
+    time = arranged.schema["time"].dataType
+    fields = [*_fields(arranged, keys), *[T.StructField(t, time) for t in META[:3]]]
+    fields += [T.StructField(n, T.LongType() if n == "n_points" else T.DoubleType()) for n in chosen]
+
+    def make(rows: pa.Table, at: np.ndarray, view: np.ndarray) -> pa.Table:
+        whole = ~np.isnan(view).any(1)
+        at, x = at[whole], view[whole]
+        times = rows.column("time")
+        columns = [*(rows.column(k).take(at) for k in keys), times.take(at), times.take(at + size - 1), times.take(at + size // 2)]
+        if not len(at):
+            return pa.table([*columns, *(pa.array([], f.type) for f in arrow_tail)], [f.name for f in fields])
+        found = {"min_oxygen": x.min(1), "max_oxygen": x.max(1)}
+        for g in needed:
+            found |= group_features(g, x)
+        for n, f in zip(chosen, arrow_tail):
+            value = np.full(len(at), size) if n == "n_points" else found[ALIAS.get(n, n)].astype(float)
+            columns.append(pa.array(value, f.type, from_pandas=True))
+        return pa.table(columns, [f.name for f in fields])
+
+    arrow_tail = [pa.field(n, pa.int64() if n == "n_points" else pa.float64()) for n in chosen]
+    return _per_block(arranged, keys, size, step, rn, ROWS_PER_BLOCK, T.StructType(fields), make)
 
 
 def rolling_means(arranged: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -143,5 +188,4 @@ __all__ = [
     "series_keys",
     "sliding_windows",
     "window_counts",
-    "with_features",
 ]

@@ -6,6 +6,10 @@ value double)
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,9 +48,14 @@ def parse_time(text: Column) -> Column:
     return F.coalesce(*tried)
 
 
+def finite(number: Column) -> Column:
+    """NaN and infinite numbers are missing readings: they become null."""
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
+
+
 def numeric(text: Column) -> Column:
-    """Text that is no number becomes null."""
-    return text.try_cast("double")
+    """Text that is no finite number becomes null."""
+    return finite(text.try_cast("double"))
 
 
 def entity_id(equipment: Column, system: Column) -> Column:
@@ -90,31 +99,59 @@ def _renamed(df: DataFrame) -> DataFrame:
     for source, name in HEADERS.items():
         if source in df.columns and name not in picked:
             picked[name] = F.col(f"`{source}`")
-    return df.select(*[c.alias(n) for n, c in picked.items()], "_row")
+    return df.select(*[c.alias(n) for n, c in picked.items()])
+
+
+def _by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Files of a folder by their header; one short read per file, some at a time."""
+    files = [r.path for r in spark.read.format("binaryFile").load(path).select("path").collect()]
+
+    def header(file: str) -> tuple[str, ...]:
+        return tuple(spark.read.option("header", True).csv(file).columns)
 
+    with ThreadPoolExecutor(16) as pool:
+        headers = list(pool.map(header, files))
+    return {h: [f for f, g in zip(files, headers) if g == h] for h in dict.fromkeys(headers)}
 
-def _csv_schema(spark: SparkSession, path: str) -> T.StructType:
-    # The header names the columns; every column is read as text, no inference pass.
-    return spark.read.option("header", True).csv(path).schema
+
+def _read_csv(spark: SparkSession, path: str) -> Iterable[DataFrame]:
+    """One table of texts per header; a file that does not have the header it was listed with fails."""
+    for header, files in _by_header(spark, path).items():
+        if header:  # a file without a line has none
+            schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+            yield spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(files)
+
+
+def _keyed(df: DataFrame) -> DataFrame:
+    """``row_key`` from the row itself: the same row has the same key however the files are split or read.
+
+    It breaks ties between readings of one device at one time. Rows that are equal in every column
+    have equal keys and are interchangeable.
+    """
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in ("time", "equipment", "system", "value") if c in df.columns]
+    return df.withColumn("row_key", F.xxhash64(*parts))
 
 
 def read_readings(
     spark: SparkSession, path: str, fmt: str = "csv", drop_nulls: bool = False, global_if_missing: bool = False
 ) -> DataFrame:
-    """Scan a file or folder of readings.
+    """Scan a file or folder of readings; CSV files may differ in their headers and in column order.
 
-    ``row_key`` is the order of arrival in the files and breaks ties between equal times.
     ``global_if_missing`` is the scoring form, which also accepts tables without device keys.
     """
     use_utc(spark)
     if fmt == "csv":
         require_path(spark, path)
-        raw = spark.read.schema(_csv_schema(spark, path)).option("header", True).csv(path)
+        tables = [_renamed(t) for t in _read_csv(spark, path)]
+        if not tables:
+            raise InputError(f"no header in {path}")
+        for t in tables:
+            require_columns(t, ["time", "value"])
+        df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
     else:
-        raw = spark.read.format(fmt).load(path)
-    df = _renamed(raw.withColumn("_row", F.monotonically_increasing_id()))
-    require_columns(df, ["time", "value"])
-    return typed(df.withColumnRenamed("_row", "row_key"), drop_nulls, global_if_missing)
+        df = _renamed(spark.read.format(fmt).load(path))
+        require_columns(df, ["time", "value"])
+    return typed(_keyed(df), drop_nulls, global_if_missing)
 
 
 def typed(df: DataFrame, drop_nulls: bool = False, global_if_missing: bool = False) -> DataFrame:
@@ -126,7 +163,9 @@ def typed(df: DataFrame, drop_nulls: bool = False, global_if_missing: bool = Fal
         df = df.withColumn("time", F.col("time").cast("timestamp"))
     if kinds["value"] == "string":
         df = df.withColumn("value", numeric(F.col("value")))
-    df = with_entity(df.withColumn("value", F.col("value").cast("double")), global_if_missing)
+    else:
+        df = df.withColumn("value", finite(F.col("value").cast("double")))
+    df = with_entity(df, global_if_missing)
     return df.where("value is not null") if drop_nulls else df
 
 
@@ -143,7 +182,8 @@ EVENT_VALUES = {
     "plain": "value",
     "nulls": "case when event_id % 17 = 0 then null else value end",
     "stuck": "case when (event_id div 1000) % 4 = 1 then 95.0d else 90.0d + floor(least(value, 100.0d) / 10) end",
-    "bad_text": "case when event_id % 23 = 0 then 'n/a' else cast(value as string) end",
+    "bad_text": "case event_id % 23 when 0 then 'n/a' when 1 then 'NaN' when 2 then 'inf' when 3 then '-Infinity' else cast(value as string) end",
+    "nan": "case event_id % 17 when 0 then null when 1 then double('NaN') when 2 then double('-Infinity') else value end",
 }
 
 

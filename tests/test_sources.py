@@ -26,7 +26,7 @@ def csv(folder, text):
 def test_both_header_sets(spark, folder):
     one = csv(folder, "time,EquipmentUnit,System,Oxygen[%sat]\n2024-01-01T00:00:00Z,EQ1,A,95.4\n2024-01-01T00:01:00Z,,A,\n")
     two = csv(folder, "timestamp,equipment_id,system_id,oxygen_saturation\n2024-01-01T00:00:00Z,EQ1,A,95.4\n")
-    got = r.read_readings(spark, one).orderBy("row_key").collect()
+    got = r.read_readings(spark, one).orderBy("time").collect()
     assert [(x.time, x.entity_id, x.value) for x in got] == [
         (START, "EQ1_A", 95.4),
         (START + dt.timedelta(minutes=1), "nan_A", None),
@@ -113,4 +113,44 @@ def test_numeric_series_names_stay_text(spark, folder):
 
 def test_combine_fills_missing_columns(spark):
     both = store.combine(spark.createDataFrame([(1,)], "a int"), spark.createDataFrame([(2, 3)], "a int, b int"))
-    assert sorted((x.a, x.b) for x in both.collect()) == [(1, None), (2, 3)] or both.count() == 2
+    assert sorted((x.a, x.b) for x in both.collect()) == [(1, None), (2, 3)]
+
+
+def test_files_may_differ_in_headers_and_order(spark, folder, tmp_path):
+    (tmp_path / "a.csv").write_text("time,EquipmentUnit,System,Oxygen[%sat]\n2024-01-01T00:00:00Z,E1,S1,90\n")
+    (tmp_path / "b.csv").write_text("System,Oxygen[%sat],time,EquipmentUnit\nS2,91,2024-01-01T00:01:00Z,E2\n")
+    (tmp_path / "c.csv").write_text("oxygen_saturation,system_id,equipment_id,timestamp,note\nNaN,S3,E3,2024-01-01T00:02:00Z,x\n")
+    (tmp_path / "d.csv").write_text("")
+    got = r.read_readings(spark, str(tmp_path)).orderBy("time").collect()
+    assert [(x.entity_id, x.value) for x in got] == [("E1_S1", 90.0), ("E2_S2", 91.0), ("E3_S3", None)]
+    assert got[2].time == START + dt.timedelta(minutes=2)
+
+
+def test_keys_do_not_depend_on_how_files_are_split(spark, tmp_path):
+    lines = [f"2024-01-01T00:{i // 60:02d}:{i % 60:02d}Z,E{i % 3},S,{90 + i % 7}" for i in range(2000)]
+    (tmp_path / "a.csv").write_text("time,EquipmentUnit,System,Oxygen[%sat]\n" + "\n".join(lines) + "\n")
+    keys = lambda: sorted((x.entity_id, x.time, x.row_key) for x in r.read_readings(spark, str(tmp_path)).collect())
+    whole = keys()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert keys() == whole
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_values_that_are_no_numbers_are_null(spark, tmp_path):
+    rows = ["NaN", "nan", "inf", "-Infinity", "n/a", "", "1e400", "91.5"]
+    (tmp_path / "a.csv").write_text("time,Oxygen[%sat]\n" + "".join(f"2024-01-01T00:0{i}:00Z,{v}\n" for i, v in enumerate(rows)))
+    got = r.read_readings(spark, str(tmp_path), global_if_missing=True).orderBy("time").collect()
+    assert [x.value for x in got] == [None] * 7 + [91.5]
+    numbers = spark.createDataFrame([(START, float("nan")), (START, float("inf")), (START, 2.0)], "time timestamp, value double")
+    assert sorted((x.value for x in r.typed(numbers, global_if_missing=True).collect()), key=str) == [2.0, None, None]
+
+
+def test_a_time_filter_reaches_parquet(spark, tmp_path):
+    path = str(tmp_path / "p")
+    spark.createDataFrame([(START, "E", "S", 1.0)], "time timestamp, equipment_id string, system_id string, oxygen_saturation double").write.parquet(path)
+    readings = r.read_readings(spark, path, "parquet").where("time > timestamp'2024-01-01 00:00:00'")
+    plan = readings._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(time" in plan
