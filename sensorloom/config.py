@@ -26,6 +26,7 @@ class PipelineConfig:
     forecast_steps: int = 7 * 24 * 60
     interval_width: float = 0.90
     respect_segments: bool = False
+    forecast_by: tuple[str, ...] = ()
 
     def __post_init__(self):
         if self.window_size < 2:
@@ -52,7 +53,28 @@ class PipelineConfig:
         return self.window_size - self.overlap
 
     def feature_hash(self) -> str:
-        """Identifies the settings that change feature values; part of the feature-store path."""
-        keys = ("test_size_days", "window_size", "overlap", "imputation", "anomaly_fraction", "respect_segments")
+        """Identifies the settings that decide stored feature values; part of the feature-store path."""
+        keys = (
+            "test_size_days",
+            "max_gap_minutes",
+            "window_size",
+            "overlap",
+            "imputation",
+            "anomaly_fraction",
+            "respect_segments",
+        )
         settings = {k: v for k, v in asdict(self).items() if k in keys}
         return hashlib.md5(json.dumps(settings, sort_keys=True).encode()).hexdigest()[:12]
+
+    def to_json(self) -> str:
+        return json.dumps(asdict(self), sort_keys=True)
+
+    @classmethod
+    def from_json(cls, text: str) -> PipelineConfig:
+        values = json.loads(text)
+        return cls(**(values | {"forecast_by": tuple(values.get("forecast_by", ()))}))
+
+    def conflicts(self, trained: PipelineConfig) -> list[str]:
+        """Settings that must be those of the training for scores to mean the same."""
+        names = ("window_size", "overlap", "imputation", "respect_segments")
+        return [n for n in names if getattr(self, n) != getattr(trained, n)]

@@ -31,6 +31,10 @@ SEASON_SCALE = 10.0
 MIN_POINTS = 2
 MIN_HOURS = 10
 HOURS_AHEAD = 7 * 24
+# Length of the first regression of an ARIMA fit; a series shorter than 4 times that takes a quarter of its hours.
+LONG_ORDER = 12
+# Readings of one key whose products one task adds up.
+MOMENT_ROWS = 1 << 20
 SEASONAL_WEIGHT = 0.6
 ARIMA_ORDERS = [(p, d, q) for p in range(3) for d in range(2) for q in range(3)]
 DAY_US = 86_400_000_000.0
@@ -52,12 +56,25 @@ def hourly_mean(readings: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def future_grid(readings: DataFrame, steps: int, by: Sequence[str] = ()) -> DataFrame:
     """Distinct known times (``step`` null) and ``steps`` further minutes (``step`` 1, 2, ...)."""
-    known = usable_points(readings).select(*by, F.col("time").alias("timestamp"))
+    return extend_grid(known_times(readings, by), steps, by)
+
+
+def known_times(readings: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return usable_points(readings).select(*by, F.col("time").alias("timestamp")).distinct()
+
+
+def extend_grid(known: DataFrame, steps: int, by: Sequence[str] = ()) -> DataFrame:
+    """Known times and ``steps`` minutes after the last of each key."""
     last = known.groupBy(*by).agg(F.max("timestamp").alias("_last")).where("_last is not null")
     ahead = last.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(steps)))).withColumn(
         "timestamp", F.col("_last") + F.make_dt_interval(mins=F.col("step"))
     )
-    return known.distinct().unionByName(ahead.drop("_last"), allowMissingColumns=True)
+    return known.unionByName(ahead.drop("_last"), allowMissingColumns=True)
+
+
+def hours_for(steps: int) -> int:
+    """Hours that a forecast of ``steps`` minutes reaches into."""
+    return -(-steps // 60)
 
 
 # ---------------------------------------------------------------- seasonal model
@@ -99,11 +116,15 @@ def _periods(points: DataFrame, by: Sequence[str]) -> DataFrame:
 def _with_model(df: DataFrame, model: DataFrame, by: Sequence[str]) -> DataFrame:
     """Attach the model row of each key; the single row of a pooled model as literals.
 
-    Without a pooled model no row is left, as in the join.
+    Without a pooled model no row is left, as in the join. A table with more than one row is no
+    pooled model.
     """
     if by:
         return df.join(model, list(by))
-    row = model.first()
+    rows = model.take(2)
+    if len(rows) > 1:
+        raise ValueError("models of several keys need the keys they were trained by")
+    row = rows[0] if rows else None
     if row is None:
         return df.where("false").withColumns({f.name: F.lit(None).cast(f.dataType) for f in model.schema})
     return df.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in model.schema})
@@ -112,7 +133,7 @@ def _with_model(df: DataFrame, model: DataFrame, by: Sequence[str]) -> DataFrame
 def moments(readings: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Mean cross products of the basis columns and the value: (by, i, j, moment), i <= j.
 
-    Index ``len(basis)`` is the value. Each task emits one row per pair and key it met.
+    Index ``len(basis)`` is the value. A task emits one row per pair for each run of rows of a key.
     """
     points = usable_points(readings)
     return _moments(points, _periods(points, by), by)
@@ -122,6 +143,10 @@ def _moments(points: DataFrame, period: DataFrame, by: Sequence[str]) -> DataFra
     joined = _with_model(points.select(*by, "time", "value"), period.select(*by, "start", "end", "n"), by)
     width = len(basis_names())
     key = F.to_json(F.struct(*by)) if by else F.lit("")
+    if by:
+        # Readings of a key come together, long series in parts, so that a task holds one sum at a time.
+        joined = joined.withColumn("_part", F.pmod(F.xxhash64("time"), F.ceil(F.col("n") / MOMENT_ROWS)))
+        joined = joined.repartition(*by, "_part").sortWithinPartitions(*by, "_part")
     wide = joined.select(
         key.alias("_key"),
         *[c.alias(f"x{i}") for i, c in enumerate(basis(F.col("time"), F.col("start"), F.col("end")))],
@@ -130,20 +155,26 @@ def _moments(points: DataFrame, period: DataFrame, by: Sequence[str]) -> DataFra
     first, second = np.triu_indices(width + 1)
 
     def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[str, np.ndarray] = {}
+        def out(k, gram):
+            columns = [pa.array([k] * len(first)), pa.array(first), pa.array(second), pa.array(gram[first, second])]
+            return pa.RecordBatch.from_arrays(columns, names=["_key", "i", "j", "s"])
+
+        held, total = None, None
         for b in batches:
+            if not b.num_rows:
+                continue
             keys = b.column(0).dictionary_encode()
             x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns[1:]])
-            code = keys.indices.to_numpy()
-            for i, k in enumerate(keys.dictionary.to_pylist()):
-                part = x if len(keys.dictionary) == 1 else x[code == i]
-                gram = (part.T @ part)[first, second]
-                totals[k] = totals[k] + gram if k in totals else gram
-        for k, gram in totals.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k] * len(gram)), pa.array(first), pa.array(second), pa.array(gram)],
-                names=["_key", "i", "j", "s"],
-            )
+            code, names = keys.indices.to_numpy(), keys.dictionary.to_pylist()
+            edges = np.r_[0, np.flatnonzero(np.diff(code)) + 1, len(code)]
+            for i, j in zip(edges, edges[1:]):
+                k, gram = names[code[i]], x[i:j].T @ x[i:j]
+                if total is not None and k != held:
+                    yield out(held, total)
+                    total = None
+                held, total = k, gram if total is None else total + gram
+        if total is not None:
+            yield out(held, total)
 
     parts = wide.mapInArrow(products, "_key string, i bigint, j bigint, s double")
     sums = parts.groupBy("_key", "i", "j").agg(F.sum("s").alias("s"))
@@ -208,7 +239,7 @@ def _lags(x: np.ndarray, k: int, start: int) -> np.ndarray:
     return np.column_stack([x[start - i : len(x) - i] for i in range(1, k + 1)]) if k else np.empty((len(x) - start, 0))
 
 
-def hannan_rissanen(y: np.ndarray, order: tuple[int, int, int], ahead: int):
+def hannan_rissanen(y: np.ndarray, order: tuple[int, int, int], ahead: int, long_order: int = LONG_ORDER):
     """Fit by two regressions; returns (aic, coefficients, forecast) or None.
 
     All orders are compared on the same last observations. A fit with an explosive
@@ -216,7 +247,7 @@ def hannan_rissanen(y: np.ndarray, order: tuple[int, int, int], ahead: int):
     """
     p, d, q = order
     w = np.diff(y, d) if d else y
-    long = min(12, len(y) // 4)
+    long = min(long_order, len(y) // 4)
     start = long + 3 - d
     if len(w) - start < p + q + 2:
         return None
@@ -287,17 +318,15 @@ def step_hold_blend(minutes: DataFrame, hourly: DataFrame, by: Sequence[str] = (
     hourly values keep the seasonal point.
     """
     last = hourly.groupBy(*by).agg(F.max("h").alias("_last_h"))
-    if by:
-        held = minutes.join(last, list(by), "left")
-    else:
-        held = minutes.withColumn("_last_h", F.lit(last.first()[0]))
-    hour = F.least(F.expr("(step - 1) div 60").cast("int"), F.col("_last_h"))
-    held = held.withColumn("h", F.when(F.col("step").isNotNull(), hour))
+    # Only the rows ahead meet the hours: the history, which grows with the data, is not joined.
+    history = minutes.where("step is null").withColumn("ensemble_point", F.col("seasonal_point"))
+    ahead = minutes.where("step is not null")
+    held = ahead.join(last, list(by), "left") if by else ahead.withColumn("_last_h", F.lit(last.first()[0]))
+    held = held.withColumn("h", F.least(F.expr("(step - 1) div 60").cast("int"), F.col("_last_h")))
     joined = held.join(hourly, [*by, "h"], "left")
     mixed = F.lit(weight) * F.col("seasonal_point") + F.lit(1 - weight) * F.col("hourly_value")
-    return joined.withColumn("ensemble_point", F.coalesce(mixed, F.col("seasonal_point"))).drop(
-        "h", "_last_h", "hourly_value"
-    )
+    blended = joined.withColumn("ensemble_point", F.coalesce(mixed, F.col("seasonal_point")))
+    return history.unionByName(blended.drop("h", "_last_h", "hourly_value"))
 
 
 def hourly_values(arima: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -328,10 +357,17 @@ def ensemble_forecast(
 def forecast_ensemble(readings: DataFrame, steps: int, by: Sequence[str] = (), width: float = 0.90) -> DataFrame:
     """Train both models and forecast ``steps`` minutes beyond the readings."""
     seasonal = freeze(train_seasonal(readings, by), "seasonal")
-    arima = freeze(train_arima(readings, by), "arima")
+    arima = freeze(train_arima(readings, by, hours_for(steps)), "arima")
     return ensemble_forecast(future_grid(readings, steps, by), seasonal, arima, by, width)
 
 
+def forecast_head(forecast: DataFrame, n: int, by: Sequence[str] = ()) -> DataFrame:
+    """The first ``n`` rows of each key in time order, from an ordered pass: no task holds them all."""
+    names = forecast.columns
+    placed = arrange(forecast, list(by), ["timestamp"])
+    return number(placed, list(by), "_at").where(F.col("_at") <= n).select(*names)
+
+
 def aligned(actual: DataFrame, forecast: DataFrame, align: str = "time", by: Sequence[str] = ()) -> DataFrame:
     """Pairs (actual, forecast) by minute, or by position in time order.
 
@@ -347,7 +383,9 @@ def aligned(actual: DataFrame, forecast: DataFrame, align: str = "time", by: Seq
     elif align == "position":
         placed = arrange(actual.select(*by, "time", "row_key", "value"), list(by), ["time", "row_key"])
         left = number(placed, list(by), "_at").select(*by, "_at", F.col("value").alias("actual"))
-        ordered = arrange(forecast.select(*by, "timestamp", "forecast_point"), list(by), ["timestamp"])
+        # Placing a table samples it first: the forecast is written, so that it is not made twice.
+        made = freeze(forecast.select(*by, "timestamp", "forecast_point"), "forecast")
+        ordered = arrange(made, list(by), ["timestamp"])
         right = number(ordered, list(by), "_at").select(*by, "_at", F.col("forecast_point").alias("forecast"))
     else:
         raise ValueError("align must be 'time' or 'position'")

@@ -86,7 +86,8 @@ def sample_rows(rows: DataFrame, ids: Sequence[str], n_rows: int, trees: int, si
     )
     drawn = placed.withColumn("tree", F.explode(F.expr(inside)))
     drawn = drawn.withColumn("_order", uniform52(F.concat_ws("|", F.lit(seed), "tree", "_id")))
-    first = Window.partitionBy("tree").orderBy("_order", "_id")
+    # Rows with equal ids are told apart by the rest of their columns, whatever order they come in.
+    first = Window.partitionBy("tree").orderBy("_order", "_id", *[c for c in rows.columns if c not in ids])
     return drawn.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= size).drop(
         "_rank", "_u", "_id", "_order"
     )

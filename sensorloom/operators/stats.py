@@ -15,20 +15,42 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def per_feature(row: DataFrame, names: Sequence[str], parts: Sequence[str]) -> DataFrame:
-    """One-row table with columns ``<part>_<feature>`` to one row per feature."""
-    entry = lambda n: ", ".join([f"'feature', '{n}'", *[f"'{p}', {p}_{n}" for p in parts]])
-    entries = ", ".join(f"named_struct({entry(n)})" for n in names)
-    shared = [c for c in row.columns if c not in {f"{p}_{n}" for n in names for p in parts}]
-    return row.selectExpr(*shared, f"explode(array({entries})) as e").select("e.*", *shared)
-
-
 def feature_statistics(features: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
-    """Mean and sample deviation of every numeric column, and the number of windows."""
+    """Mean and sample deviation of every numeric column, and the number of windows.
+
+    Every batch gives count, mean and sum of squared deviations of all columns at once; the parts
+    are put together by the usual rule for merged variances. Nulls are left out.
+    """
     names = list(names or numeric_columns(features))
-    aggs = [F.expr(f"{f}({n}) as {p}_{n}") for n in names for f, p in (("avg", "mean"), ("stddev_samp", "std"))]
-    row = features.agg(F.count(F.lit(1)).alias("n_windows"), *aggs)
-    return per_feature(row, names, ["mean", "std"])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in b.columns])
+            n = (~np.isnan(x)).sum(0)
+            mean = np.nansum(x, 0) / np.maximum(n, 1)
+            square = np.nansum((x - mean) ** 2, 0)
+            columns = [pa.array(np.arange(len(names))), pa.array(np.full(len(names), len(x))), pa.array(n), pa.array(mean), pa.array(square)]
+            yield pa.RecordBatch.from_arrays(columns, names=["i", "rows", "n", "m", "q"])
+
+    parts = features.select(*[F.col(n).cast("double") for n in names]).mapInArrow(summed, "i bigint, rows bigint, n bigint, m double, q double")
+    total = parts.groupBy("i").agg(
+        F.sum("rows").alias("n_windows"),
+        F.sum("n").alias("n"),
+        F.try_divide(F.sum(F.col("n") * F.col("m")), F.sum("n")).alias("mean"),
+        F.sum("q").alias("within"),
+        F.sum(F.col("n") * F.col("m") * F.col("m")).alias("squares"),
+    )
+    between = F.greatest(F.col("squares") - F.col("n") * F.col("mean") * F.col("mean"), F.lit(0.0))
+    # Rounding of the squares around a large mean is no spread.
+    between = F.when(between > F.lit(1e-14) * F.col("squares"), between).otherwise(0.0)
+    std = F.sqrt(F.try_divide(F.col("within") + between, F.when(F.col("n") > 1, F.col("n") - 1)))
+    listed = F.array(*[F.struct(F.lit(i).cast("bigint").alias("i"), F.lit(n).alias("feature")) for i, n in enumerate(names)])
+    every = features.sparkSession.range(1).select(F.explode(listed).alias("e")).select("e.*")
+    return every.join(total, "i", "left").select(
+        "feature", "mean", std.alias("std"), F.coalesce("n_windows", F.lit(0).cast("bigint")).alias("n_windows")
+    )
 
 
 def top_features(statistics: DataFrame, n: int = 15) -> DataFrame:

@@ -30,7 +30,7 @@ from sensorloom.operators.quantile import exact_quantile
 from sensorloom.plans import jobs
 from sensorloom.session import freeze, shared_dir
 from sensorloom.sources import store
-from sensorloom.sources.readings import numeric, parse_time, read_events, read_readings, typed, with_entity
+from sensorloom.sources.readings import EVENT_VALUES, numeric, parse_time, read_events, read_readings, typed, with_entity
 
 MAX_GAP = 120  # minutes; suits the sparse events table
 TEST_DAYS = 7
@@ -43,14 +43,26 @@ SURROGATE = ["mean_oxygen", "std_oxygen", "min_oxygen", "max_oxygen", "range", "
 CONTAMINATION = 0.07
 CORRELATED = [*SURROGATE, "n_points", "skewness", "kurtosis", "entropy"]
 FAULT_SHARE = 0.1
+LONG_STEPS = 8 * 24 * 60
+ENTITY_STEPS = 24 * 60
 # Whole microseconds in minutes or hours: 10 decimals never end in an exact half.
 DURATIONS = ("gap_minutes", "max_gap_minutes", "time_span_hours")
-# Results of solved equations, shown on 3 decimals.
+# Results of solved equations are shown on 3 decimals, in the queries where a solver made them.
+SOLVER_QUERIES = (
+    "seasonal_forecast",
+    "arima_orders",
+    "ensemble_forecast",
+    "ensemble_forecast_long",
+    "ensemble_forecast_by_entity",
+    "forecast_evaluation",
+    "forecast_training_job",
+    "inference_forecast",
+)
 SOLVED = ("seasonal_point", "ensemble_point", "forecast_point", "forecast_lower", "forecast_upper", "aic", "mae", "rmse", "mape")
 
 
-def digits(name: str) -> int:
-    return 10 if name in DURATIONS else 3 if name in SOLVED else 6
+def digits(name: str, solved: bool = False) -> int:
+    return 10 if name in DURATIONS else 3 if solved and name in SOLVED else 6
 
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,18 +71,18 @@ QUERIES: dict[str, Query] = {}
 
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return rounded(fn(spark, sf_dir))
+        return rounded(fn(spark, sf_dir), fn.__name__ in SOLVER_QUERIES)
 
     run.__doc__ = fn.__doc__
     QUERIES[fn.__name__] = run
     return fn
 
 
-def rounded(df: DataFrame) -> DataFrame:
+def rounded(df: DataFrame, solved: bool = False) -> DataFrame:
     def shown(f: T.StructField) -> str:
         if not isinstance(f.dataType, T.DoubleType):
             return f"`{f.name}`"
-        return f"round(`{f.name}`, {digits(f.name)}) + 0.0d as `{f.name}`"
+        return f"round(`{f.name}`, {digits(f.name, solved)}) + 0.0d as `{f.name}`"
 
     return df.selectExpr(*[shown(f) for f in df.schema.fields])
 
@@ -115,8 +127,7 @@ def ts_parse(spark, sf_dir):
 @query
 def numeric_coercion(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    text = F.expr("case when event_id % 23 = 0 then 'n/a' else cast(value as string) end")
-    return events.select("event_id", numeric(text).alias("value")).na.drop()
+    return events.select("event_id", numeric(F.expr(EVENT_VALUES["bad_text"])).alias("value")).where("value is not null")
 
 
 @query
@@ -146,7 +157,8 @@ def missing_key_default(spark, sf_dir):
 
 @query
 def null_filter(spark, sf_dir):
-    return _event(quality.clean(read_events(spark, sf_dir, "nulls")), "entity_id", "value")
+    """Nulls, NaN and infinite readings are all missing."""
+    return _event(quality.clean(read_events(spark, sf_dir, "nan")), "entity_id", "value")
 
 
 @query
@@ -642,7 +654,7 @@ def forecast_metrics_by_position(spark, sf_dir):
 def forecast_head(spark, sf_dir):
     """As many forecast rows as there are test rows, from the start of the grid."""
     n = _test(spark, sf_dir).count()
-    return _stand_in_forecast(spark, sf_dir).orderBy("timestamp").limit(n).drop("step")
+    return forecast.forecast_head(_stand_in_forecast(spark, sf_dir).drop("step"), n)
 
 
 @query
@@ -669,9 +681,17 @@ def ensemble_forecast(spark, sf_dir):
     return table.withColumn("step", F.coalesce("step", F.lit(0)))
 
 
+@query
+def ensemble_forecast_long(spark, sf_dir):
+    """Eight days ahead: the hourly part reaches as far as the steps do."""
+    table = forecast.forecast_ensemble(_train(spark, sf_dir), LONG_STEPS)
+    return table.where("step is not null")
+
+
 @query
 def ensemble_forecast_by_entity(spark, sf_dir):
-    return forecast.forecast_ensemble(_train(spark, sf_dir), 7 * 24 * 60, ENTITY)
+    table = forecast.forecast_ensemble(_train(spark, sf_dir), ENTITY_STEPS, ENTITY)
+    return table.withColumn("step", F.coalesce("step", F.lit(0)))
 
 
 @query
@@ -712,3 +732,73 @@ def inference_job(spark, sf_dir):
     model, _ = forest.fit_forest(table.where("split = 'train'"), windows.MODEL_FEATURES, ["entity_id", "window_start"])
     return jobs.score_new_data(read_events(spark, sf_dir, "nulls"), model, _config())
 
+
+def _without_faults(spark, sf_dir) -> jobs.Prepared:
+    return jobs.run_preprocessing(read_events(spark, sf_dir), _config(), create_faults=False)
+
+
+@query
+def clean_store(spark, sf_dir):
+    """Segmented rows written by series and read back."""
+    path = _folder(spark, "clean")
+    jobs.run_preprocessing(read_events(spark, sf_dir, "nan"), _config(), create_faults=False, path=path)
+    back = spark.read.parquet(path)
+    return back.groupBy(F.col("entity_id").cast("string").alias("entity_id")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("time").alias("start_time"), F.max("time").alias("end_time"), F.max("segment_id").alias("last_segment")
+    )
+
+
+@query
+def model_roundtrip(spark, sf_dir):
+    """A detector stored and loaded again scores the test windows."""
+    path = _folder(spark, "models")
+    table = freeze(windows.extract_features(_split(spark, sf_dir), SPLIT, SIZE), "features")
+    unlabelled = table.withColumn("anomaly_label", F.lit(None).cast("int"))
+    jobs.run_detector_training(unlabelled, _config(), path)
+    scored = forest.score_rows(table.where("split = 'test'"), store.load_forest(spark, path))
+    return evaluate.predictions(freeze(scored, "scored"))
+
+
+@query
+def feature_job(spark, sf_dir):
+    """Features stored by a first run, one series lost, and completed by a second run."""
+    path, config = _folder(spark, "features"), _config()
+    prepared = _without_faults(spark, sf_dir)
+    lost = jobs.Prepared(prepared.rows.where("entity_id != 'EQ0_click'"), None, None)
+    jobs.run_feature_extraction(lost, path, config)
+    jobs.run_feature_extraction(prepared, path, config)
+    stored = jobs.run_feature_extraction(prepared, path, config)
+    return stored.groupBy(*SPLIT).agg(F.count(F.lit(1)).alias("n_windows"), F.avg("median").alias("mean_median"))
+
+
+@query
+def forecast_training_job(spark, sf_dir):
+    _, _, metrics = jobs.run_forecast_training(_without_faults(spark, sf_dir), _config(), _folder(spark, "forecaster"))
+    return metrics
+
+
+@query
+def inference_forecast(spark, sf_dir):
+    """Forecasters of each series, stored, loaded, and continued over a horizon of their own."""
+    path = _folder(spark, "forecasters")
+    jobs.run_forecast_training(_without_faults(spark, sf_dir), _config(), path, ENTITY)
+    ahead = PipelineConfig(forecast_steps=ENTITY_STEPS)
+    table = jobs.continue_forecast(*store.load_forecaster(spark, path), ahead)
+    return table.withColumnRenamed("forecast_point", "seasonal_point")
+
+
+@query
+def pipeline_job(spark, sf_dir):
+    """A whole run over CSV files: what it stored and forecast."""
+    source, output = _folder(spark, "source"), _folder(spark, "run")
+    read_events(spark, sf_dir, "nulls").select(
+        F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
+        F.col("system").alias("system_id"),
+        F.col("equipment").alias("equipment_id"),
+        F.col("value").alias("oxygen_saturation"),
+    ).write.option("header", True).csv(source)
+    done = jobs.run_pipeline(spark, source, output, _config())
+    counted = done.features.groupBy(F.col("split").alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    ahead = done.forecast.where("step is not null").agg(F.lit("forecast").alias("part"), F.count(F.lit(1)).alias("n"))
+    faults = done.prepared.rows.agg(F.lit("labelled").alias("part"), F.count("anomaly_label").alias("n"))
+    return counted.unionByName(ahead).unionByName(faults)

@@ -61,16 +61,36 @@ def run_preprocessing(
 def run_feature_extraction(
     prepared: Prepared, path: str, config: PipelineConfig = PipelineConfig(), force: bool = False
 ) -> DataFrame:
-    """Extract and store features of the series that are not in the store yet."""
+    """Extract and store features of the series that are not in the store yet.
+
+    The store's folder depends on all settings that decide feature values. Every stored part carries a
+    fingerprint of the rows it was made from, faults and labels included: a series counts as stored once
+    all its parts that are long enough for a window are there and were made from the same rows.
+    """
     spark = prepared.rows.sparkSession
     path = f"{path}/{config.feature_hash()}"
     rows = prepared.rows
-    have = freeze(store.stored_entities(spark, path), "stored")
-    if not force and not have.isEmpty():
-        rows = rows.join(have, "entity_id", "left_anti")
+    wanted = freeze(part_fingerprints(rows, config), "wanted")
+    stored = store.stored_parts(spark, path)
+    if not force:
+        missing = wanted.join(stored, [*KEYS, store.FINGERPRINT], "left_anti").select("entity_id").distinct()
+        rows = rows.join(freeze(missing, "missing"), "entity_id", "left_semi")
     if not rows.isEmpty():
-        store.write_features(features_of(rows, config), path)
-    return store.read_features(spark, path)
+        store.write_features(features_of(rows, config).join(wanted, KEYS), path)
+        stored = store.stored_parts(spark, path)
+    # A part that a series no longer has may still lie in the store.
+    outdated = stored.join(wanted.select("entity_id").distinct(), "entity_id", "left_semi").join(wanted, [*KEYS, store.FINGERPRINT], "left_anti")
+    features = store.read_features(spark, path)
+    return features if outdated.isEmpty() else features.join(outdated.select(*KEYS), KEYS, "left_anti")
+
+
+def part_fingerprints(rows: DataFrame, config: PipelineConfig) -> DataFrame:
+    """(entity_id, split, fingerprint) of the parts that hold a window; the same for the same rows in any order."""
+    keys = windows.series_keys(rows, config.respect_segments)
+    parts = windows.long_enough(rows, keys, config.window_size).select(*KEYS).distinct()
+    h = F.xxhash64(*sorted(c for c in rows.columns if c not in ("equipment", "system")))
+    made = F.concat_ws("-", F.count(F.lit(1)), F.sum(h.cast("decimal(38,0)")), F.bit_xor(h))
+    return rows.groupBy(*KEYS).agg(made.alias(store.FINGERPRINT)).join(parts, KEYS, "left_semi")
 
 
 def features_of(rows: DataFrame, config: PipelineConfig = PipelineConfig()) -> DataFrame:
@@ -105,7 +125,7 @@ def run_detector_training(
         config.seed,
     )
     if path:
-        store.save_forest(model, path)
+        store.save_forest(model, path, config)
     if labelled_only:
         test = test.where("anomaly_label is not null")
     if test.where("anomaly_label is not null").isEmpty():
@@ -124,12 +144,14 @@ def evaluate_detector(test: DataFrame, model: forest.ForestModel) -> DataFrame:
 
 @dataclass
 class Forecaster:
-    history: DataFrame
+    known: DataFrame
     seasonal: DataFrame
     arima: DataFrame | None
+    by: list[str]
 
-    def forecast(self, by=(), width: float = 0.90) -> DataFrame:
-        return forecast.ensemble_forecast(self.history, self.seasonal, self.arima, by, width)
+    def forecast(self, steps: int, width: float = 0.90) -> DataFrame:
+        grid = forecast.extend_grid(self.known, steps, self.by)
+        return forecast.ensemble_forecast(grid, self.seasonal, self.arima, self.by, width)
 
 
 def run_forecast_training(
@@ -140,17 +162,16 @@ def run_forecast_training(
     align: str = "time",
 ) -> tuple[Forecaster, DataFrame, DataFrame]:
     """Fit on the train rows of all series, forecast, and compare with the test rows."""
-    by = by or []
+    by = list(config.forecast_by if by is None else by)
     train, test = prepared.rows.where("split = 'train'"), prepared.rows.where("split = 'test'")
-    grid = freeze(forecast.future_grid(train, config.forecast_steps, by), "grid")
+    known = freeze(forecast.known_times(train, by), "known")
     seasonal = freeze(forecast.train_seasonal(train, by), "seasonal")
     require_rows(seasonal, "seasonal models")
-    arima = freeze(forecast.train_arima(train, by), "arima")
-    arima = None if not by and arima.isEmpty() else arima
-    fitted = Forecaster(grid, seasonal, arima)
+    arima = freeze(forecast.train_arima(train, by, forecast.hours_for(config.forecast_steps)), "arima")
+    fitted = Forecaster(known, seasonal, None if arima.isEmpty() else arima, by)
     if path:
-        store.save_forecaster(path, grid, seasonal, arima)
-    table = fitted.forecast(by, config.interval_width)
+        store.save_forecaster(path, known, seasonal, fitted.arima, by, config)
+    table = fitted.forecast(config.forecast_steps, config.interval_width)
     metrics = forecast.forecast_metrics(forecast.aligned(test, table, align, by), by)
     return fitted, table, metrics
 
@@ -195,37 +216,50 @@ def run_inference(
     source: str,
     models: str,
     output: str | None = None,
-    config: PipelineConfig = PipelineConfig(),
+    config: PipelineConfig | None = None,
     fmt: str = "csv",
 ) -> tuple[DataFrame, DataFrame | None]:
     """Score new readings with stored models and continue the stored forecast.
 
-    The detector is required; without a forecaster, or with fewer than 2 usable new readings,
-    there is no forecast.
+    Without ``config`` the settings stored with the detector hold; a given one must agree with them
+    where scores depend on it, and may change the rest, such as the steps to forecast. The detector is
+    required; without a forecaster, or with fewer than 2 usable new readings, there is no forecast.
+    A forecaster trained by key gives rows by key.
     """
     model = store.load_forest(spark, f"{models}/detector")
+    trained = store.load_config(spark, f"{models}/detector")
+    if config and trained and (differing := config.conflicts(trained)):
+        raise InputError(f"the detector was trained with other settings: {', '.join(differing)}")
+    config = config or trained or PipelineConfig()
     readings = check_times(read_readings(spark, source, fmt, global_if_missing=True))
     found = score_new_data(readings, model, config)
     require_rows(found, "scored windows")
     stored = store.load_forecaster(spark, f"{models}/forecasting")
     table = None
     if stored and len(forecast.usable_points(readings).take(forecast.MIN_POINTS)) == forecast.MIN_POINTS:
-        history, seasonal, _ = stored
-        table = forecast.seasonal_forecast(history, seasonal, (), config.interval_width).select(
-            "timestamp", F.col("seasonal_point").alias("forecast_point"), "forecast_lower", "forecast_upper"
-        )
+        table = continue_forecast(*stored, config)
     if output:
         store.write_predictions(found, output, table)
     return found, table
 
 
+def continue_forecast(known: DataFrame, seasonal: DataFrame, arima: DataFrame | None, by: list[str], config: PipelineConfig) -> DataFrame:
+    """The seasonal forecast over the known times and ``forecast_steps`` minutes after them."""
+    grid = forecast.extend_grid(known, config.forecast_steps, by)
+    return forecast.seasonal_forecast(grid, seasonal, by, config.interval_width).select(
+        *by, "timestamp", F.col("seasonal_point").alias("forecast_point"), "forecast_lower", "forecast_upper"
+    )
+
+
 __all__ = [
     "Forecaster",
     "InputError",
     "PipelineResult",
     "Prepared",
+    "continue_forecast",
     "evaluate_detector",
     "features_of",
+    "part_fingerprints",
     "run_detector_training",
     "run_feature_extraction",
     "run_forecast_training",

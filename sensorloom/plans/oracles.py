@@ -1,8 +1,7 @@
 """The registered queries once more, as plain SQL over the same tables.
 
 Written for DuckDB and for clarity, not for scale: whole-series windows and exploded windows.
-Names match ``catalog``; queries whose result SQL cannot state (forest, spline, fitted models)
-have no entry.
+Names match ``catalog``. Forest, spline and fitted models are solved in SQL as well.
 """
 
 from __future__ import annotations
@@ -11,20 +10,26 @@ from sensorloom.functions import window_features as wf
 from sensorloom.operators import forecast as fc
 from sensorloom.operators.inject import FAULTS
 from sensorloom.operators.windows import MODEL_FEATURES
-from sensorloom.plans.catalog import CONTAMINATION, CORRELATED, FAULT_SHARE, MAX_GAP, SURROGATE, digits
+from sensorloom.plans.catalog import CONTAMINATION, CORRELATED, ENTITY_STEPS, FAULT_SHARE, LONG_STEPS, MAX_GAP, SURROGATE, digits
 
 VALUES = {
     "plain": "value",
     "nulls": "CASE WHEN event_id % 17 = 0 THEN NULL ELSE value END",
+    "nan": "CASE WHEN event_id % 17 <= 2 THEN NULL ELSE value END",
     "stuck": "CASE WHEN (event_id // 1000) % 4 = 1 THEN 95.0::DOUBLE"
     " ELSE 90.0::DOUBLE + floor(least(value, 100.0::DOUBLE) / 10) END",
 }
 E, ES = ["entity_id"], ["entity_id", "split"]
 STEPS = 7 * 24 * 60
+ENTITIES = 10
 
 
-def r6(expression: str, name: str) -> str:
-    return f"round({expression}, {digits(name)}) + 0.0 AS {name}"
+def r6(expression: str, name: str, solved: bool = False) -> str:
+    return f"round({expression}, {digits(name, solved)}) + 0.0 AS {name}"
+
+
+def r3(expression: str, name: str) -> str:
+    return r6(expression, name, True)
 
 
 def readings(variant: str = "plain") -> str:
@@ -444,15 +449,25 @@ m AS (SELECT unnest([{cells}]) AS moment, unnest([{index}]) AS ij FROM b)""",
     ) + f"SELECT ij.i::BIGINT AS i, ij.j::BIGINT AS j, {r6('moment', 'moment')} FROM m"
 
 
-GRID = f"""tr AS (SELECT time, value FROM s WHERE split = 'train'),
+def grid(steps: int = STEPS) -> str:
+    return f"""tr AS (SELECT time, value FROM s WHERE split = 'train'),
 gr AS (
   SELECT DISTINCT time AS timestamp, NULL::INT AS step FROM tr
   UNION ALL
   SELECT last + to_minutes(k) AS timestamp, k::INT AS step
-  FROM (SELECT max(time) AS last FROM tr), (SELECT unnest(range(1, {STEPS + 1})) AS k)),
+  FROM (SELECT max(time) AS last FROM tr), (SELECT unnest(range(1, {steps + 1})) AS k)),
 fo AS (SELECT timestamp, step, 50.0::DOUBLE + minute(timestamp) AS forecast_point FROM gr)"""
-ERRORS = f"""SELECT count(*) AS n, {r6("avg(abs(a - f))", "mae")}, {r6("sqrt(avg((a - f) * (a - f)))", "rmse")},
-  {r6("100 * avg(CASE WHEN a <> 0 THEN abs((a - f) / a) END)", "mape")} FROM al"""
+
+
+GRID = grid()
+
+
+def errors(solved: bool) -> str:
+    return f"""SELECT count(*) AS n, {r6("avg(abs(a - f))", "mae", solved)}, {r6("sqrt(avg((a - f) * (a - f)))", "rmse", solved)},
+  {r6("100 * avg(CASE WHEN a <> 0 THEN abs((a - f) / a) END)", "mape", solved)} FROM al"""
+
+
+ERRORS = errors(False)
 
 
 def _gauss(name: str, start: str, size: str, keys: str = "") -> str:
@@ -500,8 +515,8 @@ v0 AS (SELECT greatest(g[{width + 1}][{width + 1}] - g[1][{width + 1}] * g[1][{w
     return ",\n".join(parts)
 
 
-def _arima() -> str:
-    """fits: every order with coefficients and AIC; ah: 168 hours ahead by the best order."""
+def _arima(hours: int = fc.HOURS_AHEAD) -> str:
+    """fits: every order with coefficients and AIC; ah: so many hours ahead by the best order."""
     lag_w = ", ".join(f"lag(w, {i}) OVER t AS w{i}" for i in range(1, 13))
     long_cols = ["1.0", *[f"w{i}" for i in range(1, 13)]]
     gram = lambda cols, y: "[" + ", ".join("[" + ", ".join(f"sum({a} * {b})" for b in [*cols, y]) + "]" for a in cols) + "]"
@@ -550,13 +565,17 @@ ah AS (
   UNION ALL
   SELECT h + 1, c0, ar1, ar2, ma1, ma2, d, c0 + ar1 * a + ar2 * b + ma1 * u + ma2 * v, a, 0, u,
          CASE WHEN d = 1 THEN level ELSE 0 END + c0 + ar1 * a + ar2 * b + ma1 * u + ma2 * v
-  FROM ah WHERE h < {fc.HOURS_AHEAD})"""
+  FROM ah WHERE h < {hours})"""
 
 
-ENSEMBLE = """es AS (
+def ensemble(hours: int = fc.HOURS_AHEAD) -> str:
+    return f"""es AS (
   SELECT timestamp, step, seasonal_point, seasonal_point - half AS forecast_lower, seasonal_point + half AS forecast_upper,
          CASE WHEN step IS NULL THEN seasonal_point ELSE 0.6::DOUBLE * seasonal_point + 0.4::DOUBLE * level END AS ensemble_point
-  FROM ss LEFT JOIN (SELECT h, level FROM ah WHERE h > 0) ON h = least((step - 1) // 60 + 1, 168) AND step IS NOT NULL)"""
+  FROM ss LEFT JOIN (SELECT h, level FROM ah WHERE h > 0) ON h = least((step - 1) // 60 + 1, {hours}) AND step IS NOT NULL)"""
+
+
+ENSEMBLE = ensemble()
 
 
 def _statistics(variant: str = "plain") -> str:
@@ -582,12 +601,12 @@ def build() -> dict[str, str]:
       count(DISTINCT equipment) AS n_equipment, count(DISTINCT system) AS n_systems FROM r"""
     sql["ts_parse"] = """SELECT event_id, CASE event_id % 3 WHEN 0 THEN ts WHEN 1 THEN ts - INTERVAL 2 HOUR
       ELSE date_trunc('second', ts) END AS time FROM events"""
-    sql["numeric_coercion"] = f"SELECT event_id, {r6('value', 'value')} FROM events WHERE event_id % 23 <> 0"
+    sql["numeric_coercion"] = f"SELECT event_id, {r6('value', 'value')} FROM events WHERE event_id % 23 > 3"
     sql["entity_ids"] = with_(r) + "SELECT DISTINCT entity_id FROM r"
     sql["null_key_entities"] = """SELECT coalesce(CASE WHEN user_id % 3 = 0 THEN NULL ELSE 'EQ' || (user_id % 2) END, 'nan')
       || '_' || event_type AS entity_id, count(*) AS n FROM events GROUP BY 1"""
     sql["missing_key_default"] = "SELECT 'global' AS entity_id, count(*) AS n FROM events"
-    sql["null_filter"] = with_(rn) + f"SELECT row_key AS event_id, entity_id, {r6('value', 'value')} FROM r WHERE value IS NOT NULL"
+    sql["null_filter"] = with_(readings("nan")) + f"SELECT row_key AS event_id, entity_id, {r6('value', 'value')} FROM r WHERE value IS NOT NULL"
     sql["new_data_scan"] = with_(rn) + "SELECT entity_id, count(*) AS n, count(*) FILTER (value IS NULL) AS n_null FROM r GROUP BY 1"
     sql["entity_lookup"] = with_(r) + f"SELECT row_key AS event_id, time, {r6('value', 'value')} FROM r WHERE entity_id = 'EQ0_click'"
     sql["csv_roundtrip"] = with_(rn) + f"SELECT time, entity_id, {r6('value', 'value')} FROM r"
@@ -752,16 +771,41 @@ SELECT lo.row_key AS event_id, (CASE WHEN hi.bk IS NULL OR (lo.bk IS NOT NULL AN
     sql["forecast_moments"] = _moments()
 
     sql["seasonal_forecast"] = with_(r, SPLIT, GRID, _seasonal()) + f"""SELECT timestamp, coalesce(step, 0) AS step,
-      {r6("seasonal_point", "seasonal_point")}, {r6("seasonal_point - half", "forecast_lower")},
-      {r6("seasonal_point + half", "forecast_upper")} FROM ss"""
-    sql["arima_orders"] = with_(r, SPLIT, _arima()) + f"SELECT p, d, q, n_hours, {r6('aic', 'aic')} FROM fits"
+      {r3("seasonal_point", "seasonal_point")}, {r3("seasonal_point - half", "forecast_lower")},
+      {r3("seasonal_point + half", "forecast_upper")} FROM ss"""
+    sql["arima_orders"] = with_(r, SPLIT, _arima()) + f"SELECT p, d, q, n_hours, {r3('aic', 'aic')} FROM fits"
     both = with_(r, SPLIT, GRID, _seasonal(), _arima(), ENSEMBLE)
-    sql["ensemble_forecast"] = both + f"""SELECT timestamp, coalesce(step, 0) AS step, {r6("seasonal_point", "seasonal_point")},
-      {r6("ensemble_point", "ensemble_point")}, {r6("ensemble_point", "forecast_point")},
-      {r6("forecast_lower", "forecast_lower")}, {r6("forecast_upper", "forecast_upper")} FROM es"""
+    sql["ensemble_forecast"] = both + f"""SELECT timestamp, coalesce(step, 0) AS step, {r3("seasonal_point", "seasonal_point")},
+      {r3("ensemble_point", "ensemble_point")}, {r3("ensemble_point", "forecast_point")},
+      {r3("forecast_lower", "forecast_lower")}, {r3("forecast_upper", "forecast_upper")} FROM es"""
     sql["forecast_evaluation"] = with_(r, SPLIT, GRID, _seasonal(), _arima(), ENSEMBLE, """al AS (
   SELECT s.value AS a, ensemble_point AS f FROM s JOIN es ON date_trunc('minute', s.time) = date_trunc('minute', es.timestamp)
-  WHERE split = 'test' AND step IS NOT NULL)""") + ERRORS
+  WHERE split = 'test' AND step IS NOT NULL)""") + errors(True)
+    ahead = LONG_STEPS // 60
+    sql["ensemble_forecast_long"] = with_(r, SPLIT, grid(LONG_STEPS), _seasonal(), _arima(ahead), ensemble(ahead)) + f"""SELECT timestamp, step,
+      {r3("seasonal_point", "seasonal_point")}, {r3("ensemble_point", "ensemble_point")}, {r3("ensemble_point", "forecast_point")},
+      {r3("forecast_lower", "forecast_lower")}, {r3("forecast_upper", "forecast_upper")} FROM es WHERE step IS NOT NULL"""
+
+    def each_entity(columns: str, *parts: str) -> str:
+        """The pooled query over one series after the other."""
+        pick = "(SELECT entity_id FROM (SELECT DISTINCT entity_id FROM r) ORDER BY 1 LIMIT 1 OFFSET {k})"
+        one = []
+        for k in range(ENTITIES):
+            own = SPLIT.replace("FROM r)", f"FROM r WHERE entity_id = {pick.format(k=k)})")
+            one.append(f"(SELECT * FROM ({with_(r, own, *parts)} SELECT (SELECT any_value(entity_id) FROM s) AS entity_id, {columns}))")
+        return " UNION ALL ".join(one)
+
+    hours = ENTITY_STEPS // 60
+    sql["ensemble_forecast_by_entity"] = each_entity(
+        f"""timestamp, coalesce(step, 0) AS step, {r3("seasonal_point", "seasonal_point")}, {r3("ensemble_point", "ensemble_point")},
+      {r3("ensemble_point", "forecast_point")}, {r3("forecast_lower", "forecast_lower")}, {r3("forecast_upper", "forecast_upper")} FROM es""",
+        grid(ENTITY_STEPS), _seasonal(), _arima(hours), ensemble(hours),
+    )
+    sql["inference_forecast"] = each_entity(
+        f"""timestamp, {r3("seasonal_point", "seasonal_point")}, {r3("seasonal_point - half", "forecast_lower")},
+      {r3("seasonal_point + half", "forecast_upper")} FROM ss""",
+        grid(ENTITY_STEPS), _seasonal(),
+    )
 
     # jobs
     sql["preprocessing_job"] = with_(
@@ -789,4 +833,14 @@ SELECT lo.row_key AS event_id, (CASE WHEN hi.bk IS NULL OR (lo.bk IS NOT NULL AN
         "ft AS (SELECT * FROM f WHERE src = 'old'), fs AS (SELECT * FROM f WHERE src = 'new')",
         _forest("ft", "fs"), PREDICTIONS,
     ) + shown
+    sql["clean_store"] = with_(f"r0 AS ({with_(readings('nan'))} SELECT * FROM r WHERE value IS NOT NULL)", "r AS (SELECT * FROM r0)", SEGMENTS) + """
+      SELECT entity_id, count(*) AS n, min(time) AS start_time, max(time) AS end_time, max(segment_id) AS last_segment FROM sg GROUP BY 1"""
+    sql["model_roundtrip"] = sql["forest_scores"]
+    sql["feature_job"] = with_(r, SPLIT, windows("s", ES)) + f"""SELECT entity_id, split, count(*) AS n_windows,
+      {r6("avg(p50)", "mean_median")} FROM st GROUP BY 1, 2"""
+    sql["forecast_training_job"] = sql["forecast_evaluation"]
+    sql["pipeline_job"] = with_(f"r0 AS ({with_(rn)} SELECT * FROM r WHERE value IS NOT NULL)", "r AS (SELECT * FROM r0)", SPLIT) + f"""
+      SELECT split AS part, sum(greatest(c - 59, 0))::BIGINT AS n FROM (SELECT entity_id, split, count(*) AS c FROM s GROUP BY ALL) GROUP BY 1
+      UNION ALL SELECT 'forecast', {STEPS}
+      UNION ALL SELECT 'labelled', count(*) FROM s WHERE split = 'test' AND entity_id = (SELECT min(entity_id) FROM s)"""
     return sql

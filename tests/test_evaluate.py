@@ -171,3 +171,61 @@ def test_trees_partition_their_sample(planted):
 def test_average_path():
     assert forest.average_path(np.array([1, 2])).tolist() == [0, 1]
     assert float(forest.average_path(256)) == pytest.approx(10.2448, abs=1e-3)
+
+
+@pytest.mark.parametrize("n_rows, trees", [(3000, 2), (3000, 11), (3000, 12), (3000, 50), (300, 7), (100_000, 5)])
+def test_one_formula_draws_at_every_size(spark, n_rows, trees):
+    """The trees of a row are those whose slice of the ring holds it, few or many."""
+    import hashlib
+
+    size, seed = 64, 1
+    rows = [("e", k) for k in range(min(n_rows, 3000))]
+    drawn = forest.sample_rows(spark.createDataFrame(rows, "entity_id string, k bigint"), ["entity_id", "k"], n_rows, trees, 10**6, seed)
+    share = min(1.0, 4 * 10**6 / n_rows)
+    drawn_small = forest.sample_rows(spark.createDataFrame(rows, "entity_id string, k bigint"), ["entity_id", "k"], n_rows, trees, size, seed)
+    share_small = min(1.0, 4 * size / n_rows)
+    for table, s, limit in ((drawn, share, None), (drawn_small, share_small, size)):
+        want = {}
+        for e, k in rows:
+            u = int(hashlib.md5(f"{seed}|{e}|{k}".encode()).hexdigest()[:13], 16) / (1 << 52)
+            for t in range(trees):
+                x = u - t * s
+                if x - np.floor(x) < s:
+                    want.setdefault(t, set()).add(k)
+        got = {}
+        for r in table.collect():
+            got.setdefault(r.tree, set()).add(r.k)
+        if limit is None:
+            assert got == want
+        else:
+            assert all(got.get(t, set()) <= w and len(got.get(t, set())) == min(limit, len(w)) for t, w in want.items())
+
+
+def test_rows_with_equal_ids_are_drawn_alike(spark):
+    rows = [("e", i // 2, float(i)) for i in range(200)]
+    one = spark.createDataFrame(rows, "entity_id string, k int, x double")
+    two = spark.createDataFrame(rows[::-1], "entity_id string, k int, x double").repartition(3)
+    pick = lambda df: sorted((r.tree, r.x) for r in forest.sample_rows(df, ["entity_id", "k"], 200, 3, 33, 1).collect())
+    assert pick(one) == pick(two)
+
+
+def test_quantiles_of_odd_columns(spark):
+    from sensorloom.operators.quantile import exact_quantile
+
+    frame = lambda values: spark.createDataFrame([(v,) for v in values], "x double")
+    nan, inf = float("nan"), float("inf")
+    assert exact_quantile(frame([1.0, 2.0, 3.0, 4.0, nan]), "x", 0.5) == 2.5
+    assert exact_quantile(frame([nan, nan]), "x", 0.5) is None
+    assert exact_quantile(frame([-1.7e308, 0.5, 1.7e308]), "x", 0.5) == 0.5
+    assert exact_quantile(frame([-inf, -1e308, 1.0, 2.0, 1e308, inf, inf]), "x", 0.5) == 2.0
+    assert exact_quantile(frame([-inf, -inf, 3.0]), "x", 0.0) == -inf
+
+
+def test_spread_is_relative_to_the_mean(spark):
+    from sensorloom.operators import scaling
+
+    rows = [(1e-14 * i, 5.0) for i in range(10)]
+    table = spark.createDataFrame(rows, "tiny double, flat double")
+    fitted = scaling.scaler_values(scaling.fit_scaler(table, ["tiny", "flat"]))
+    got = scaling.scale(table, ["tiny", "flat"], fitted).agg(F.stddev_pop("tiny"), F.max(F.abs("flat"))).first()
+    assert got[0] == pytest.approx(1.0) and got[1] == 0.0

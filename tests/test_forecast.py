@@ -134,3 +134,47 @@ def test_metrics_and_alignment(spark, make):
     assert (m.n, m.mae) == (3, pytest.approx((3 + 11 + 17) / 3))
     with pytest.raises(ValueError):
         forecast.aligned(actual, table, "other")
+
+
+def test_a_short_series_takes_a_quarter_for_the_first_regression():
+    rng = np.random.default_rng(3)
+    y = 5 + np.cumsum(rng.normal(0, 0.1, 30))
+    assert forecast.hannan_rissanen(y, (1, 0, 1), 3) is not None
+    shorter = forecast.hannan_rissanen(y, (1, 0, 1), 3, long_order=3)
+    longer = forecast.hannan_rissanen(y, (1, 0, 1), 3, long_order=50)
+    assert shorter[0] != longer[0] and longer[0] == forecast.hannan_rissanen(y, (1, 0, 1), 3, long_order=7)[0]
+
+
+def test_forecast_head(spark):
+    rows = [("a", i) for i in range(100, 0, -1)] + [("b", i) for i in range(3)]
+    table = spark.createDataFrame(rows, "entity_id string, timestamp bigint").repartition(4)
+    got = forecast.forecast_head(table, 5, ["entity_id"]).collect()
+    assert sorted(map(tuple, got)) == [("a", i) for i in range(1, 6)] + [("b", i) for i in range(3)]
+    assert forecast.forecast_head(table, 2).count() == 2
+
+
+def test_history_is_not_shuffled_to_one_place(spark):
+    """Rows without a step keep their partitions when the hours are joined."""
+    minutes = spark.range(2000).selectExpr("timestamp_seconds(id * 60) as timestamp", "case when id >= 1990 then cast(id - 1989 as int) end as step", "1.0d as seasonal_point")
+    hourly = spark.createDataFrame([(0, 3.0)], "h int, hourly_value double")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        blended = forecast.step_hold_blend(minutes.repartition(4), hourly)
+        sizes = blended.groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in sizes) < 1000 and sum(r["count"] for r in sizes) == 2000
+        assert blended.where("step = 1").first().ensemble_point == pytest.approx(0.6 + 0.4 * 3)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_moments_of_many_interleaved_series(make):
+    rng = np.random.default_rng(8)
+    readings = make({f"e{i}": rng.normal(5, 1, 40) for i in range(30)}).repartition(5)
+    got = forecast.moments(readings, ["entity_id"])
+    width = len(forecast.basis_names())
+    square = {r.entity_id: r.moment for r in got.where(F.col("j") == width).where(F.col("i") == width).collect()}
+    want = {r.entity_id: r.m for r in readings.groupBy("entity_id").agg(F.avg(F.col("value") * F.col("value")).alias("m")).collect()}
+    assert square == pytest.approx(want)

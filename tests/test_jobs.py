@@ -150,3 +150,83 @@ def test_short_series_are_skipped(spark, make):
 
     got = windows.extract_features(arranged, ["entity_id"], 20, 1, ["mean"])
     assert [r.entity_id for r in got.select("entity_id").distinct().collect()] == ["long"]
+
+
+def test_features_follow_the_rows_and_all_parts(run, tmp_path):
+    _, result = run
+    path, rows = str(tmp_path), result.prepared.rows
+    half = jobs.Prepared(rows.where("split = 'train'"), None, None)
+    jobs.run_feature_extraction(half, path, CONFIG)
+    whole = jobs.run_feature_extraction(result.prepared, path, CONFIG)
+    assert whole.groupBy("entity_id", "split").count().count() == 4
+    moved = jobs.Prepared(rows.withColumn("value", F.when(F.col("entity_id") == "EQ2_S", F.col("value") + 1).otherwise(F.col("value"))), None, None)
+    mean = lambda t: {r.entity_id: r.m for r in t.groupBy("entity_id").agg(F.avg("mean").alias("m")).collect()}
+    before = mean(whole)
+    after = mean(jobs.run_feature_extraction(moved, path, CONFIG))
+    assert after["EQ2_S"] == pytest.approx(before["EQ2_S"] + 1) and after["EQ1_S"] == pytest.approx(before["EQ1_S"])
+    shorter = jobs.Prepared(rows.where("entity_id = 'EQ2_S' and split = 'train'"), None, None)
+    left = jobs.run_feature_extraction(shorter, path, CONFIG)
+    assert left.where("entity_id = 'EQ2_S'").select("split").distinct().collect() == [("train",)]
+
+
+def test_settings_are_stored_and_checked(spark, run, source):
+    output, _ = run
+    assert store.load_config(spark, f"{output}/models/detector") == CONFIG
+    with pytest.raises(InputError, match="window_size"):
+        jobs.run_inference(spark, source, f"{output}/models", None, PipelineConfig(window_size=30, overlap=29))
+    found, table = jobs.run_inference(spark, source, f"{output}/models")
+    assert found.count() == 2 * (960 - 19)
+    ahead = PipelineConfig(window_size=20, overlap=19, forecast_steps=7)
+    _, short = jobs.run_inference(spark, source, f"{output}/models", None, ahead)
+    assert table.count() - short.count() == 120 - 7
+
+
+def test_forecasts_by_entity_are_continued_by_entity(spark, run, source, tmp_path):
+    _, result = run
+    store.save_forest(result.model, str(tmp_path / "detector"), CONFIG)
+    jobs.run_forecast_training(result.prepared, CONFIG, str(tmp_path / "forecasting"), by=["entity_id"])
+    _, table = jobs.run_inference(spark, source, str(tmp_path))
+    level = {r.entity_id: r.p for r in table.groupBy("entity_id").agg(F.avg("forecast_point").alias("p")).collect()}
+    assert level["EQ1_S"] > 93 > 92 > level["EQ2_S"]
+
+
+def test_an_older_arima_model_is_not_used(spark, run, tmp_path):
+    _, result = run
+    path = str(tmp_path)
+    fitted, _, _ = jobs.run_forecast_training(result.prepared, CONFIG, path)
+    assert store.load_forecaster(spark, path)[2] is not None
+    store.save_forecaster(path, fitted.known, fitted.seasonal, None)
+    assert store.load_forecaster(spark, path)[2] is None
+
+
+def test_intermediates_go_to_the_named_folder(spark, make):
+    from pathlib import Path
+
+    from sensorloom.session import CHECKPOINT_DIR, shared_dir
+
+    named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    folder = shared_dir(spark)
+    assert not named or folder == named.rstrip("/")
+    found = lambda: {p.name for p in Path(folder.removeprefix("file:")).glob("prepared-*")}
+    before = found()
+    jobs.run_preprocessing(make({"a": range(50)}), CONFIG, create_faults=False)
+    assert len(found() - before) == 1
+
+
+def test_a_write_makes_each_window_once(spark, make, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    table = make({"a": range(50), "b": range(30)}).withColumn("split", F.lit("train")).withColumnRenamed("time", "window_start")
+    store.write_features(table.mapInArrow(count, table.schema), str(tmp_path / "f"))
+    assert seen.value == 80
+
+
+def test_settings_have_bounds():
+    for bad in ({"n_trees": 0}, {"n_trees": 10**6}, {"tree_sample": 10**6}, {"forecast_steps": 0}, {"interval_width": 1.0}):
+        with pytest.raises(ValueError):
+            PipelineConfig(**bad)
