@@ -88,6 +88,24 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (_remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+ORACLES["op5_substring_dedup"] = r"""
+with docs as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+words as (select doc_id, unnest(ws) as word, unnest(range(len(ws))) as pos from docs),
+runs as (
+  select *, md5(string_agg(word, ' ') over w) as run, count(*) over w as n
+  from words window w as (partition by doc_id order by pos rows between current row and 49 following)),
+least as (select run, min(doc_id) as first_id from runs where n = 50 group by run),
+hits as (select r.*, coalesce(n = 50 and first_id < doc_id, false) as hit from runs r left join least using (run)),
+covered as (
+  select *, bool_or(hit) over (partition by doc_id order by pos rows between 49 preceding and current row) as gone from hits),
+kept as (
+  select doc_id, count(*) filter (gone) as n_removed, coalesce(string_agg(word, ' ' order by pos) filter (not gone), '') as kept
+  from covered group by doc_id)
+select d.doc_id, len(ws)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from docs d left join kept using (doc_id)
+"""
+
+
 @query
 def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
