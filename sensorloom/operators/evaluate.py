@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sensorloom.functions.columns import equal_width_bin, ratio_or_zero
 from sensorloom.operators.ordered import arrange, running_sum
 from sensorloom.operators.quality import unplaced
+from sensorloom.session import freeze
 
 
 def flag_anomalies(scored: DataFrame) -> DataFrame:
@@ -93,7 +94,8 @@ def _by_score(labelled: DataFrame) -> DataFrame:
 
 def _cumulated(labelled: DataFrame, partitions: int | None) -> DataFrame:
     """Rows per distinct score with running counts from the most anomalous score upwards."""
-    placed = arrange(_by_score(labelled), [], ["anomaly_score"], partitions)
+    # Placing samples its input first: the counts are written, so that they are not made twice.
+    placed = arrange(freeze(_by_score(labelled), "scores"), [], ["anomaly_score"], partitions)
     return unplaced(running_sum(placed, [], {"tp": F.col("pos"), "fp": F.col("neg")}))
 
 

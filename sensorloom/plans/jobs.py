@@ -41,6 +41,8 @@ def run_preprocessing(
     path: str | None = None,
 ) -> Prepared:
     """Clean, segment and split the readings; put faults into one test part; store if asked."""
+    # The source is read and parsed once; the checks and the placement go on from the written table.
+    readings = freeze(readings, "readings")
     require_rows(readings, "readings")
     arranged = quality.arrange_readings(quality.clean(check_times(readings)), keep_keys=bool(path))
     segmented = freeze(quality.segments(arranged, config.max_gap_minutes), "segmented")
@@ -231,7 +233,7 @@ def run_inference(
     if config and trained and (differing := config.conflicts(trained)):
         raise InputError(f"the detector was trained with other settings: {', '.join(differing)}")
     config = config or trained or PipelineConfig()
-    readings = check_times(read_readings(spark, source, fmt, global_if_missing=True))
+    readings = check_times(freeze(read_readings(spark, source, fmt, global_if_missing=True), "readings"))
     found = score_new_data(readings, model, config)
     require_rows(found, "scored windows")
     stored = store.load_forecaster(spark, f"{models}/forecasting")

@@ -230,3 +230,16 @@ def test_settings_have_bounds():
     for bad in ({"n_trees": 0}, {"n_trees": 10**6}, {"tree_sample": 10**6}, {"forecast_steps": 0}, {"interval_width": 1.0}):
         with pytest.raises(ValueError):
             PipelineConfig(**bad)
+
+
+def test_scratch_deletes_what_was_written_inside(spark, make):
+    from pathlib import Path
+
+    from sensorloom.session import freeze, scratch
+
+    outside = freeze(make({"a": range(3)}), "outside")
+    with scratch(spark):
+        inside = freeze(make({"a": range(3)}), "inside")
+        files = [Path(f.removeprefix("file:").replace("///", "/")) for f in inside.inputFiles()]
+        assert inside.count() == 3 and all(f.exists() for f in files)
+    assert files and not any(f.exists() for f in files) and outside.count() == 3
