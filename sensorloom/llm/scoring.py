@@ -53,7 +53,7 @@ class Network:
 
     def __init__(self, flat: np.ndarray | None = None):
         size = sum(int(np.prod(s)) for _, s in SHAPES)
-        self.flat = np.random.default_rng(23).normal(0, 0.1, size).astype(np.float32) if flat is None else flat.astype(np.float32)
+        self.flat = np.random.default_rng(23).normal(0, 0.1, size).astype(np.float32) if flat is None else flat.astype(np.float32, copy=False)
         at = 0
         for name, shape in SHAPES:
             n = int(np.prod(shape))
@@ -61,61 +61,114 @@ class Network:
             at += n
 
     def hidden(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        x = self.embedding[around].reshape(len(around), -1)
-        return x, np.tanh(x @ self.context + self.hidden_bias)
+        x = self.embedding.take(around.ravel(), axis=0).reshape(len(around), -1)
+        h = x @ self.context
+        h += self.hidden_bias
+        return x, np.tanh(h, out=h)
 
     def log_probabilities(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Of each target word, given the words around it."""
-        _, h = self.hidden(around)
-        cls, member = np.divmod(target, SIZE // CLASSES)
-        z = h @ self.classes + self.class_bias
-        out = z[np.arange(len(z)), cls] - _log_sum(z)
-        order = np.argsort(cls, kind="stable")
-        cut = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        for c in np.flatnonzero(np.diff(cut)):
-            own = order[cut[c] : cut[c + 1]]
-            z = h[own] @ self.members[c] + self.member_bias[c]
-            out[own] += z[np.arange(len(own)), member[own]] - _log_sum(z)
+        # Sorted by class once, the members of each class are slices.
+        order, cls, member, cut = _by_class(target)
+        _, h = self.hidden(around[order])
+        z = h @ self.classes
+        z += self.class_bias
+        log_p = z[np.arange(len(z)), cls] - _log_sum(z)
+        for own, some, rows in _groups(cut):
+            z = h.take(rows, axis=0) @ self.members[some]
+            z += self.member_bias[some][:, None, :]
+            z = z.reshape(-1, z.shape[-1])
+            rows = rows.ravel()
+            log_p[rows[own]] += (z[np.arange(len(z)), member[rows]] - _log_sum(z))[own]
+        out = np.empty_like(log_p)
+        out[order] = log_p
         return out
 
-    def gradient(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
+    def gradient(self, around: np.ndarray, target: np.ndarray, into: "Network | None" = None) -> np.ndarray:
         """Of the mean negative log-probability, as one flat vector."""
-        out, n = Network(np.zeros_like(self.flat)), len(target)
-        x, h = self.hidden(around)
-        cls, member = np.divmod(target, SIZE // CLASSES)
-        g = _softmax(h @ self.classes + self.class_bias)
-        g[np.arange(n), cls] -= 1
-        g /= n
-        out.classes[...] = h.T @ g
-        out.class_bias[...] = g.sum(axis=0)
+        out, n = into or Network(np.empty_like(self.flat)), len(target)
+        out.flat[...] = 0
+        order, cls, member, cut = _by_class(target)
+        near = around[order]
+        x, h = self.hidden(near)
+        # Hidden values lie between -1 and 1, which bounds all scores: exponentials of small scores need no shift.
+        bound = max((np.abs(w).sum(axis=-2) + np.abs(b)).max() for w, b in ((self.classes, self.class_bias), (self.members, self.member_bias)))
+        g = h @ self.classes
+        g += self.class_bias
+        _softmax(g, n, cls, bound)
+        np.matmul(h.T, g, out=out.classes)
+        g.sum(axis=0, out=out.class_bias)
         back = g @ self.classes.T
-        order = np.argsort(cls, kind="stable")
-        cut = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        for c in np.flatnonzero(np.diff(cut)):
-            own = order[cut[c] : cut[c + 1]]
-            g = _softmax(h[own] @ self.members[c] + self.member_bias[c])
-            g[np.arange(len(own)), member[own]] -= 1
-            g /= n
-            out.members[c] = h[own].T @ g
-            out.member_bias[c] = g.sum(axis=0)
-            back[own] += g @ self.members[c].T
-        back *= 1 - h * h
-        out.context[...] = x.T @ back
-        out.hidden_bias[...] = back.sum(axis=0)
+        for own, some, rows in _groups(cut):
+            seen = h.take(rows, axis=0)
+            g = seen @ self.members[some]
+            g += self.member_bias[some][:, None, :]
+            rows = rows.ravel()
+            flat = g.reshape(-1, g.shape[-1])
+            _softmax(flat, n, member[rows], bound)
+            if len(own) < len(flat):
+                filled = np.ones(len(flat), bool)
+                filled[own] = False
+                flat[filled] = 0
+            out.members[some] = np.swapaxes(seen, -1, -2) @ g
+            out.member_bias[some] = g.sum(axis=-2)
+            back[rows[own]] += (g @ np.swapaxes(self.members[some], -1, -2)).reshape(-1, HIDDEN).take(own, axis=0)
+        h *= h
+        np.subtract(1, h, out=h)
+        back *= h
+        np.matmul(x.T, back, out=out.context)
+        back.sum(axis=0, out=out.hidden_bias)
         to_words = (back @ self.context.T).reshape(-1, DIMENSIONS)
-        at = (around.reshape(-1, 1) * DIMENSIONS + np.arange(DIMENSIONS)).ravel()
-        out.embedding[...] = np.bincount(at, to_words.ravel(), out.embedding.size).reshape(out.embedding.shape)
+        # Rows of equal words are added up by sorting the words, not number by number.
+        words = near.ravel()
+        sort = np.argsort(words.astype(np.int16), kind="stable")
+        found, first = np.unique(words[sort], return_index=True)
+        out.embedding[found] = np.add.reduceat(to_words.take(sort, axis=0), first, axis=0)
         return out.flat
 
 
+def _by_class(target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Order by class, class and member of each word in that order, and where each class begins."""
+    cls, member = np.divmod(target, SIZE // CLASSES)
+    order = np.argsort(cls.astype(np.int8), kind="stable")
+    cls, member = cls[order], member[order]
+    return order, cls, member, np.searchsorted(cls, np.arange(CLASSES + 1))
+
+
+def _groups(cut: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Classes that are handled together: (places that are rows of theirs, classes, rows by class and place).
+
+    Classes of about as many rows share one call; the shorter ones are filled up with other rows.
+    """
+    count = np.diff(cut)
+    size = np.ceil(np.log2(np.maximum(count, 8))).astype(np.int64) * (count > 0)
+    for k in np.unique(size[size > 0]):
+        some = np.flatnonzero(size == k)
+        place = np.arange(count[some].max())
+        own = np.flatnonzero((place < count[some][:, None]).ravel())
+        yield own, some, np.minimum(cut[some][:, None] + place, cut[-1] - 1)
+
+
+#: exp of scores up to here is far from the limits of a float.
+SAFE = 40.0
+
+
 def _log_sum(z: np.ndarray) -> np.ndarray:
-    top = z.max(axis=1)
-    return top + np.log(np.exp(z - top[:, None]).sum(axis=1))
+    top = z.max(axis=1, keepdims=True)
+    z = z - top
+    np.exp(z, out=z)
+    return top[:, 0] + np.log(z.sum(axis=1))
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    p = np.exp(z - z.max(axis=1, keepdims=True))
-    return p / p.sum(axis=1, keepdims=True)
+def _softmax(z: np.ndarray, n: int, right: np.ndarray, bound: float) -> None:
+    """From scores to the gradient of the mean loss over n rows, in place."""
+    if bound > SAFE:
+        z -= z.max(axis=1, keepdims=True)
+    np.exp(z, out=z)
+    total = z.sum(axis=1, keepdims=True)
+    total *= n
+    z /= total
+    z[np.arange(len(z)), right] -= np.float32(1 / n)
 
 
 @dataclass
@@ -180,14 +233,14 @@ def _trained(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, start = sent.value
         network, seen = Network(start.copy()), 0
-        step = adam([network.flat], RATE)
+        step, slope = adam([network.flat], RATE), Network(np.zeros_like(start))
         for batch in batches:
             for piece in slices(batch, 0):
                 h, lengths, first = _words(piece.column(0))
                 tokens = vocabulary.tokens(h, lengths)
                 context = around(tokens, first)
                 for i in range(0, len(tokens), BATCH):
-                    step([network.gradient(context[i : i + BATCH], tokens[i : i + BATCH])])
+                    step([network.gradient(context[i : i + BATCH], tokens[i : i + BATCH], slope)])
                 seen += len(tokens)
         if seen:
             flat = network.flat.astype(np.float64) * seen
@@ -245,7 +298,7 @@ def score(docs: DataFrame, vocabulary: Vocabulary, network: Network, text: str =
                 h, lengths, first = _words(piece.column(0))
                 tokens = vocabulary.tokens(h, lengths)
                 context = around(tokens, first)
-                log_p = [network.log_probabilities(context[i : i + 8192], tokens[i : i + 8192]) for i in range(0, len(tokens), 8192)]
+                log_p = [network.log_probabilities(context[i : i + 4 * BATCH], tokens[i : i + 4 * BATCH]) for i in range(0, len(tokens), 4 * BATCH)]
                 before = np.concatenate([[0.0], np.cumsum(np.concatenate([np.zeros(0), *log_p]), dtype=np.float64)])
                 n.append(np.diff(first))
                 total.append(np.diff(before[first]))
