@@ -13,6 +13,8 @@ pytestmark = pytest.mark.skipif(not os.path.exists(f"{TABLES}/events.parquet"),
 # The cheap ones; the slow rest (forest, jobs, whole feature tables) runs outside the unit tests.
 QUICK = [
     "load_profile",
+    "numeric_coercion",
+    "null_filter",
     "ts_parse",
     "null_key_entities",
     "csv_roundtrip",
@@ -36,6 +38,9 @@ QUICK = [
     "step_hold_blend",
     "forecast_metrics_by_position",
     "forecast_moments",
+    "forecast_metrics",
+    "forecast_head",
+    "clean_store",
 ]
 
 
