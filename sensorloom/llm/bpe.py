@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import slices, text_of
+from sensorloom.llm.common import release, slices, text_of
 from sensorloom.session import ship
 
 # How the tokenizer splits a text into pieces (fixed values of the vocabulary's format).
@@ -272,6 +272,8 @@ def encode(docs: DataFrame, sent, text: str = "text", to: str = "ids") -> DataFr
                     ids.append(tokens)
                     n.append(len(tokens))
             yield pa.ListArray.from_arrays(pa.array(np.cumsum(n), pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
+        del encoder
+        release()
 
     return docs.withColumn(to, F.arrow_udf(run, "array<int>")(text_of(text)))
 
@@ -289,5 +291,6 @@ def decode(df: DataFrame, sent, ids: str = "ids", to: str = "decoded") -> DataFr
                     text.append(decoder.feed(tokens[k : min(j, k + CHUNK_TOKENS)]))
                 out.append("".join(text) + decoder.feed(tokens[:0], True))
             yield pa.array(out, pa.string())
+        release()
 
     return df.withColumn(to, F.arrow_udf(run, "string")(F.coalesce(F.col(ids), F.array().cast("array<int>"))))

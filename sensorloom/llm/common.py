@@ -4,12 +4,16 @@ Row rules of the whole subpackage: a null text counts as the empty text, a null
 any other id, and columns that an operator does not use pass through it under their own names.
 """
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorloom.llm import words
+
 NULL_ID = 2**63 - 1
 #: Texts are handled in slices of about so many bytes; a longer text makes a slice of its own.
 SLICE_BYTES = 2 << 20
@@ -54,6 +58,15 @@ def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES):
         first = last
 
 
+def release() -> None:
+    """Give freed memory back to the machine: a Python worker keeps waiting beside others after its task."""
+    words.forget()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All texts as one array of bytes, and the n + 1 places where they begin and end."""
     col = texts.fill_null("").cast(pa.large_binary())

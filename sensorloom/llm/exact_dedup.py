@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import free_name, id_back, id_of, join_classes, text_of
+from sensorloom.llm.common import free_name, id_back, id_of, join_classes, release, text_of
 from sensorloom.session import freeze, ship
 
 CELLS_PER_ROW = 16
@@ -81,6 +81,8 @@ def _merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Ite
             count[at] = np.minimum(count[at] + 1, 2)
             count[np.frombuffer(again.as_buffer(), np.uint32)] = 2
     bits = np.packbits(count == 2).tobytes()
+    del count
+    release()
     yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([bits], pa.binary())], ["segment", "bits"])
 
 

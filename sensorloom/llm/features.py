@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.llm import words as W
-from sensorloom.llm.common import flat_bytes, slices
+from sensorloom.llm.common import flat_bytes, release, slices
 
 #: 16,384 buckets.
 BITS = 14
@@ -101,6 +101,7 @@ def training_set(sample: DataFrame, label: str, text: str, of: Callable[[pa.Arra
                     [piece.column(0), pa.array([a.tobytes() for a, _ in hists], pa.binary()), pa.array([v.tobytes() for _, v in hists], pa.binary())],
                     ["label", "at", "value"],
                 )
+        release()
 
     kind = dict(sample.dtypes)[label]
     got = sample.select(label, text).mapInArrow(run, f"label {kind}, at binary, value binary").toArrow()

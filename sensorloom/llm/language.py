@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.llm import features
-from sensorloom.llm.common import free_name, slices
+from sensorloom.llm.common import free_name, release, slices
 from sensorloom.session import ship
 
 ORDERS = (1, 2, 3, 4)
@@ -114,6 +114,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
             table = pa.RecordBatch.from_arrays([texts, letters], ["t", "l"])
             done = [predict(sent.value, s.column(0), ~s.column(1).to_numpy(zero_copy_only=False)) for s in slices(table, 0, 1 << 20)]
             yield pa.concat_arrays(done) if done else pa.array([], pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("ambiguous", pa.bool_())]))
+        release()
 
     found = F.arrow_udf(run, RESULT)(F.col(text), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
     names = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "ambiguous")]

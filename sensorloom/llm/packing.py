@@ -12,7 +12,6 @@ by (written partition, length), so that a length that a third of all pieces have
 import json
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sensorloom.llm.bpe import PIECES, alphabet
-from sensorloom.llm.common import slices, text_of
+from sensorloom.llm.common import release, slices, text_of
 from sensorloom.session import freeze, ship
 
 CAPACITY = 2048
@@ -164,7 +163,6 @@ def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY) ->
     return placed.select(*(F.col("row").getField(c).alias(c) for c in names), "at.*")
 
 
-@lru_cache(2)
 def _encoding(definition: str) -> tiktoken.Encoding:
     """The tokenizer of a byte-level vocabulary file; its ids rise with the ranks of the merges."""
     read, chars = json.loads(definition), alphabet()
@@ -199,6 +197,8 @@ def pieces_of(docs: DataFrame, vocabulary, text: str = "text", capacity: int = C
                     n.append(len(starts))
             fields = [pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(crcs, pa.int64()), pa.array(ids, pa.list_(pa.int32()))]
             yield pa.ListArray.from_arrays(pa.array(n, pa.int32()), pa.StructArray.from_arrays(fields, ["start", "length", "ids_crc32", "ids"]))
+        del encoding
+        release()
 
     new = ["start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
     names = [c for c in docs.columns if c != text and c.lower() not in (*new, "piece")]

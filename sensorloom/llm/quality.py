@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.llm import features
-from sensorloom.llm.common import slices
+from sensorloom.llm.common import release, slices
 from sensorloom.session import ship
 
 ORDERS = (2, 3)
@@ -91,6 +91,7 @@ def score(docs: DataFrame, model: QualityModel, text: str = "text", threshold: f
             table = pa.RecordBatch.from_arrays([texts], ["t"])
             z = [features.means(_features(s.column(0)), weights)[:, 0] + bias for s in slices(table, 0, 1 << 20)]
             yield pa.array(1 / (1 + np.exp(-np.clip(np.concatenate([np.zeros(0), *z]), -500, 500))))
+        release()
 
     names = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
     scored = docs.select(*names, F.arrow_udf(run, "double")(F.col(text)).alias("score"))

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import id_back, id_of, join_classes, text_of
+from sensorloom.llm.common import id_back, id_of, join_classes, release, text_of
 from sensorloom.llm.components import connected_components
 from sensorloom.session import freeze, ship
 
@@ -32,7 +32,9 @@ SHARD_ROWS = 1 << 15
 SAMPLE_ROWS = 1 << 16
 #: Compared bit by bit when a local branch has so few points.
 BLOCK_ROWS = 256
-PAIRS = 1 << 20
+#: Queries that a block meets at a time, and pairs found that are held before they are thinned out.
+BLOCK_QUERIES = 1024
+PAIRS = 1 << 18
 
 
 # ---------------------------------------------------------------- fingerprints
@@ -59,8 +61,9 @@ def fingerprint(text: bytes) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        got = np.array([fingerprint(t.as_buffer().to_pybytes()) for t in b.column(1).cast(pa.large_binary())], np.uint64)
+        got = np.array([fingerprint(t.as_buffer().to_pybytes()) for t in b.column(1)], np.uint64)
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got.view(np.int64), pa.int64())], ["_id", "fp"])
+    release()
 
 
 def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -135,8 +138,8 @@ def near_pairs(points: np.ndarray, queries: np.ndarray, radius: int = RADIUS) ->
     def blocks(p, q):
         for i in range(0, len(p), BLOCK_ROWS):
             own = p[i : i + BLOCK_ROWS]
-            for j in range(0, len(q), 4096):
-                other = q[j : j + 4096]
+            for j in range(0, len(q), BLOCK_QUERIES):
+                other = q[j : j + BLOCK_QUERIES]
                 x, y = np.nonzero(np.bitwise_count(points[own][:, None] ^ queries[other][None, :]) <= radius)
                 if len(x):
                     yield own[x], other[y]
@@ -233,6 +236,7 @@ def _shard_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if home:
         points = np.concatenate(home)
         yield from linked(points, points, True)
+    release()
 
 
 def links(classes: DataFrame, n: int, shard_rows: int = SHARD_ROWS) -> DataFrame:

@@ -24,12 +24,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorloom.llm import words as W
-from sensorloom.llm.common import NULL_ID, flat_bytes, id_of, slices, text_of
+from sensorloom.llm.common import NULL_ID, flat_bytes, id_of, release, slices, text_of
 from sensorloom.session import freeze, ship
 
 WINDOW = 50
 #: Bytes of text in a batch, and of hashes of all batches at an owner, about.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 OWNER_BYTES = 16 << 20
 NEW = ("n_words", "n_removed", "kept_text", "removed_spans")
 ENTRIES = "batch int, owner int, hashes binary, least binary"
@@ -52,9 +52,10 @@ class Batch:
         self.words = np.concatenate([np.zeros(0, np.uint64), *hashes])
         self.counts = np.concatenate([np.zeros(0, np.int64), *counts])
         self.first = np.concatenate([[0], np.cumsum(self.counts)])
-        self.doc = np.repeat(np.arange(len(self.ids)), self.counts)
-        self.place = np.arange(len(self.words)) - self.first[self.doc]
-        self.left = self.counts[self.doc] - self.place
+        # One number a word each: four bytes are enough within a batch.
+        self.doc = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.counts)
+        self.place = np.arange(len(self.words), dtype=np.int32) - self.first[self.doc].astype(np.int32)
+        self.left = self.counts[self.doc].astype(np.int32) - self.place
 
     def at(self, length: int) -> np.ndarray:
         """Where a run of so many words begins that does not leave its document."""
@@ -69,7 +70,7 @@ class Batch:
 
     def windows(self, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Where the windows around anchors begin, their hashes, and another hash of them."""
-        reach = np.zeros(len(self.words) + 1, np.int64)
+        reach = np.zeros(len(self.words) + 1, np.int32)
         begin = np.maximum(anchors - (self.window - self.block), self.first[self.doc[anchors]])
         np.add.at(reach, begin, 1)
         np.add.at(reach, anchors + 1, -1)
@@ -78,7 +79,7 @@ class Batch:
 
     def covered(self, at: np.ndarray) -> np.ndarray:
         """Words within a window that begins at one of the places."""
-        reach = np.zeros(len(self.words) + self.window + 1, np.int64)
+        reach = np.zeros(len(self.words) + self.window + 1, np.int32)
         reach[at] += 1
         reach[at + self.window] -= 1
         return np.cumsum(reach)[: len(self.words)] > 0
@@ -103,7 +104,7 @@ def _probe_order(batch: Batch, owners: int):
     found, which = np.unique(key, return_inverse=True)
     block = np.zeros(len(found), bool)
     block[which[batch.place[at] % batch.block == 0]] = True
-    low, high = np.full(len(found), len(batch.ids)), np.full(len(found), -1)
+    low, high = np.full(len(found), len(batch.ids), np.int32), np.full(len(found), -1, np.int32)
     np.minimum.at(low, which, batch.doc[at])
     np.maximum.at(high, which, batch.doc[at])
     return at, which, found, block, low < high
@@ -136,6 +137,7 @@ def _send_probes(window: int, owners: int):
         batch = Batch(docs, window)
         _, _, found, block, many = _probe_order(batch, owners)
         flags = (block | many << 1).astype(np.uint8)
+        release()
         return _entries(key[0].as_py(), (found >> np.uint64(32)).astype(np.int64), found.astype(np.uint32), flags)
 
     return run
@@ -156,6 +158,7 @@ def _answer_probes(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
 def _replies(key, rows: pa.Table, yes: np.ndarray, ends: np.ndarray, kind: int) -> pa.Table:
     parts = np.split(yes, ends[:-1])
     n = rows.num_rows
+    release()
     return pa.table(
         [rows.column("batch").combine_chunks(), pa.array([kind] * n, pa.int32()), pa.array([key[0].as_py()] * n, pa.int32())]
         + [pa.array([len(p) for p in parts], pa.int64()), pa.array([np.packbits(p).tobytes() for p in parts], pa.binary())],
@@ -169,6 +172,7 @@ def _send_windows(window: int, owners: int):
         at, which, found, _, _ = _probe_order(batch, owners)
         anchors = at[_bits(replies, 1, len(found))[which]]
         _, _, own, hashes, least = _window_order(batch, owners, anchors)
+        release()
         return _entries(key[0].as_py(), own, hashes, batch.ids[least])
 
     return run
@@ -203,6 +207,7 @@ def _remove(window: int, owners: int):
             edge = np.flatnonzero(np.diff(np.concatenate([[0], own, [0]])))
             runs_out.append([{"begin": int(i), "end": int(j)} for i, j in edge.reshape(-1, 2)])
             removed.append(int(own.sum()))
+        release()
         spans = pa.array(runs_out, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))
         extra = [pa.array(batch.counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string()), spans]
         return pa.table([*(batch.table.column(n) for n in ("_row", "_text", "_null")), *extra], ["_row", "_text", "_null", *NEW])

@@ -16,7 +16,7 @@ def _power(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i < n."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
-        size = 1 << max(16, int(n - 1).bit_length())
+        size = (n | 0xFFFF) + 1
         step = np.full(size, base, np.uint64)
         back = np.full(size, pow(base, -1, 2**64), np.uint64)
         step[0] = back[0] = 1
@@ -24,6 +24,11 @@ def _power(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
+def forget() -> None:
+    """Drop the tables of powers; they are as long as the longest slice so far."""
+    _powers.clear()
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
