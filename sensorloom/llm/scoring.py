@@ -5,13 +5,16 @@ sum of the log-probabilities of all its words, each given its neighbours. The ne
 numpy on every word of every document: each task runs Adam over its own part from common
 first weights, and the weights are averaged by the number of words, in two steps, over all tasks.
 
-The vocabulary is the words that are most frequent over all documents, and classes of the other
-words by their length. It is sorted by frequency and cut into equal classes; the probability of a
-word is that of its class times that within the class, so it is normalised exactly.
+The network's tokens are the words that are most frequent over all documents, and the lengths of all
+other words. They are sorted by frequency and cut into equal classes; the probability of a token is
+that of its class times that within the class. A rare word has the probability of its length's token
+times its own among all words of that length, from counts of every word of the corpus (``rare``). Both are
+normalised exactly. The rare words' table grows with the corpus: up to ``SENT_WORDS`` it is sent to all
+tasks, beyond that it stays in Spark and the words of the texts are joined to it, with the same results.
 """
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -19,21 +22,24 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensorloom.llm import rare
 from sensorloom.llm import words as W
 from sensorloom.llm.common import flat_bytes, slices, text_of
 from sensorloom.llm.features import adam
-from sensorloom.session import ship
+from sensorloom.session import freeze, ship
 
 CLASSES = 32
-#: Words by themselves, and classes of rarer words by length.
-FREQUENT, LENGTHS = 992, 32
+#: Words that are tokens by themselves, and tokens for the lengths of the others.
+FREQUENT, LENGTHS = 992, rare.LENGTHS
 SIZE = FREQUENT + LENGTHS
 OFFSETS = (-2, -1, 1, 2)
 DIMENSIONS, HIDDEN = 16, 32
 BATCH = 1024
 RATE = 0.01
-#: Different words that a task holds before it passes their counts on.
-HELD_WORDS = 1 << 19
+#: Different words that a task holds before it passes their counts on, and bytes of them.
+HELD_WORDS, HELD_BYTES = 1 << 19, 16 << 20
+#: Rare words that are sent to all tasks (64 MB); more are joined.
+SENT_WORDS = (64 << 20) // 12
 #: Weights travel in pieces of so many numbers, summed by so many groups of tasks first.
 PIECE, GROUPS = 4096, 64
 
@@ -175,15 +181,23 @@ def _softmax(z: np.ndarray, n: int, right: np.ndarray, bound: float) -> None:
 class Vocabulary:
     hashes: np.ndarray  # of the frequent words, sorted
     rank: np.ndarray  # their place by frequency
+    rare: "rare.RareWords | None" = None  # probabilities of all other words among those of their length
 
     def tokens(self, hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Frequent words by rank; the others by length, from the end of the vocabulary on."""
         out = SIZE - 1 - np.minimum(lengths, LENGTHS) + 1
         if len(self.hashes):
-            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            at = self._places(hashes)
             out = np.where(self.hashes[at] == hashes, self.rank[at], out)
         return out
 
+    def known(self, hashes: np.ndarray) -> np.ndarray:
+        """Which words are tokens by themselves."""
+        return self.hashes[self._places(hashes)] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
+
+    def _places(self, hashes: np.ndarray) -> np.ndarray:
+        return np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash and length of every word, and the places where the texts' words begin."""
@@ -204,29 +218,38 @@ def around(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def out(h, n):
-        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
+    def out(h, n, spelt):
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64)), spelt], ["word", "n", "spelt"])
+
+    def none():
+        return np.zeros(0, np.uint64), np.zeros(0), pa.array([], pa.large_binary())
 
-    hashes, counts = np.zeros(0, np.uint64), np.zeros(0)
+    hashes, counts, spelt = none()
     for batch in batches:
         for piece in slices(batch, 0):
-            h, n = np.unique(_words(piece.column(0))[0], return_counts=True)
-            hashes, which = np.unique(np.concatenate([hashes, h]), return_inverse=True)
-            counts = np.bincount(which, np.concatenate([counts, n]), len(hashes))
-            if len(hashes) > HELD_WORDS:
-                yield out(hashes, counts)
-                hashes, counts = hashes[:0], counts[:0]
-    yield out(hashes, counts)
+            data, offsets = flat_bytes(piece.column(0))
+            begin, end, _ = W.spans(data, offsets)
+            h, first, n = np.unique(W.word_hashes(data, begin, end), return_index=True, return_counts=True)
+            both = pa.concat_arrays([spelt, rare.cut_out(data, begin[first], end[first])])
+            hashes, first, which = np.unique(np.concatenate([hashes, h]), return_index=True, return_inverse=True)
+            counts, spelt = np.bincount(which, np.concatenate([counts, n]), len(hashes)), both.take(pa.array(first))
+            if len(hashes) > HELD_WORDS or spelt.nbytes > HELD_BYTES:
+                yield out(hashes, counts, spelt.cast(pa.binary()))
+                hashes, counts, spelt = none()
+    yield out(hashes, counts, spelt.cast(pa.binary()))
 
 
 def build_vocabulary(docs: DataFrame, text: str = "text") -> Vocabulary:
-    """The most frequent words over all documents; ties by hash."""
+    """The most frequent words over all documents, ties by hash, and the probabilities of all others."""
     ship(docs.sparkSession)
-    counts = docs.select(text_of(text)).mapInArrow(_counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = docs.select(text_of(text)).mapInArrow(_counted, "word long, n long, spelt binary")
+    counts = freeze(counts.groupBy("word", "spelt").agg(F.sum("n").alias("n")), "words")
     top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
     hashes = np.array([r.word for r in top], np.int64).view(np.uint64)
     order = np.argsort(hashes)
-    return Vocabulary(hashes[order], order)
+    last = (top[-1].n, top[-1].word) if len(top) == FREQUENT else (0, 0)
+    others = counts.where((F.col("n") < last[0]) | ((F.col("n") == last[0]) & (F.col("word") > last[1])))
+    return Vocabulary(hashes[order], order, rare.count(others, [bytes(r.spelt) for r in top]))
 
 
 def _trained(sent):
@@ -270,7 +293,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", rounds: i
     ship(spark)
     kind = "piece int, n long, weights binary"
     for _ in range(rounds):
-        sent = spark.sparkContext.broadcast((vocabulary, network.flat))
+        sent = spark.sparkContext.broadcast((replace(vocabulary, rare=None), network.flat))
         parts = docs.select(text_of(text)).mapInArrow(_trained(sent), "group int, " + kind)
         sums = parts.groupBy("piece", "group").applyInArrow(_summed, kind).groupBy("piece").applyInArrow(_summed, kind)
         rows = sorted(sums.collect(), key=lambda r: r.piece)
@@ -279,7 +302,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", rounds: i
     return network
 
 
-def score(docs: DataFrame, vocabulary: Vocabulary, network: Network, text: str = "text") -> DataFrame:
+def score(docs: DataFrame, vocabulary: Vocabulary, network: Network, text: str = "text", sent_words: int = SENT_WORDS) -> DataFrame:
     """All rows and columns with ``n_tokens``, ``log_likelihood``, ``mean_log_prob`` and ``pseudo_perplexity``.
 
     A text without words, also a null one, has no tokens, likelihood 0 and null for the other two.
@@ -287,28 +310,70 @@ def score(docs: DataFrame, vocabulary: Vocabulary, network: Network, text: str =
     """
     spark = docs.sparkSession
     ship(spark)
-    sent = spark.sparkContext.broadcast((vocabulary, network.flat))
+    own = vocabulary.rare.send(sent_words)
+    sent = spark.sparkContext.broadcast((replace(vocabulary, rare=None), network.flat, own))
+    kind = "n long, total double"
+    if own is None:
+        kind += ", others array<struct<word: long, times: long, spelt: binary>>"
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        vocabulary, flat = sent.value
+        vocabulary, flat, own = sent.value
         network = Network(flat)
         for texts in batches:
-            n, total = [np.zeros(0, np.int64)], [np.zeros(0)]
+            n, total, others = [np.zeros(0, np.int64)], [np.zeros(0)], [pa.array([], OTHERS)]
             for piece in slices(pa.RecordBatch.from_arrays([texts], ["t"]), 0):
-                h, lengths, first = _words(piece.column(0))
-                tokens = vocabulary.tokens(h, lengths)
+                data, offsets = flat_bytes(piece.column(0))
+                begin, end, first = W.spans(data, offsets)
+                h = W.word_hashes(data, begin, end)
+                tokens = vocabulary.tokens(h, end - begin)
                 context = around(tokens, first)
-                log_p = [network.log_probabilities(context[i : i + 4 * BATCH], tokens[i : i + 4 * BATCH]) for i in range(0, len(tokens), 4 * BATCH)]
-                before = np.concatenate([[0.0], np.cumsum(np.concatenate([np.zeros(0), *log_p]), dtype=np.float64)])
+                parts = [network.log_probabilities(context[i : i + 4 * BATCH], tokens[i : i + 4 * BATCH]) for i in range(0, len(tokens), 4 * BATCH)]
+                log_p = np.concatenate([np.zeros(0), *parts])
+                at = np.flatnonzero(~vocabulary.known(h))
+                if own is None:
+                    others.append(_others(at, data, begin, end, h, first))
+                else:
+                    log_p[at] += own.log_probabilities(h[at], data, begin[at], end[at])
+                before = np.concatenate([[0.0], np.cumsum(log_p)])
                 n.append(np.diff(first))
                 total.append(np.diff(before[first]))
-            fields = [pa.array(np.concatenate(n)), pa.array(np.concatenate(total))]
-            yield pa.StructArray.from_arrays(fields, ["n", "total"])
+            fields = {"n": pa.array(np.concatenate(n)), "total": pa.array(np.concatenate(total))}
+            if own is None:
+                fields["others"] = pa.concat_arrays(others)
+            yield pa.StructArray.from_arrays(list(fields.values()), list(fields))
 
     new = ("n_tokens", "log_likelihood", "mean_log_prob", "pseudo_perplexity")
     names = [c for c in docs.columns if c.lower() not in new]
-    found = F.arrow_udf(run, "n long, total double")(text_of(text))
-    rows = docs.select(F.struct(*names).alias("_row"), found.alias("_score"))
+    rows, found = docs.select(F.struct(*names).alias("_row"), text_of(text).alias("_text")), F.arrow_udf(run, kind)("_text").alias("_score")
+    if own is not None:
+        rows = rows.select("_row", found)
+    else:
+        # The number of a row is that of the written table, so it stays what it is.
+        rows = freeze(rows.withColumn("_key", F.monotonically_increasing_id()), "rows")
+        scored = freeze(rows.select("_key", found), "scored")
+        each = vocabulary.rare.log_probabilities(scored.select("_key", F.explode("_score.others").alias("w")).select("_key", "w.*"))
+        rest = each.groupBy("_key").agg(F.sum(F.col("times") * F.col("log_p")).alias("rest"))
+        total = (F.col("_score.total") + F.coalesce("rest", F.lit(0.0))).alias("total")
+        done = scored.join(rest, "_key", "left").select("_key", F.struct("_score.n", total).alias("_score"))
+        rows = rows.drop("_text").join(freeze(done, "likelihoods"), "_key")
     n, total = F.col("_score.n"), F.col("_score.total")
     mean = F.when(n > 0, total / n)
     return rows.select("_row.*", n.alias("n_tokens"), total.alias("log_likelihood"), mean.alias("mean_log_prob"), F.exp(-mean).alias("pseudo_perplexity"))
+
+
+OTHERS = pa.list_(pa.struct([("word", pa.int64()), ("times", pa.int64()), ("spelt", pa.binary())]))
+
+
+def _others(at: np.ndarray, data: np.ndarray, begin: np.ndarray, end: np.ndarray, h: np.ndarray, first: np.ndarray) -> pa.Array:
+    """For each text its different words among those ``at``, how often, and their bytes."""
+    of = np.searchsorted(first, at, "right") - 1
+    order = np.lexsort((h[at], of))
+    at, of = at[order], of[order]
+    fresh = np.ones(len(at), bool)
+    fresh[1:] = (of[1:] != of[:-1]) | (h[at[1:]] != h[at[:-1]])
+    start = np.flatnonzero(fresh)
+    at, of, times = at[start], of[start], np.diff(np.append(start, len(at)))
+    spelt = rare.cut_out(data, begin[at], end[at]).cast(pa.binary())
+    entries = pa.StructArray.from_arrays([pa.array(h[at].view(np.int64)), pa.array(times.astype(np.int64)), spelt], ["word", "times", "spelt"])
+    places = np.searchsorted(of, np.arange(len(first)))
+    return pa.ListArray.from_arrays(pa.array(places.astype(np.int32)), entries).cast(OTHERS)

@@ -83,3 +83,36 @@ def test_rounds_and_empty(documents):
     none = documents([])
     vocabulary = scoring.build_vocabulary(none)
     assert scoring.score(none, vocabulary, scoring.train(none, vocabulary)).count() == 0
+
+
+def test_rare_words_have_probabilities_of_their_own(documents, monkeypatch):
+    """Rare words of one length add up to one with all other strings, and spelling and counts tell them apart."""
+    monkeypatch.setattr(scoring, "FREQUENT", 4)
+    rng = random.Random(3)
+    real = ["ab" + "".join(rng.choices("aeiou", k=6)) for _ in range(40)]
+    # The words of one length are 8 bytes long, those of another one byte.
+    texts = ["the of and to " * 60 + " ".join(rng.choices(real, k=300)) + " often123 " * 9 + " x y y z " for _ in range(20)]
+    docs = documents(texts)
+    vocabulary = scoring.build_vocabulary(docs)
+    assert len(vocabulary.hashes) == 4
+    network = scoring.Network()
+    asked = [real[0], "often123", "abaeiouu", "qzxjkwvp", "x" * 40, real[1] + " the " + real[1]]
+    likelihoods = lambda n: [r.log_likelihood for r in sorted(scoring.score(documents(asked), vocabulary, network, sent_words=n).collect(), key=lambda r: r.doc_id)]
+    got = likelihoods(scoring.SENT_WORDS)
+    assert np.allclose(got, likelihoods(0), rtol=1e-5)
+    assert all(math.isfinite(x) for x in got) and len(set(got)) == len(got)
+    assert got[0] > got[2] > got[3] + 3 and got[1] > got[3]
+    # One byte long: x, y, z and all other bytes that can be a word.
+    every = [bytes([b]) for b in range(256) if not scoring.W.SPACE[b]]
+    spark = docs.sparkSession
+    h = [int(scoring.W.word_hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([1])).view(np.int64)[0]) for w in every]
+    table = spark.createDataFrame(list(zip(h, map(bytearray, every))), "word long, spelt binary")
+    p = [math.exp(r.log_p) for r in vocabulary.rare.log_probabilities(table).collect()]
+    assert len(p) == 250 and abs(sum(p) - 1) < 1e-6
+
+
+def test_rare_words_are_counted_over_all_documents(documents):
+    """Every word beyond the tokens is counted, however many there are."""
+    words = [f"w{i:05}" for i in range(3000)]
+    vocabulary = scoring.build_vocabulary(documents([" ".join(words[k::3] * 2) for k in range(3)]))
+    assert vocabulary.rare.table.count() == 3000 - scoring.FREQUENT
