@@ -7,6 +7,7 @@ a character; the threshold is calibrated on labelled URLs that the models have n
 """
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,10 @@ from sensorloom.session import ship
 #: (verdict, host and path): a rule fits its host and all subdomains where the path begins with its path.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 ORDER = 5
-#: Counts of both models are held in so many slots (8 MB), whatever the number of URLs.
-SLOTS = 1 << 20
+#: Different keys that a task holds before it passes their counts on.
+HELD_KEYS = 1 << 19
+#: Bytes of URLs whose keys are sorted at a time.
+KEYED_BYTES = 1 << 18
 #: Weight of the lower order, in observations.
 SMOOTHING = 2.0
 #: Share of the labelled URLs that calibrate the threshold.
@@ -47,18 +50,18 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def _slots(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each order: places with so long a context, slot of the context, slot of the context with the next byte."""
+def _keys(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each order: places with so long a context, key of the context, key of the context with the next byte.
+
+    Keys are numbers of their own: up to six bytes, and above them how many and of which kind.
+    """
     place = np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets))
     for k in range(ORDER + 1):
         at = np.flatnonzero(place >= k)
-        h = np.full(len(at), k + 1, np.uint64)
+        context = np.zeros(len(at), np.int64)
         for j in range(k, 0, -1):
-            h = (h ^ data[at - j]) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-        with_next = (h ^ (data[at].astype(np.uint64) + np.uint64(1))) * np.uint64(0x94D049BB133111EB)
-        yield at, (h >> np.uint64(44)).astype(np.int64), (with_next >> np.uint64(44)).astype(np.int64)
+            context = context << 8 | data[at - j]
+        yield at, context | (2 * k << 48), context << 8 | data[at] | (2 * k + 1 << 48)
 
 
 def _framed(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -68,39 +71,57 @@ def _framed(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per task (slot, accepted, rejected); at most SLOTS rows."""
-    count = np.zeros((2, SLOTS), np.int64)
+    """(key, accepted, rejected), a key once or more a task."""
+
+    def out(keys, count):
+        count = count.astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(count[0]), pa.array(count[1])], ["key", "accepted", "rejected"])
+
+    keys, count = np.zeros(0, np.int64), np.zeros((2, 0))
     for batch in batches:
-        for piece in slices(batch, 0):
+        for piece in slices(batch, 0, KEYED_BYTES):
             data, offsets = _framed(piece.column(0))
             rejected = np.repeat(piece.column(1).to_numpy(zero_copy_only=False), np.diff(offsets))
-            for at, context, following in _slots(data, offsets):
-                for model in (0, 1):
-                    own = rejected[at] == model
-                    count[model] += np.bincount(context[own], minlength=SLOTS) + np.bincount(following[own], minlength=SLOTS)
-    slot = np.flatnonzero(count.any(axis=0))
-    yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(count[0, slot]), pa.array(count[1, slot])], ["slot", "accepted", "rejected"])
+            found = [(k, rejected[at]) for at, *both in _keys(data, offsets) for k in both]
+            new, of = np.concatenate([k for k, _ in found]), np.concatenate([r for _, r in found])
+            keys, which = np.unique(np.concatenate([keys, new]), return_inverse=True)
+            count = np.stack([np.bincount(which, np.concatenate([count[m], of == m]), len(keys)) for m in (0, 1)])
+            if len(keys) > HELD_KEYS:
+                yield out(keys, count)
+                keys, count = keys[:0], count[:, :0]
+    yield out(keys, count)
+
+
+@dataclass
+class Counts:
+    """Counts of both models by sorted key; keys that were not seen count 0."""
+
+    keys: np.ndarray
+    count: np.ndarray
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros((2, len(keys)))
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.count[:, at], 0)
 
 
-def train(urls: DataFrame) -> np.ndarray:
-    """Counts of both models over all rows of ``urls(text, rejected)``."""
-    per_task = urls.select("text", F.col("rejected").cast("int")).mapInArrow(_counted, "slot long, accepted long, rejected long")
-    got = per_task.groupBy("slot").agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected")).toArrow()
-    count = np.zeros((2, SLOTS), np.float32)
-    for model, name in enumerate(("accepted", "rejected")):
-        count[model, got.column("slot").to_numpy()] = got.column(name).to_numpy()
-    return count
+def train(urls: DataFrame) -> Counts:
+    """Counts of both models over all rows of ``urls(text, rejected)``, one for each key that occurs."""
+    per_task = urls.select("text", F.col("rejected").cast("int")).mapInArrow(_counted, "key long, accepted long, rejected long")
+    got = per_task.groupBy("key").agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected")).toArrow()
+    keys = got.column("key").to_numpy()
+    order = np.argsort(keys)
+    return Counts(keys[order], np.stack([got.column(n).to_numpy()[order] for n in ("accepted", "rejected")]).astype(np.float32))
 
 
-def log_ratio(count: np.ndarray, texts: pa.Array) -> np.ndarray:
+def log_ratio(counts: Counts, texts: pa.Array) -> np.ndarray:
     """Difference of the log-likelihoods a character, end mark included; 0 for an empty text."""
     data, offsets = _framed(texts)
-    logs = []
-    for model in count:
-        p = np.full(len(data), 1 / 256)
-        for at, context, following in _slots(data, offsets):
-            p[at] = (model[following] + SMOOTHING * p[at]) / (model[context] + SMOOTHING)
-        logs.append(np.log(np.minimum(p, 1.0)))
+    p = np.full((2, len(data)), 1 / 256)
+    for at, context, following in _keys(data, offsets):
+        p[:, at] = (counts.of(following) + SMOOTHING * p[:, at]) / (counts.of(context) + SMOOTHING)
+    logs = np.log(p)
     length = np.diff(offsets)
     total = np.add.reduceat(np.append(logs[0] - logs[1], 0.0), offsets[:-1]) if len(length) else np.zeros(0)
     return np.where(length > 1, total / length, 0.0)

@@ -95,3 +95,16 @@ def test_empty_and_clashes(spark):
     df = pages(spark, ["http://a.org/"]).selectExpr("page_id", "url", "'x' as Rule", "'y' as text")
     row = urls.filter_urls(df).first()
     assert row.rule == "org/" and row.text == "y"
+
+
+def test_counts_are_by_key_however_many(spark):
+    """Each n-gram has the count of its own, also where there are more than 2^20 of them."""
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789-_"
+    texts = [("".join(rng.choices(letters, k=400)), i % 2 == 1) for i in range(1200)]
+    counts = urls.train(spark.createDataFrame(texts, "text string, rejected boolean").repartition(4))
+    plain = count_plain([(t, int(r)) for t, r in texts])
+    assert len(counts.keys) == len(set(plain[0]) | set(plain[1])) > 1 << 20
+    for t in ("".join(rng.choices(letters, k=60)), texts[0][0][:50], texts[1][0][:50], "/?"):
+        want = plain_log(plain, t, 0) - plain_log(plain, t, 1)
+        assert abs(urls.log_ratio(counts, pa.array([t]))[0] - want) < 1e-6
