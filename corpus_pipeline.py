@@ -16,9 +16,9 @@ from sensorloom.llm import queries
 from sensorloom.llm.exact_dedup import exact_dedup
 from sensorloom.llm.language import identify
 from sensorloom.llm.packing import pack_documents, send_definition
-from sensorloom.llm.simhash import near_duplicates
+from sensorloom.llm.simhash import keep_one
 from sensorloom.llm.substring import remove_repeats
-from sensorloom.session import freeze, shared_dir
+from sensorloom.session import shared_dir
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,12 +33,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by near-equal fingerprints the one with the smallest id stays."""
-    found = near_duplicates(docs.select("doc_id", "text"))
-    gone = found.where("component_id != doc_id or (doc_id is null and component_id is not null)").select("doc_id").distinct()
-    gone = freeze(gone, "gone").withColumn("_gone", F.lit(True))
-    same = docs["doc_id"].eqNullSafe(gone["doc_id"])
-    return docs.join(gone, same, "left_anti")
+    """Of documents linked by near-equal fingerprints the one with the smallest id stays, one row of each group."""
+    return keep_one(docs)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -60,9 +60,10 @@ def fingerprint(text: bytes) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The text comes last; its fingerprint takes its place."""
     for b in batches:
-        got = np.array([fingerprint(t.as_buffer().to_pybytes()) for t in b.column(1)], np.uint64)
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got.view(np.int64), pa.int64())], ["_id", "fp"])
+        got = np.array([fingerprint(t.as_buffer().to_pybytes()) for t in b.column(b.num_columns - 1)], np.uint64)
+        yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(got.view(np.int64), pa.int64())], [*b.schema.names[:-1], "fp"])
     release()
 
 
@@ -259,13 +260,36 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", sha
     An empty table gives an empty table.
     """
     rows = freeze(fingerprints(docs, id, text), "fingerprints")
-    classes = freeze(rows.groupBy("fp").agg(F.min("_id").alias("least"), F.count("*").alias("n")), "classes")
+    of_class = _classes(rows, "_id", shard_rows)
+    return join_classes(rows, of_class, "fp", "n", "_id").select(id_back("_id").alias(id), "fp", id_back("component").alias("component_id"))
+
+
+def _classes(rows: DataFrame, least: str, shard_rows: int) -> DataFrame:
+    """(fp, n, component) of every fingerprint in ``rows``: its rows and the smallest ``least`` linked to it."""
+    classes = freeze(rows.groupBy("fp").agg(F.min(least).alias("least"), F.count("*").alias("n")), "classes")
     roots = connected_components(links(classes, classes.count(), shard_rows))
     linked = freeze(classes.join(roots.withColumnRenamed("node", "fp"), "fp"), "linked")
     least = freeze(linked.groupBy("root").agg(F.min("least").alias("component"), F.count("*").alias("fps")), "components")
     found = join_classes(linked.select("fp", "root"), least, "root", "fps", "fp").select("fp", "component")
-    of_class = freeze(classes.join(found, "fp", "left").select("fp", "n", F.coalesce("component", "least").alias("component")), "of_class")
-    return join_classes(rows, of_class, "fp", "n", "_id").select(id_back("_id").alias(id), "fp", id_back("component").alias("component_id"))
+    return freeze(classes.join(found, "fp", "left").select("fp", "n", F.coalesce("component", "least").alias("component")), "of_class")
+
+
+def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """The rows of ``docs`` that stay: one of each component, whatever the ids.
+
+    That is the row with the smallest id (a null id is larger than any other), of equal ids the one with the
+    smallest fingerprint, then the smallest hash of the text; of rows equal in all that, any one.
+    """
+    ship(docs.sparkSession)
+    # The number of a row is that of the written table, so it stays what it is.
+    numbered = freeze(docs.select(F.struct(*docs.columns).alias("_doc"), F.monotonically_increasing_id().alias("_row")), "numbered")
+    own = numbered.select("_row", F.col("_doc").getField(id).alias("id"), F.col("_doc").getField(text).alias("text"))
+    given = own.select("_row", id_of("id").alias("_id"), F.xxhash64(text_of("text")).alias("_hash"), text_of("text").alias("t"))
+    rows = freeze(given.mapInArrow(_fingerprints, "_row long, _id long, _hash long, fp long"), "fingerprints")
+    rows = rows.select("_row", "fp", F.struct("_id", "fp", "_hash", "_row").alias("_order"))
+    found = join_classes(rows.select("fp", "_row"), _classes(rows, "_order", shard_rows), "fp", "n", "_row")
+    gone = freeze(found.where(F.col("_row") != F.col("component._row")).select("_row"), "gone")
+    return numbered.join(gone, "_row", "left_anti").select("_doc.*")
 
 
 def hex_of(fp: str = "fp"):

@@ -92,3 +92,33 @@ def test_query_equals_sql(spark, name):
     assert columns == sorted(want.columns)
     order = lambda df: sorted(map(repr, df[columns].astype(object).values.tolist()))
     assert order(got) == order(want)
+
+
+def test_near_copies_are_judged_by_row(spark, documents):
+    """Null and repeated ids: clean rows stay, and of near copies one row stays."""
+    rng = random.Random(21)
+    clean = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(150))
+    base, alike, other, lone = clean(), clean(), clean(), [clean() for _ in range(4)]
+    tail = " tail"
+    cases = [
+        (1, base), (None, base + tail),  # one null id is a near copy
+        (None, lone[0]), (None, lone[1]),  # the other null ids are clean
+        (2, lone[2]), (7, lone[3]),
+        (7, alike + tail), (4, alike),  # a near copy shares its id with a clean row
+        (9, other), (9, other + tail),  # near copies that share an id
+    ]
+    nulls = clean()
+    cases += [(None, nulls), (None, nulls + tail), (None, nulls)]
+    prints = {t: plain_fingerprint(t) for _, t in cases}
+    label = plain_components([prints[t] for _, t in cases])
+    assert len(set(label)) == 8
+    docs = documents([t for _, t in cases], [i for i, _ in cases])
+    kept = corpus_pipeline.near(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert len(got) == 8
+    assert {(1, base), (None, lone[0]), (None, lone[1]), (2, lone[2]), (7, lone[3]), (4, alike)} <= set(got)
+    first = lambda a, b: min((a, b), key=lambda t: int(np.uint64(prints[t]).astype(np.int64)))
+    if prints[other] != prints[other + tail]:
+        assert (9, first(other, other + tail)) in got
+    assert sum(i == 9 for i, _ in got) == 1 and sum(i is None for i, _ in got) == 3
