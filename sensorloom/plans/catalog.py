@@ -44,7 +44,7 @@ CONTAMINATION = 0.07
 CORRELATED = [*SURROGATE, "n_points", "skewness", "kurtosis", "entropy"]
 FAULT_SHARE = 0.1
 LONG_STEPS = 8 * 24 * 60
-ENTITY_STEPS = 24 * 60
+ENTITY_STEPS = 7 * 24 * 60
 # Whole microseconds in minutes or hours: 10 decimals never end in an exact half.
 DURATIONS = ("gap_minutes", "max_gap_minutes", "time_span_hours")
 # Results of solved equations are shown on 3 decimals, in the queries where a solver made them.

@@ -5,7 +5,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sensorloom.config import PipelineConfig
 from sensorloom.operators import forecast
+from sensorloom.plans import catalog
 
 from conftest import START
 
@@ -178,3 +180,19 @@ def test_moments_of_many_interleaved_series(make):
     square = {r.entity_id: r.moment for r in got.where(F.col("j") == width).where(F.col("i") == width).collect()}
     want = {r.entity_id: r.m for r in readings.groupBy("entity_id").agg(F.avg(F.col("value") * F.col("value")).alias("m")).collect()}
     assert square == pytest.approx(want)
+
+
+def test_each_series_is_forecast_a_week_like_a_table_of_its_own(make):
+    """Every step of the registered horizon, ARIMA hours 1 to 168 and beyond the first day too."""
+    rng = np.random.default_rng(15)
+    walk = {"a": np.array(sine(240)) + np.cumsum(rng.normal(0, 0.3, 240)), "b": np.array(sine(240, 12, 40.0)) + rng.normal(0, 1, 240)}
+    steps = catalog.ENTITY_STEPS
+    assert steps == PipelineConfig().forecast_steps
+    both = forecast.forecast_ensemble(hours(make, **walk), steps, ["entity_id"]).where("step is not null").toPandas()
+    for name, values in walk.items():
+        alone = forecast.forecast_ensemble(hours(make, **{name: values}), steps).where("step is not null").toPandas().sort_values("step")
+        mine = both[both["entity_id"] == name].sort_values("step")
+        assert mine["step"].tolist() == alone["step"].tolist() == list(range(1, 7 * 24 * 60 + 1))
+        for c in ("seasonal_point", "ensemble_point", "forecast_lower", "forecast_upper"):
+            assert np.allclose(mine[c], alone[c], atol=1e-6)
+        assert not np.allclose(alone["ensemble_point"], alone["seasonal_point"])
