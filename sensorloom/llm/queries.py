@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorloom.llm import bpe, language, quality, scoring
+from sensorloom.llm.clustering import cluster
+from sensorloom.llm.codes import compress
 from sensorloom.llm.common import table
 from sensorloom.llm.exact_dedup import exact_dedup
 from sensorloom.llm.neighbours import nearest
@@ -139,6 +141,72 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, F.col("vec_id") % 100 == 0, 10)
 
 
+@query
+def op11_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), k=16, rounds=3, scale=64, width=64, seed="1").rows
+
+
+@query
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), parts=8, entries=16, rounds=6, scale=4096).rows
+
+
+USABLE = "embedding is not null and len(embedding) = len(list_filter(embedding, lambda x: x is not null and isfinite(x)))"
+#: Exact as long as the products stay below 2^53.
+SQUARED = "(list_inner_product(a.v, a.v) + list_inner_product(b.v, b.v) - 2 * list_inner_product(a.v, b.v))"
+
+
+def _floor_mean(x: str) -> str:
+    return f"((sum({x}::bigint) - ((sum({x}::bigint) % count(*)) + count(*)) % count(*)) // count(*))::double"
+
+
+def _rounds(rounds: int) -> str:
+    """Assignments a0, a1, ... of the rows of ``pieces`` (id, p, v) to the centres c0, c1, ... (p, c, v)."""
+    out = []
+    for i in range(rounds + 1):
+        out.append(
+            f"""a{i} as materialized (
+  select id, p, any_value(a.v) as v, min({{'d': {SQUARED}, 'c': c}}) as best from pieces a join c{i} b using (p) group by id, p)"""
+        )
+        if i < rounds:
+            out.append(
+                f"""c{i + 1} as materialized (
+  select old.p, old.c, coalesce(new.v, old.v) as v from c{i} old left join (
+    select p, c, list(m order by pos) as v from (
+      select p, best.c as c, pos, {_floor_mean("v[pos]")} as m from (select *, unnest(range(1, len(v) + 1)) as pos from a{i}) group by all)
+    group by p, c) new using (p, c))"""
+            )
+    return ",\n".join(out)
+
+
+ORACLES["op11_clusters"] = f"""
+with pieces as materialized (
+  select vec_id as id, 0 as p, list_transform(embedding, lambda x: floor(64 * x::double)) as v from embeddings where {USABLE} and len(embedding) = 64),
+c0 as materialized (
+  select 0 as p, row_number() over (order by sha256('1:' || id)) - 1 as c, v from pieces qualify c < 16),
+{_rounds(3)}
+select id as vec_id, best.c::int as cluster, best.d::bigint as distance,
+       (sum(best.d) over (partition by best.c))::bigint as cluster_inertia, (sum(best.d) over ())::bigint as inertia,
+       sha256(array_to_string(list_transform(c3.v, lambda x: x::bigint), ',')) as centroid_sha256
+from a3 join c3 on c3.c = best.c
+"""
+
+ORACLES["op12_codes"] = f"""
+with kept as materialized (
+  select vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::double)) as v from embeddings where {USABLE} and len(embedding) % 8 = 0 and len(embedding) > 0),
+whole as materialized (select * from kept where len(v) = (select len(v) from kept group by len(v) order by count(*) desc, len(v) limit 1)),
+pieces as materialized (
+  select vec_id as id, p, v[p * len(v) // 8 + 1 : (p + 1) * len(v) // 8] as v from (select *, unnest(range(8)) as p from whole)),
+c0 as materialized (select p, row_number() over (partition by p order by id) - 1 as c, v from pieces qualify c < 16),
+{_rounds(6)},
+coded as (
+  select id, string_agg(printf('%02x', best.c), '' order by p) as code, sum(best.d)::bigint as error from a6 group by id),
+books as (select sha256(string_agg(array_to_string(list_transform(v, lambda x: x::bigint), ','), ',' order by p, c)) as codebooks_sha256 from c6)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
+from coded join whole on vec_id = id, books
+"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
