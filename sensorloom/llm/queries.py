@@ -1,11 +1,12 @@
 """Registered queries of this subpackage and, where SQL can express them, their SQL twins."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import bpe, language, quality, scoring
+from sensorloom.llm import bpe, language, quality, scoring, warc
 from sensorloom.llm.clustering import cluster
 from sensorloom.llm.codes import compress
 from sensorloom.llm.common import table
@@ -15,6 +16,7 @@ from sensorloom.llm.packing import pack_documents, send_definition
 from sensorloom.llm.simhash import hex_of, near_duplicates
 from sensorloom.llm.substring import remove_repeats
 from sensorloom.llm.urls import filter_urls
+from sensorloom.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -207,6 +209,26 @@ from coded join whole on vec_id = id, books
 """
 
 
+@query
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    archive = warc.write_archives(pages, f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}")
+    captures = warc.look_up(warc.build_index(archive), pages, "url", "page_id")
+    read = warc.read_records(archive.folder, captures, with_payload=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op13_warc"] = """
+with p as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages),
+f as (select *, min(page_id) over (partition by payload_digest) as first_id from p)
+select page_id, payload_bytes::bigint as payload_bytes, payload_digest,
+       case when payload_bytes >= 100 and first_id <> page_id then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 100 and first_id <> page_id then first_id end as refers_to
+from f
+"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
