@@ -127,6 +127,22 @@ def needed_groups(names: Sequence[str]) -> list[str]:
     return sorted({source[ALIAS.get(n, n)] for n in names if ALIAS.get(n, n) in source})
 
 
+def feature_arrays(view: np.ndarray, chosen: Sequence[str], needed: Sequence[str]) -> list[pa.Array]:
+    """The chosen features of windows without nulls (one a row), from the groups they need."""
+    found = {"min_oxygen": view.min(1), "max_oxygen": view.max(1)} if len(view) else {}
+    for g in needed if len(view) else ():
+        found |= group_features(g, view)
+    columns = []
+    for n in chosen:
+        kind = pa.int64() if n == "n_points" else pa.float64()
+        if not len(view):
+            columns.append(pa.array([], kind))
+            continue
+        value = np.full(len(view), view.shape[1]) if n == "n_points" else found[ALIAS.get(n, n)].astype(float)
+        columns.append(pa.array(value, kind, from_pandas=True))
+    return columns
+
+
 def extract_features(
     arranged: DataFrame,
     keys: Sequence[str],
@@ -150,17 +166,8 @@ def extract_features(
         at, x = at[whole], view[whole]
         times = rows.column("time")
         columns = [*(rows.column(k).take(at) for k in keys), times.take(at), times.take(at + size - 1), times.take(at + size // 2)]
-        if not len(at):
-            return pa.table([*columns, *(pa.array([], f.type) for f in arrow_tail)], [f.name for f in fields])
-        found = {"min_oxygen": x.min(1), "max_oxygen": x.max(1)}
-        for g in needed:
-            found |= group_features(g, x)
-        for n, f in zip(chosen, arrow_tail):
-            value = np.full(len(at), size) if n == "n_points" else found[ALIAS.get(n, n)].astype(float)
-            columns.append(pa.array(value, f.type, from_pandas=True))
-        return pa.table(columns, [f.name for f in fields])
-
-    arrow_tail = [pa.field(n, pa.int64() if n == "n_points" else pa.float64()) for n in chosen]
+        return pa.table([*columns, *feature_arrays(x, chosen, needed)], [f.name for f in fields])
+
     return _per_block(arranged, keys, size, step, rn, ROWS_PER_BLOCK, T.StructType(fields), make)
 
 

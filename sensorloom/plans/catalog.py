@@ -5,6 +5,7 @@ Doubles are rounded to 6 decimals, so that engines that add in another order agr
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -31,6 +32,9 @@ from sensorloom.plans import jobs
 from sensorloom.session import freeze, shared_dir
 from sensorloom.sources import store
 from sensorloom.sources.readings import EVENT_VALUES, numeric, parse_time, read_events, read_readings, typed, with_entity
+from sensorloom.streaming import live
+from sensorloom.streaming import sessions as stream_sessions
+from sensorloom.streaming import windows as stream_windows
 
 MAX_GAP = 120  # minutes; suits the sparse events table
 TEST_DAYS = 7
@@ -372,6 +376,44 @@ def feature_corr(spark, sf_dir):
     return stats.feature_correlation(table, CORRELATED)
 
 
+# ---------------------------------------------------------------- streams
+
+STREAM_PARTS = 6
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """The events as files that arrive in order of time (a sixth of the period after the other), and then the end."""
+    readings = read_events(spark, sf_dir).select("row_key", "time", "entity_id", "value")
+    first, last = readings.agg(F.min("time"), F.max("time")).first()
+    folder = _folder(spark, "arriving")
+    for i in range(STREAM_PARTS):
+        low, high = (first + (last - first) * j / STREAM_PARTS for j in (i, i + 1))
+        inside = (F.col("time") >= F.lit(low)) & ((F.col("time") < F.lit(high)) | F.lit(i + 1 == STREAM_PARTS))
+        readings.where(inside).repartition(2, "row_key").write.mode("append").parquet(folder)
+    live.end_stream(spark, folder, last + dt.timedelta(days=1))
+    return folder, live.open_readings(spark, folder, files_per_trigger=4)
+
+
+@query
+def stream_features(spark, sf_dir):
+    """Window features of a stream of files, in several batches."""
+    _, readings = _streamed(spark, sf_dir)
+    found = stream_windows.stream_features(readings, SIZE)
+    path = _folder(spark, "stream")
+    live.run_available(found, path, _folder(spark, "offsets"))
+    return live.results(spark, path, found)
+
+
+@query
+def stream_segment_stats(spark, sf_dir):
+    """Gap segments closed by a stream of files, numbered."""
+    _, readings = _streamed(spark, sf_dir)
+    found = stream_sessions.stream_segments(readings, MAX_GAP)
+    path = _folder(spark, "stream")
+    live.run_available(found, path, _folder(spark, "offsets"))
+    return stream_sessions.numbered(live.results(spark, path, found))
+
+
 # ---------------------------------------------------------------- injection and labels
 
 

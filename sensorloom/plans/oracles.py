@@ -623,6 +623,7 @@ def build() -> dict[str, str]:
     sql["segment_counts"] = with_(r, SEGMENTS) + "SELECT entity_id, max(segment_id) + 1 AS n_segments FROM sg GROUP BY entity_id"
     sql["segment_stats"] = with_(r, SEGMENTS) + f"""SELECT entity_id, segment_id, count(*) AS n_rows, min(time) AS start_time,
       max(time) AS end_time, {r6("avg(value)", "mean_value")} FROM sg GROUP BY entity_id, segment_id"""
+    sql["stream_segment_stats"] = sql["segment_stats"]
     sql["train_test_split"] = with_(r, SPLIT) + "SELECT row_key AS event_id, entity_id, split FROM s"
     sql["split_report"] = with_(r, SPLIT) + """SELECT entity_id, count(*) FILTER (split = 'train') AS train_size,
       count(*) FILTER (split = 'test') AS test_size, min(time) FILTER (split = 'train') AS train_start,
@@ -657,6 +658,7 @@ def build() -> dict[str, str]:
         sql[f"{group}_features"] = feature_query(names, "stuck", groups=(group,))
     sql["all_features"] = feature_query(MODEL_FEATURES, times=TIMES)
     sql["split_features"] = feature_query(MODEL_FEATURES, keys=ES, times=TIMES)
+    sql["stream_features"] = sql["all_features"]
     flagship = ["mean_oxygen", "std_oxygen", "percentile_25", "median", "max_roc", "autocorr_lag1", "trend_strength", "max_zscore"]
     sql["outlier_windows"] = (
         feature_query(flagship, groups=("point", "collective", "distribution"), times=TIMES) + " WHERE round(max_zscore, 9) > 3"
