@@ -8,11 +8,13 @@ of all readings is ordered in one task but not computed in one.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -21,59 +23,59 @@ from sensorloom.operators.windows import META, MODEL_FEATURES, feature_arrays, n
 from sensorloom.streaming.live import prepare
 
 CHUNK_ROWS = 2048
+ROW = np.dtype([("t", "<i8"), ("row_key", "<i8"), ("value", "<f8")])  # a null value is NaN
 CHUNK = "entity_id string, first_rn bigint, times array<bigint>, values array<double>"
 
 
 class Cutter(StatefulProcessor):
-    """State of a series: rows the watermark has not passed, the last ``size - 1`` rows given out, and their number."""
+    """State of a series: rows the watermark has not passed, the last ``size - 1`` rows given out, and their number.
+
+    Rows are kept packed, one piece for each batch they came with, so a batch costs a few accesses and not one a row.
+    """
 
     def __init__(self, size: int, chunk_rows: int):
         self.size, self.chunk_rows = size, chunk_rows
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "t bigint, row_key bigint, value double")
-        self.ring = handle.getListState("ring", "t bigint, value double")
-        self.given = handle.getValueState("given", "n bigint")
+        self.waiting = handle.getListState("waiting", "rows binary")
+        self.given = handle.getValueState("given", "n bigint, ring binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         first = None
         for part in rows:
             if key[0] is None or not len(part):
                 continue
-            value = part["value"].astype(object).where(part["value"].notna(), None)
-            self.waiting.appendList(list(zip(part["t"].tolist(), part["row_key"].tolist(), value.tolist())))
-            first = min(int(part["t"].min()), first if first is not None else 2**62)
+            packed = np.zeros(len(part), ROW)
+            for c in ROW.names:
+                packed[c] = part[c].to_numpy()
+            self.waiting.appendValue((packed.tobytes(),))
+            least = int(packed["t"].min())
+            first = least if first is None else min(first, least)
         if first is not None:
             self._wake(first)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = sorted(self.waiting.get(), key=lambda r: r[:2])
-        ready = [r for r in waiting if r[0] <= passed]
-        if not ready:
+        waiting = np.concatenate([np.zeros(0, ROW), *(np.frombuffer(r[0], ROW) for r in self.waiting.get())])
+        waiting = waiting[np.lexsort((waiting["row_key"], waiting["t"]))]
+        n = int(np.searchsorted(waiting["t"], passed, "right"))
+        if not n:
             return
-        rest = waiting[len(ready) :]
-        if rest:
-            self.waiting.put(rest)
-            self._wake(rest[0][0])
+        if n < len(waiting):
+            self.waiting.put([(waiting[n:].tobytes(),)])
+            self._wake(int(waiting["t"][n]))
         else:
             self.waiting.clear()
-        ring = list(self.ring.get())
-        given = self.given.get()[0] if self.given.exists() else 0
-        rows = ring + [(t, v) for t, _, v in ready]
+        given, ring = self.given.get() if self.given.exists() else (0, b"")
+        ring, halo = np.frombuffer(ring, ROW), self.size - 1
+        rows = np.concatenate([ring, waiting[:n]])
         begins = given - len(ring) + 1  # number of the first row of ``rows``
-        out, halo = [], self.size - 1
+        self.given.update((given + n, rows[max(0, len(rows) - halo) :].tobytes()))
         for at in range(0, max(0, len(rows) - halo), self.chunk_rows):
             part = rows[at : at + halo + self.chunk_rows]
-            out.append((key[0], begins + at, [t for t, _ in part], [v for _, v in part]))
-        kept = rows[-halo:] if halo else []
-        if kept:
-            self.ring.put(kept)
-        self.given.update((given + len(ready),))
-        if out:
-            yield pd.DataFrame(out, columns=["entity_id", "first_rn", "times", "values"])
+            yield pd.DataFrame({"entity_id": [key[0]], "first_rn": [begins + at], "times": [part["t"]], "values": [part["value"]]})
 
     def close(self) -> None:
         pass
@@ -111,6 +113,8 @@ def stream_features(
     row; rows that arrive behind the watermark are dropped. Rows without a series only move the time on.
     """
     prepare(readings.sparkSession)
+    # The operator is also set up in a process of the driver's own that does not get the files sent to the executors.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     chosen = [n for n in (names if names is not None else MODEL_FEATURES) if n not in ("entity_id", *META[:3])]
     timed = readings.withWatermark("time", delay).select("entity_id", "time", "row_key", "value", F.unix_micros("time").alias("t"))
     chunks = timed.groupBy("entity_id").transformWithStateInPandas(Cutter(size, chunk_rows), CHUNK, "append", "eventTime")
