@@ -27,8 +27,9 @@ from sensorloom.operators import (
     stats,
     windows,
 )
+from sensorloom.operators.ordered import number
 from sensorloom.operators.quantile import exact_quantile
-from sensorloom.plans import jobs
+from sensorloom.plans import incremental, jobs
 from sensorloom.session import freeze, shared_dir
 from sensorloom.sources import store
 from sensorloom.sources.readings import EVENT_VALUES, numeric, parse_time, read_events, read_readings, typed, with_entity
@@ -48,6 +49,7 @@ CONTAMINATION = 0.07
 CORRELATED = [*SURROGATE, "n_points", "skewness", "kurtosis", "entropy"]
 FAULT_SHARE = 0.1
 LONG_STEPS = 8 * 24 * 60
+BUCKET_DAYS = 4
 ENTITY_STEPS = 7 * 24 * 60
 # Whole microseconds in minutes or hours: 10 decimals never end in an exact half.
 DURATIONS = ("gap_minutes", "max_gap_minutes", "time_span_hours")
@@ -813,6 +815,18 @@ def feature_job(spark, sf_dir):
     return stored.groupBy(*SPLIT).agg(F.count(F.lit(1)).alias("n_windows"), F.avg("median").alias("mean_median"))
 
 
+@query
+def incremental_features(spark, sf_dir):
+    """Features stored without the last day, then brought up to date with it."""
+    path, readings = _folder(spark, "blocks"), read_events(spark, sf_dir)
+    end = readings.agg(F.max("time")).first()[0]
+    for known in (readings.where(F.col("time") < F.lit(end - dt.timedelta(days=1))), readings):
+        split = quality.time_split(quality.arrange_readings(known), TEST_DAYS)
+        prepared = jobs.Prepared(freeze(number(split, SPLIT), "prepared"), None, None)
+        update = incremental.update_features(prepared, path, _config(), BUCKET_DAYS)
+    return update.features.drop("anomaly_label")
+
+
 @query
 def forecast_training_job(spark, sf_dir):
     _, _, metrics = jobs.run_forecast_training(_without_faults(spark, sf_dir), _config(), _folder(spark, "forecaster"))

@@ -659,6 +659,7 @@ def build() -> dict[str, str]:
     sql["all_features"] = feature_query(MODEL_FEATURES, times=TIMES)
     sql["split_features"] = feature_query(MODEL_FEATURES, keys=ES, times=TIMES)
     sql["stream_features"] = sql["all_features"]
+    sql["incremental_features"] = sql["split_features"]
     flagship = ["mean_oxygen", "std_oxygen", "percentile_25", "median", "max_roc", "autocorr_lag1", "trend_strength", "max_zscore"]
     sql["outlier_windows"] = (
         feature_query(flagship, groups=("point", "collective", "distribution"), times=TIMES) + " WHERE round(max_zscore, 9) > 3"
