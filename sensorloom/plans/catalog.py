@@ -27,6 +27,7 @@ from sensorloom.operators import (
     stats,
     windows,
 )
+from sensorloom.operators import time_windows as time_window
 from sensorloom.operators.ordered import number
 from sensorloom.operators.quantile import exact_quantile
 from sensorloom.plans import incremental, jobs
@@ -50,6 +51,9 @@ CORRELATED = [*SURROGATE, "n_points", "skewness", "kurtosis", "entropy"]
 FAULT_SHARE = 0.1
 LONG_STEPS = 8 * 24 * 60
 BUCKET_DAYS = 4
+NUDGE = 1e-9  # means of 64 values often end in an exact half; both engines then round it up
+WINDOW_MINUTES = 360
+BURST_US = 1_705_320_000_000_000  # noon of 15 January 2024
 ENTITY_STEPS = 7 * 24 * 60
 # Whole microseconds in minutes or hours: 10 decimals never end in an exact half.
 DURATIONS = ("gap_minutes", "max_gap_minutes", "time_span_hours")
@@ -278,6 +282,24 @@ def rolling_means(spark, sf_dir):
     return _event(windows.rolling_means(_arranged(spark, sf_dir), ENTITY), "rolling_5", "rolling_10")
 
 
+def _in_time(readings: DataFrame) -> DataFrame:
+    found = time_window.time_windows(readings, ENTITY, WINDOW_MINUTES)
+    return found.withColumn("mean", F.col("mean") + NUDGE)
+
+
+@query
+def time_windows(spark, sf_dir):
+    """Statistics of the hours before each reading."""
+    return _in_time(read_events(spark, sf_dir, "nulls"))
+
+
+@query
+def time_windows_burst(spark, sf_dir):
+    """The same while a third of all readings fall into one minute."""
+    squeezed = F.when(F.col("row_key") % 3 == 0, F.timestamp_micros(F.lit(BURST_US) + F.col("row_key") * 500)).otherwise(F.col("time"))
+    return _in_time(read_events(spark, sf_dir, "nulls").withColumn("time", squeezed))
+
+
 @query
 def series_lengths(spark, sf_dir):
     return windows.long_enough(_split(spark, sf_dir), SPLIT, SIZE)

@@ -10,7 +10,7 @@ from sensorloom.functions import window_features as wf
 from sensorloom.operators import forecast as fc
 from sensorloom.operators.inject import FAULTS
 from sensorloom.operators.windows import MODEL_FEATURES
-from sensorloom.plans.catalog import CONTAMINATION, CORRELATED, ENTITY_STEPS, FAULT_SHARE, LONG_STEPS, MAX_GAP, SURROGATE, digits
+from sensorloom.plans.catalog import BURST_US, CONTAMINATION, CORRELATED, ENTITY_STEPS, FAULT_SHARE, LONG_STEPS, MAX_GAP, NUDGE, SURROGATE, WINDOW_MINUTES, digits
 
 VALUES = {
     "plain": "value",
@@ -658,6 +658,15 @@ def build() -> dict[str, str]:
         sql[f"{group}_features"] = feature_query(names, "stuck", groups=(group,))
     sql["all_features"] = feature_query(MODEL_FEATURES, times=TIMES)
     sql["split_features"] = feature_query(MODEL_FEATURES, keys=ES, times=TIMES)
+    def in_time(source: str) -> str:
+        return f"""SELECT DISTINCT entity_id, time AS window_end, count(value) OVER w AS n_points, {r6(f"avg(value) OVER w + {NUDGE}", "mean")},
+          {r6("CASE WHEN min(value) OVER w = max(value) OVER w THEN 0 ELSE stddev_pop(value) OVER w END", "std")},
+          {r6("min(value) OVER w", "min")}, {r6("max(value) OVER w", "max")} FROM {source}
+          WINDOW w AS (PARTITION BY entity_id ORDER BY time RANGE BETWEEN INTERVAL {WINDOW_MINUTES} MINUTE PRECEDING AND CURRENT ROW)"""
+
+    squeezed = f"""b AS (SELECT * REPLACE (CASE WHEN row_key % 3 = 0 THEN make_timestamp({BURST_US} + row_key * 500) ELSE time END AS time) FROM r)"""
+    sql["time_windows"] = with_(rn) + in_time("r")
+    sql["time_windows_burst"] = with_(rn, squeezed) + in_time("b")
     sql["stream_features"] = sql["all_features"]
     sql["incremental_features"] = sql["split_features"]
     flagship = ["mean_oxygen", "std_oxygen", "percentile_25", "median", "max_roc", "autocorr_lag1", "trend_strength", "max_zscore"]
