@@ -6,7 +6,7 @@ import hashlib
 import json
 from dataclasses import asdict, dataclass
 
-IMPUTATION_METHODS = ("ensemble", "knn", "spline", "forward_fill")
+IMPUTATION_METHODS = ("ensemble", "knn", "knn_time", "spline", "forward_fill")
 # Every scoring task holds the forest: 40 bytes for each of 2 * tree_sample - 1 nodes a tree at most.
 MAX_TREES, MAX_TREE_SAMPLE = 1000, 1024
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from sensorloom.session import freeze
 SERIES = ["entity_id"]
 HALO_KNOTS = 40  # the influence of a knot decays by 3.7 per step: 40 knots are below double precision
 BLOCK_KNOTS = 4096
+KNOT = (("t", pa.int64()), ("rn", pa.int64()), ("value", pa.float64()))
 
 
 def forward_fill(arranged: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -131,6 +133,59 @@ def spline(arranged: DataFrame, keys: list[str] | None = None, block_knots: int
     return out.drop("rn", "knot", "_knots", "_piece", "_left", "_last", "_right")
 
 
+def _borders(keys: list[str], k: int):
+    def run(knots: pa.Table) -> pa.Table:
+        """The k last known readings up to each own knot and the k first ones from it, where a null lies beside it."""
+        knots = knots.sort_by("knot").combine_chunks()
+        rn, n = knots.column("rn").to_numpy(), knots.num_rows
+        outside = knots.column("knot").to_numpy() == knots.column("_knots").to_numpy()
+        beside = np.r_[rn[:1] > 1, np.diff(rn) > 1] | np.r_[np.diff(rn) > 1, False] | outside
+        own = np.flatnonzero(knots.column("_own").to_numpy() & beside)
+        entry = pa.StructArray.from_arrays([knots.column(c).chunk(0) if n else pa.array([], t) for c, t in KNOT], [c for c, _ in KNOT])
+
+        def lists(first: np.ndarray, last: np.ndarray) -> pa.Array:
+            ends = np.r_[0, np.cumsum(last - first)]
+            at = np.arange(ends[-1]) + np.repeat(first - ends[:-1], last - first)
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entry.take(pa.array(at)))
+
+        columns = [knots.column(c).take(pa.array(own)) for c in [*keys, "rn"]]
+        before, after = lists(np.maximum(own + 1 - k, 0), own + 1), lists(own, np.minimum(own + k, n))
+        return pa.table([*columns, before, after], [*keys, "rn", "_before", "_after"])
+
+    return run
+
+
+def nearest_in_time(arranged: DataFrame, k: int = 5, keys: list[str] | None = None, block_knots: int = BLOCK_KNOTS) -> DataFrame:
+    """Mean of the ``k`` known readings nearest in time; of equally near ones those fewer rows away, then the earlier.
+
+    With fewer known readings all count, and a series without one keeps its nulls. A null's nearest lie among the k known
+    ones before and the k after it. Known readings are numbered and cut into blocks that overlap by k, so k may span
+    any number of chunks; the lists are made only where a null follows or precedes, and reach the nulls of
+    a run, however long, by a fill in both directions.
+    """
+    if k < 1:
+        raise ValueError("k must be at least 1")
+    keys = keys or SERIES
+    known = F.col("value").isNotNull()
+    rows = freeze(running_sum(number(arranged, keys), keys, {"knot": known.cast("bigint")}), "knotted")
+    counts = freeze(rows.groupBy(*keys).agg(F.count("value").alias("_knots")), "knots")
+    t = F.unix_micros("time")
+    knots = rows.where(known).join(counts, keys).select(*keys, "rn", "knot", "_knots", t.alias("t"), "value")
+    cut = blocks(knots, keys, rn="knot", before=k, after=k, rows=block_knots)
+    entry = "array<struct<t: bigint, rn: bigint, value: double>>"
+    schema = ", ".join([*(f"{c} {kind}" for c, kind in cut.dtypes if c in keys), "rn bigint", f"_before {entry}", f"_after {entry}"])
+    borders = cut.groupBy(*keys, "_block").applyInArrow(_borders(keys, k), schema)
+    met = freeze(rows.join(borders, [*keys, "rn"], "left"), "borders")
+    near = fill(met, keys, {"_left": "_before"}, {"_right": "_after"})
+    empty = F.from_json(F.lit("[]"), entry)
+    both = F.concat(F.coalesce("_left", empty), F.coalesce("_right", empty))
+    placed = F.transform(both, lambda x: F.struct(F.abs(x["t"] - t), F.abs(x["rn"] - F.col("rn")), x["rn"], x["value"].alias("value")))
+    taken = F.slice(F.array_sort(placed), 1, k)
+    mean = F.try_divide(F.aggregate(taken, F.lit(0.0), lambda a, x: a + x["value"]), F.size(taken).cast("double"))
+    out = near.withColumn("value", F.coalesce("value", mean))
+    return out.drop("rn", "knot", "_before", "_after", "_left", "_right")
+
+
 def ensemble(readings: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Neighbour mean first, spline for what is still null.
 
@@ -146,6 +201,8 @@ def impute(arranged: DataFrame, method: str, keys: list[str] | None = None) -> D
         raise ValueError(f"unknown imputation method {method!r}")
     if method == "spline":
         return spline(arranged, keys)
+    if method == "knn_time":
+        return nearest_in_time(arranged, keys=keys)
     if method == "forward_fill":
         return forward_fill(arranged, keys)
     return neighbour_mean(arranged, keys) if method == "knn" else ensemble(arranged, keys)

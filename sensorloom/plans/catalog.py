@@ -264,6 +264,12 @@ def impute_spline(spark, sf_dir):
     return _event(impute.spline(_arranged(spark, sf_dir, "nulls")), "entity_id", "value")
 
 
+@query
+def impute_knn_time(spark, sf_dir):
+    """Mean of the five readings nearest in time."""
+    return _event(impute.nearest_in_time(_arranged(spark, sf_dir, "nulls")), "entity_id", "value")
+
+
 @query
 def missing_counts(spark, sf_dir):
     before = _arranged(spark, sf_dir, "nulls")

@@ -637,6 +637,14 @@ def build() -> dict[str, str]:
     sql["impute_knn"] = with_(rn) + f"SELECT row_key AS event_id, entity_id, {r6(mean, 'value')} FROM r"
     sql["impute_ensemble"] = sql["impute_knn"]
     sql["impute_spline"] = with_(rn, _spline()) + f"SELECT row_key AS event_id, entity_id, {r6('value', 'value')} FROM sy"
+    # Of each side no more than five rows can be among the five nearest.
+    sql["impute_knn_time"] = with_(rn) + f"""
+      , o AS (SELECT *, row_number() OVER w AS rn, count(value) OVER (w ROWS UNBOUNDED PRECEDING) AS kn FROM r WINDOW w AS (PARTITION BY entity_id ORDER BY time, row_key)),
+      near AS (
+        SELECT a.row_key, b.value FROM o a JOIN o b ON a.entity_id = b.entity_id AND a.value IS NULL AND b.value IS NOT NULL AND b.kn BETWEEN a.kn - 4 AND a.kn + 5
+        QUALIFY row_number() OVER (PARTITION BY a.row_key ORDER BY abs(date_diff('microsecond', a.time, b.time)), abs(a.rn - b.rn), b.rn) <= 5),
+      m AS (SELECT row_key, avg(value) AS guess FROM near GROUP BY row_key)
+      SELECT row_key AS event_id, entity_id, {r6('coalesce(value, guess)', 'value')} FROM o LEFT JOIN m USING (row_key)"""
     sql["missing_counts"] = with_(rn) + f"""SELECT entity_id, count(*) FILTER (value IS NULL) AS nulls_before,
       count(*) FILTER (filled IS NULL) AS nulls_after FROM (SELECT entity_id, value, {last} AS filled FROM r) GROUP BY entity_id"""
 

@@ -63,3 +63,34 @@ def test_counts_and_dispatch(make):
     assert (counts.nulls_before, counts.nulls_after) == (2, 1)
     with pytest.raises(ValueError):
         impute.impute(before, "other")
+
+
+def nearest_by_hand(rows, k):
+    """rows: (minute, value or None) in order; every null against every known reading."""
+    known = [(m, i, v) for i, (m, v) in enumerate(rows) if v is not None]
+    out = []
+    for i, (m, v) in enumerate(rows):
+        near = sorted((abs(m - a), abs(i - j), j, w) for a, j, w in known)[:k]
+        out.append(v if v is not None else np.mean([w for *_, w in near]) if near else np.nan)
+    return out
+
+
+@pytest.mark.parametrize("k,block_knots", [(1, 4), (5, 4), (5, 4096), (40, 8), (500, 16)])
+def test_nearest_in_time_over_chunk_borders(make, k, block_knots):
+    """k reaches over chunks and blocks, and beyond the series; one null run is longer than a chunk."""
+    rng = np.random.default_rng(k)
+    minutes = {"a": np.cumsum(rng.choice([0, 0.5, 1, 9], 150)).tolist(), "b": list(range(60)), "none": [0, 1], "one": [0, 5, 7]}
+    series = {"a": holes(rng.normal(50, 5, 150).round(2).tolist(), {0, 1, 7, 149, *range(40, 110)}), "none": [None, None], "one": [None, 3.0, None]}
+    series["b"] = holes(rng.normal(50, 5, 60).round(2).tolist(), set(range(0, 60, 2)))
+    placed = quality.arrange_readings(make(series, minutes), 7)
+    got = values(impute.nearest_in_time(placed, k, block_knots=block_knots))
+    for name in series:
+        want = nearest_by_hand(list(zip(minutes[name], series[name])), k)
+        np.testing.assert_allclose(got[name], want, rtol=1e-12, equal_nan=True)
+
+
+def test_nearest_in_time_by_dispatch(make):
+    placed = quality.arrange_readings(make({"a": [1.0, None, 3.0]}))
+    assert values(impute.impute(placed, "knn_time"))["a"].tolist() == [1, 2, 3]
+    with pytest.raises(ValueError):
+        impute.nearest_in_time(placed, 0)
