@@ -25,6 +25,7 @@ from sensorloom.operators import (
     quality,
     scaling,
     stats,
+    thresholds,
     windows,
 )
 from sensorloom.operators import time_windows as time_window
@@ -51,6 +52,7 @@ CORRELATED = [*SURROGATE, "n_points", "skewness", "kurtosis", "entropy"]
 FAULT_SHARE = 0.1
 LONG_STEPS = 8 * 24 * 60
 BUCKET_DAYS = 4
+PEAK_LEVEL, RISK = 0.95, 1e-3
 NUDGE = 1e-9  # means of 64 values often end in an exact half; both engines then round it up
 WINDOW_MINUTES = 360
 BURST_US = 1_705_320_000_000_000  # noon of 15 January 2024
@@ -406,6 +408,29 @@ def feature_corr(spark, sf_dir):
     return stats.feature_correlation(table, CORRELATED)
 
 
+# ---------------------------------------------------------------- thresholds of each series
+
+
+@query
+def series_quantiles(spark, sf_dir):
+    return thresholds.series_quantile(read_events(spark, sf_dir, "nulls"), ENTITY, "value", PEAK_LEVEL)
+
+
+@query
+def peak_thresholds(spark, sf_dir):
+    """Levels that a series exceeds once in a thousand readings, from a fit of its peaks."""
+    return thresholds.peak_thresholds(read_events(spark, sf_dir, "nulls"), ENTITY, "value", PEAK_LEVEL, RISK)
+
+
+@query
+def peak_alerts(spark, sf_dir):
+    """Readings below the lower alert level of their series."""
+    readings = read_events(spark, sf_dir, "nulls")
+    levels = thresholds.peak_thresholds(readings, ENTITY, "value", 0.9, RISK, "lower")
+    flagged = thresholds.flag_peaks(readings, levels, ENTITY, "value", "lower")
+    return _event(flagged.where("is_alert"), "entity_id", "value")
+
+
 # ---------------------------------------------------------------- streams
 
 STREAM_PARTS = 6

@@ -10,7 +10,7 @@ from sensorloom.functions import window_features as wf
 from sensorloom.operators import forecast as fc
 from sensorloom.operators.inject import FAULTS
 from sensorloom.operators.windows import MODEL_FEATURES
-from sensorloom.plans.catalog import BURST_US, CONTAMINATION, CORRELATED, ENTITY_STEPS, FAULT_SHARE, LONG_STEPS, MAX_GAP, NUDGE, SURROGATE, WINDOW_MINUTES, digits
+from sensorloom.plans.catalog import BURST_US, CONTAMINATION, CORRELATED, ENTITY_STEPS, FAULT_SHARE, LONG_STEPS, MAX_GAP, NUDGE, PEAK_LEVEL, RISK, SURROGATE, WINDOW_MINUTES, digits
 
 VALUES = {
     "plain": "value",
@@ -666,6 +666,23 @@ def build() -> dict[str, str]:
         sql[f"{group}_features"] = feature_query(names, "stuck", groups=(group,))
     sql["all_features"] = feature_query(MODEL_FEATURES, times=TIMES)
     sql["split_features"] = feature_query(MODEL_FEATURES, keys=ES, times=TIMES)
+    def peaks(level: float, sign: int = 1) -> str:
+        return f"""v AS (SELECT *, {sign} * value AS x FROM r WHERE value IS NOT NULL),
+          o AS (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY x) AS k, count(*) OVER (PARTITION BY entity_id) AS n FROM v),
+          t AS (SELECT entity_id, n, x AS t FROM o WHERE k = greatest(ceil({level}::DOUBLE * n), 1)),
+          y AS (
+            SELECT entity_id, n, t, count(*) FILTER (x > t) AS c, avg(x - t) FILTER (x > t) AS m, var_pop(x - t) FILTER (x > t) AS v
+            FROM o JOIN t USING (entity_id, n) GROUP BY ALL),
+          q AS (SELECT *, CASE WHEN v > 1e-12 * m * m THEN m * m / v END AS ratio FROM y),
+          g AS (SELECT *, coalesce(0.5 * (1 - ratio), 0) AS shape, coalesce(0.5 * m * (1 + ratio), m, 0) AS scale, {RISK} * n / c AS share FROM q),
+          l AS (SELECT *, t + greatest(CASE WHEN c = 0 THEN 0 WHEN abs(shape) < 1e-9 THEN -scale * ln(share)
+                                       ELSE scale / shape * (pow(share, -shape) - 1) END, 0) AS z FROM g)"""
+
+    sql["series_quantiles"] = with_(rn, peaks(PEAK_LEVEL)) + f"SELECT entity_id, n, {r6('t', 'value')} FROM t"
+    sql["peak_thresholds"] = with_(rn, peaks(PEAK_LEVEL)) + f"""SELECT entity_id, n AS n_rows, {r6("t", "peak_level")}, c AS n_peaks,
+      {r6("shape", "shape")}, {r6("scale", "scale")}, {r6("z", "alert_level")} FROM l"""
+    sql["peak_alerts"] = with_(rn, peaks(0.9, -1)) + f"SELECT row_key AS event_id, entity_id, {r6('value', 'value')} FROM v JOIN l USING (entity_id) WHERE x > z"
+
     def in_time(source: str) -> str:
         return f"""SELECT DISTINCT entity_id, time AS window_end, count(value) OVER w AS n_points, {r6(f"avg(value) OVER w + {NUDGE}", "mean")},
           {r6("CASE WHEN min(value) OVER w = max(value) OVER w THEN 0 ELSE stddev_pop(value) OVER w END", "std")},
