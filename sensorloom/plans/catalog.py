@@ -24,6 +24,7 @@ from sensorloom.operators import (
     labels,
     quality,
     scaling,
+    sketches,
     stats,
     thresholds,
     windows,
@@ -52,6 +53,7 @@ CORRELATED = [*SURROGATE, "n_points", "skewness", "kurtosis", "entropy"]
 FAULT_SHARE = 0.1
 LONG_STEPS = 8 * 24 * 60
 BUCKET_DAYS = 4
+SKETCH_FROM, SKETCH_TO = dt.date(2024, 1, 8), dt.date(2024, 1, 21)
 PEAK_LEVEL, RISK = 0.95, 1e-3
 NUDGE = 1e-9  # means of 64 values often end in an exact half; both engines then round it up
 WINDOW_MINUTES = 360
@@ -408,6 +410,42 @@ def feature_corr(spark, sf_dir):
     return stats.feature_correlation(table, CORRELATED)
 
 
+# ---------------------------------------------------------------- sketches
+
+
+def _stored_sketches(spark: SparkSession, readings: DataFrame) -> DataFrame:
+    path = _folder(spark, "sketches")
+    of = {"n_values": F.col("value"), "n_systems": F.col("system")}
+    sketches.write_sketches(sketches.daily_sketches(readings, ["entity_id", "equipment"], of), path)
+    return sketches.read_sketches(spark, path, SKETCH_FROM, SKETCH_TO)
+
+
+@query
+def sketch_profile(spark, sf_dir):
+    """Distinct counts and quantiles of a fortnight from stored days, judged by the exact ones: is the error in its bound?"""
+    readings, levels = read_events(spark, sf_dir, "nan"), {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    merged = sketches.merge_sketches(_stored_sketches(spark, readings), ENTITY, ["n_values"])
+    told = sketches.estimates(merged, ENTITY, ["n_values"], levels).withColumnRenamed("n", "n_records")
+    inside = readings.where(F.to_date("time").between(F.lit(SKETCH_FROM), F.lit(SKETCH_TO)) & F.col("value").isNotNull())
+    ranks = []
+    for name in levels:
+        ranks += [F.avg((F.col("value") < F.col(name)).cast("int")).alias(f"{name}_from"), F.avg((F.col("value") <= F.col(name)).cast("int")).alias(f"{name}_to")]
+    exact = inside.join(freeze(told, "told"), ENTITY).groupBy(*ENTITY, "n_records", F.col("n_values").alias("guess")).agg(F.count_distinct("value").alias("n_values"), *ranks)
+    # Sketches draw lots: twice the 99 % error, about five standard errors, is what no run leaves.
+    bound = 2 * sketches.RANK_ERROR
+    near = [((F.col(f"{c}_from") <= p + bound) & (F.col(f"{c}_to") >= p - bound)).alias(f"{c}_near") for c, p in levels.items()]
+    apart = F.abs(F.col("guess") - F.col("n_values")) <= 4 * sketches.DISTINCT_ERROR * F.col("n_values") + 1
+    return exact.select(*ENTITY, "n_records", apart.alias("distinct_near"), *near)
+
+
+@query
+def sketch_rollup(spark, sf_dir):
+    """The same stored days merged over the series of an equipment; the few systems are counted exactly."""
+    days = _stored_sketches(spark, read_events(spark, sf_dir, "nan"))
+    merged = sketches.merge_sketches(days, ["equipment"], ["n_systems"])
+    return sketches.estimates(merged, ["equipment"], ["n_systems"], {}).withColumnRenamed("n", "n_records")
+
+
 # ---------------------------------------------------------------- thresholds of each series
 
 

@@ -10,7 +10,7 @@ from sensorloom.functions import window_features as wf
 from sensorloom.operators import forecast as fc
 from sensorloom.operators.inject import FAULTS
 from sensorloom.operators.windows import MODEL_FEATURES
-from sensorloom.plans.catalog import BURST_US, CONTAMINATION, CORRELATED, ENTITY_STEPS, FAULT_SHARE, LONG_STEPS, MAX_GAP, NUDGE, PEAK_LEVEL, RISK, SURROGATE, WINDOW_MINUTES, digits
+from sensorloom.plans.catalog import BURST_US, CONTAMINATION, CORRELATED, ENTITY_STEPS, FAULT_SHARE, LONG_STEPS, MAX_GAP, NUDGE, PEAK_LEVEL, RISK, SKETCH_FROM, SKETCH_TO, SURROGATE, WINDOW_MINUTES, digits
 
 VALUES = {
     "plain": "value",
@@ -666,6 +666,13 @@ def build() -> dict[str, str]:
         sql[f"{group}_features"] = feature_query(names, "stuck", groups=(group,))
     sql["all_features"] = feature_query(MODEL_FEATURES, times=TIMES)
     sql["split_features"] = feature_query(MODEL_FEATURES, keys=ES, times=TIMES)
+    nan = readings("nan")
+    fortnight = f"value IS NOT NULL AND time::DATE BETWEEN DATE '{SKETCH_FROM}' AND DATE '{SKETCH_TO}'"
+    sql["sketch_profile"] = with_(nan) + f"""SELECT entity_id, count(*) AS n_records, true AS distinct_near, true AS p50_near, true AS p95_near,
+      true AS p99_near FROM r WHERE {fortnight} GROUP BY entity_id"""
+    sql["sketch_rollup"] = with_(nan) + f"""SELECT equipment, count(value) FILTER ({fortnight}) AS n_records,
+      count(DISTINCT system) AS n_systems FROM r WHERE time::DATE BETWEEN DATE '{SKETCH_FROM}' AND DATE '{SKETCH_TO}' GROUP BY equipment"""
+
     def peaks(level: float, sign: int = 1) -> str:
         return f"""v AS (SELECT *, {sign} * value AS x FROM r WHERE value IS NOT NULL),
           o AS (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY x) AS k, count(*) OVER (PARTITION BY entity_id) AS n FROM v),
