@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from sensorloom.config import PipelineConfig
 from sensorloom.functions import window_features as wf
 from sensorloom.operators import (
+    alerts,
     evaluate,
     forecast,
     forest,
@@ -53,6 +54,7 @@ CORRELATED = [*SURROGATE, "n_points", "skewness", "kurtosis", "entropy"]
 FAULT_SHARE = 0.1
 LONG_STEPS = 8 * 24 * 60
 BUCKET_DAYS = 4
+HOT, CALM, N_OPEN, N_CLOSE, BAND = 4.5, 4.0, 3, 5, 25.0
 SKETCH_FROM, SKETCH_TO = dt.date(2024, 1, 8), dt.date(2024, 1, 21)
 PEAK_LEVEL, RISK = 0.95, 1e-3
 NUDGE = 1e-9  # means of 64 values often end in an exact half; both engines then round it up
@@ -469,6 +471,17 @@ def peak_alerts(spark, sf_dir):
     return _event(flagged.where("is_alert"), "entity_id", "value")
 
 
+@query
+def alert_episodes(spark, sf_dir):
+    """Alert episodes of the test windows, from their largest score and a stand-in forecast's interval."""
+    table = windows.extract_features(_split(spark, sf_dir), SPLIT, SIZE, 1, ["max_zscore", "mean_oxygen"]).where("split = 'test'")
+    scored = table.withColumn("score", F.round("max_zscore", 6))
+    forecast = _stand_in_forecast(spark, sf_dir).select(
+        "timestamp", (F.col("forecast_point") - BAND).alias("forecast_lower"), (F.col("forecast_point") + BAND).alias("forecast_upper")
+    )
+    return alerts.alert_episodes(scored, ENTITY, "score", HOT, CALM, N_OPEN, N_CLOSE, forecast, order=["window_start", "window_end", "window_center"])
+
+
 # ---------------------------------------------------------------- streams
 
 STREAM_PARTS = 6

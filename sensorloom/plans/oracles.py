@@ -10,7 +10,28 @@ from sensorloom.functions import window_features as wf
 from sensorloom.operators import forecast as fc
 from sensorloom.operators.inject import FAULTS
 from sensorloom.operators.windows import MODEL_FEATURES
-from sensorloom.plans.catalog import BURST_US, CONTAMINATION, CORRELATED, ENTITY_STEPS, FAULT_SHARE, LONG_STEPS, MAX_GAP, NUDGE, PEAK_LEVEL, RISK, SKETCH_FROM, SKETCH_TO, SURROGATE, WINDOW_MINUTES, digits
+from sensorloom.plans.catalog import (
+    BAND,
+    BURST_US,
+    CALM,
+    CONTAMINATION,
+    CORRELATED,
+    ENTITY_STEPS,
+    FAULT_SHARE,
+    HOT,
+    LONG_STEPS,
+    MAX_GAP,
+    NUDGE,
+    N_CLOSE,
+    N_OPEN,
+    PEAK_LEVEL,
+    RISK,
+    SKETCH_FROM,
+    SKETCH_TO,
+    SURROGATE,
+    WINDOW_MINUTES,
+    digits,
+)
 
 VALUES = {
     "plain": "value",
@@ -666,6 +687,24 @@ def build() -> dict[str, str]:
         sql[f"{group}_features"] = feature_query(names, "stuck", groups=(group,))
     sql["all_features"] = feature_query(MODEL_FEATURES, times=TIMES)
     sql["split_features"] = feature_query(MODEL_FEATURES, keys=ES, times=TIMES)
+    sql["alert_episodes"] = with_(r, SPLIT, windows("s", ES), features(ES, ("point",)), GRID, f"""ft AS (SELECT * FROM f WHERE split = 'test'),
+      bd AS (SELECT entity_id, win, avg(forecast_point) AS band FROM ft LEFT JOIN fo ON fo.timestamp BETWEEN window_start AND window_end GROUP BY ALL),
+      sc AS (SELECT ft.*, round(max_zscore, 6) AS score, coalesce(abs(mean_oxygen - band) > {BAND}, false) AS off FROM ft JOIN bd USING (entity_id, win)),
+      x AS (
+        SELECT *, coalesce(score >= {HOT} OR (score >= {CALM} AND off), false) AS hot, coalesce(score < {CALM} AND NOT off, false) AS calm,
+               row_number() OVER (PARTITION BY entity_id ORDER BY window_start, window_end, window_center) AS i,
+               count(*) OVER (PARTITION BY entity_id) AS rows_of FROM sc),
+      m AS (
+        SELECT entity_id, i, hot::INT AS hots, calm::INT AS calms, hot AND {N_OPEN} = 1 AS is_open FROM x WHERE i = 1
+        UNION ALL
+        SELECT x.entity_id, x.i, CASE WHEN hot THEN hots + 1 ELSE 0 END, CASE WHEN calm THEN calms + 1 ELSE 0 END,
+               CASE WHEN NOT is_open THEN hot AND hots + 1 >= {N_OPEN} ELSE NOT (calm AND calms + 1 >= {N_CLOSE}) END
+        FROM m JOIN x ON x.entity_id = m.entity_id AND x.i = m.i + 1),
+      o AS (SELECT x.*, is_open, is_open AND NOT coalesce(lag(is_open) OVER (PARTITION BY entity_id ORDER BY i), false) AS begins FROM x JOIN m USING (entity_id, i)),
+      ep AS (SELECT *, sum(begins::INT) OVER (PARTITION BY entity_id ORDER BY i)::BIGINT AS episode FROM o)""") + f"""
+      SELECT entity_id, episode, min(window_start) AS start_time, max(window_end) AS end_time, count(*) AS n_windows, {r6("max(score)", "peak_score")},
+             count(*) FILTER (off) AS n_off_forecast, max(i) < max(rows_of) AS is_closed
+      FROM ep WHERE is_open GROUP BY entity_id, episode"""
     nan = readings("nan")
     fortnight = f"value IS NOT NULL AND time::DATE BETWEEN DATE '{SKETCH_FROM}' AND DATE '{SKETCH_TO}'"
     sql["sketch_profile"] = with_(nan) + f"""SELECT entity_id, count(*) AS n_records, true AS distinct_near, true AS p50_near, true AS p95_near,
