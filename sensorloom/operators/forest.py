@@ -71,7 +71,7 @@ def sample_rows(rows: DataFrame, ids: Sequence[str], n_rows: int, trees: int, si
     large tables a row falls into one slice at most, so nothing is multiplied.
     """
     share = min(1.0, OVERSAMPLE * size / n_rows)
-    placed = rows.withColumn("_id", _row_text(rows, ids))
+    placed = rows.select(_row_text(rows, ids).alias("_id"))
     placed = placed.withColumn("_u", uniform52(F.concat(F.lit(f"{seed}|"), "_id")))
     # Slice t is [t * share, t * share + share) on a ring of length 1. The trees near the place of a
     # row on each turn of the ring are tried, so the work follows the copies made, not the trees.
@@ -84,13 +84,15 @@ def sample_rows(rows: DataFrame, ids: Sequence[str], n_rows: int, trees: int, si
         f"array_distinct(filter({near}, t -> t >= 0 and t < {trees} and "
         f"_u - t * {share!r}d - floor(_u - t * {share!r}d) < {share!r}d))"
     )
-    drawn = placed.withColumn("tree", F.explode(F.expr(inside)))
+    # The ids alone are drawn and ordered; whole rows only meet the ``trees * size`` ids that are chosen.
+    drawn = placed.select("_id", F.explode(F.expr(inside)).alias("tree"))
     drawn = drawn.withColumn("_order", uniform52(F.concat_ws("|", F.lit(seed), "tree", "_id")))
+    place = F.row_number().over(Window.partitionBy("tree").orderBy("_order", "_id"))
+    chosen = drawn.withColumn("_rank", place).where(F.col("_rank") <= size).drop("_rank").distinct()
+    met = rows.withColumn("_id", _row_text(rows, ids)).join(freeze(chosen, "chosen"), "_id")
     # Rows with equal ids are told apart by the rest of their columns, whatever order they come in.
     first = Window.partitionBy("tree").orderBy("_order", "_id", *[c for c in rows.columns if c not in ids])
-    return drawn.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= size).drop(
-        "_rank", "_u", "_id", "_order"
-    )
+    return met.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= size).drop("_rank", "_id", "_order")
 
 
 def _steady(x: np.ndarray) -> np.ndarray:
@@ -201,8 +203,8 @@ def fit_forest(
     if not n_rows:
         raise ValueError("no training rows")
     size = min(sample, n_rows)
-    drawn = sample_rows(scaled.select(*ids, *names), ids, n_rows, trees, size, seed)
-    nodes = freeze(grow_forest(drawn, names, size, seed), "forest")
+    drawn = sample_rows(features.select(*ids, *names), ids, n_rows, trees, size, seed)
+    nodes = freeze(grow_forest(scale(drawn, names, scaler_values(scaler)), names, size, seed), "forest")
     raw = freeze(raw_scores(scaled, names, nodes, size, "_raw").drop(*names), "scores")
     offset = exact_quantile(raw, "_raw", contamination)
     model = ForestModel(list(names), scaler, nodes, size, offset)

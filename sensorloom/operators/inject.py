@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.functions.columns import hash32, uniform
-from sensorloom.operators.ordered import block_window, blocks, hash_rank, number, own
+from sensorloom.operators.ordered import BLOCK, block_window, blocks, hash_rank, number, own
+from sensorloom.session import freeze
 
 # Fault type -> rows covered, constant shift, half width of the random shift.
 FAULTS = {
@@ -134,3 +136,43 @@ def without_covered_events(picked: DataFrame, keys: Sequence[str] = KEYS) -> Dat
     return marked.withColumns(
         {"event_no": F.when(free, F.col("event_no")), "type": F.when(free, F.col("type"))}
     ).drop("_cover")
+
+
+OPEN, KEPT, DROPPED = 0, 1, 2
+
+
+def _decide(rows: pa.Table) -> pa.Table:
+    """Status of the own events of a block, in row order; what hangs on an open event of the block before stays open."""
+    rows = rows.sort_by("rn")
+    names = ("rn", "event_no", "_rows", "_status", "_own")
+    found, near = [], []
+    for rn, event, length, status, mine in zip(*(rows.column(c).to_pylist() for c in names)):
+        near = [e for e in near if e[0] >= rn]
+        over = [s for _, n, s in near if n < event]
+        if mine and status == OPEN:
+            status = DROPPED if KEPT in over else OPEN if OPEN in over else KEPT
+        near.append((rn + length - 1, event, status))
+        found.append(status)
+    own_rows = rows.set_column(rows.schema.get_field_index("_status"), "_status", pa.array(found, pa.int32())).filter(rows.column("_own"))
+    return own_rows.drop_columns(["_own", BLOCK])
+
+
+def without_overlaps(picked: DataFrame, keys: Sequence[str] = KEYS, rows_per_block: int = 2048) -> DataFrame:
+    """Drop fault starts that lie inside a lower-numbered fault which is itself kept; other rows stay as they are.
+
+    Whether a fault is kept hangs on faults that start up to 59 rows before it, and on theirs in turn. Only the
+    starts are gathered, in blocks. A round decides all that hangs on decided ones; chains that cross a block's border
+    take another round, so rounds follow the number of borders that a chain crosses and not the number of faults.
+    """
+    keys, longest = list(keys), max(_by_length())
+    length = F.element_at(F.create_map(*[F.lit(x) for f, (n, _, _) in FAULTS.items() for x in (f, n)]), F.col("type"))
+    events = picked.where("event_no is not null").select(*keys, "rn", "event_no", length.alias("_rows"), F.lit(OPEN).alias("_status"))
+    events = freeze(events, "events")
+    while True:
+        cut = blocks(events, keys, before=longest - 1, rows=rows_per_block)
+        events = freeze(cut.groupBy(*keys, BLOCK).applyInArrow(_decide, events.schema), "events")
+        if events.where(F.col("_status") == OPEN).isEmpty():
+            break
+    kept = events.where(F.col("_status") == KEPT).select(*keys, "rn", F.lit(True).alias("_kept"))
+    joined = picked.join(kept, [*keys, "rn"], "left")
+    return joined.withColumns({c: F.when(F.col("_kept"), F.col(c)) for c in ("event_no", "type")}).drop("_kept")

@@ -550,6 +550,13 @@ def uncovered_events(spark, sf_dir):
     return _event(kept.where("event_no is not null"), "event_no", "rn", "type")
 
 
+@query
+def greedy_events(spark, sf_dir):
+    """Fault starts that no kept fault of a lower number covers."""
+    kept = inject.without_overlaps(freeze(_picked(spark, sf_dir), "picked"))
+    return _event(kept.where("event_no is not null"), "event_no", "rn", "type")
+
+
 @query
 def nearest_label(spark, sf_dir):
     """Each reading of one unit takes the label of the other unit's reading closest in time."""

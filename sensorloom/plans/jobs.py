@@ -41,23 +41,23 @@ def run_preprocessing(
     path: str | None = None,
 ) -> Prepared:
     """Clean, segment and split the readings; put faults into one test part; store if asked."""
-    # The source is read and parsed once; the checks and the placement go on from the written table.
+    # Three tables hold all rows: the readings, parsed once; their placement; and the gaps within chunks. What is
+    # counted over chunks (segments, split, row numbers) lies in summaries that are joined to the last as it is read.
     readings = freeze(readings, "readings")
     require_rows(readings, "readings")
     arranged = quality.arrange_readings(quality.clean(check_times(readings)), keep_keys=bool(path))
-    segmented = freeze(quality.segments(arranged, config.max_gap_minutes), "segmented")
+    segmented = quality.segments(arranged, config.max_gap_minutes)
     if path:
         quality.write_clean(segmented, path)
     segmented = segmented.drop("equipment", "system")
-    rows = freeze(number(quality.time_split(segmented, config.test_size_days), KEYS), "prepared")
-    entity = fault_entity or (inject.default_entity(rows) if create_faults else None)
+    rows = number(quality.time_split(segmented, config.test_size_days), KEYS)
+    entity = fault_entity or (inject.default_entity(quality.clean(readings)) if create_faults else None)
     if not create_faults:
         return Prepared(quality.unplaced(rows), None, None)
     picked = freeze(inject.pick_events(rows.drop("rn"), entity, config.anomaly_fraction), "picked")
-    faulty = inject.inject_events(picked).drop("event_no", "type", "original_value")
+    faulty = freeze(inject.inject_events(picked).drop("event_no", "type", "original_value"), "faulty")
     target = (F.col("entity_id") == entity) & (F.col("split") == "test")
-    merged = store.combine(quality.unplaced(rows).where(~target), faulty)
-    return Prepared(freeze(merged, "faulty"), entity, inject.injection_log(picked))
+    return Prepared(store.combine(quality.unplaced(rows).where(~target), faulty), entity, inject.injection_log(picked))
 
 
 def run_feature_extraction(

@@ -768,6 +768,16 @@ def build() -> dict[str, str]:
     sql["inject_counts"] = inj + "SELECT type, count(*) AS n FROM il GROUP BY type ORDER BY n DESC, type"
     sql["uncovered_events"] = inj + """SELECT a.row_key AS event_id, a.event_no, a.rn, a.type FROM i a WHERE a.event_no IS NOT NULL
       AND NOT EXISTS (SELECT 1 FROM v0 b JOIN i c ON c.event_no = b.event_no WHERE b.rn = a.rn AND b.event_no < a.event_no AND c.rn < a.rn)"""
+    lengths = " ".join(f"WHEN '{f}' THEN {n}" for f, (n, _, _) in FAULTS.items())
+    sql["greedy_events"] = inj + f""", ev AS (
+        SELECT row_key, event_no, rn, type, rn + CASE type {lengths} END - 1 AS z, row_number() OVER (ORDER BY rn) AS k FROM i WHERE event_no IS NOT NULL),
+      gr AS (
+        SELECT k, [{{'no': event_no, 'z': z}}] AS live, true AS ok FROM ev WHERE k = 1
+        UNION ALL
+        SELECT k, CASE WHEN ok THEN list_append(live, {{'no': event_no, 'z': z}}) ELSE live END, ok FROM (
+          SELECT k, event_no, z, live, len(list_filter(live, lambda x: x.no < event_no)) = 0 AS ok FROM (
+            SELECT ev.k, event_no, z, list_filter(live, lambda x: x.z >= rn) AS live FROM gr JOIN ev ON ev.k = gr.k + 1)))
+      SELECT row_key AS event_id, event_no, rn, type FROM ev JOIN gr USING (k) WHERE ok"""
     side = "SELECT row_key, system, time FROM r WHERE equipment = 'EQ0'"
     sql["nearest_label"] = with_(r, f"""a AS (SELECT row_key, system, time FROM r WHERE equipment = 'EQ1'), b AS ({side}),
 lo AS (SELECT a.row_key, a.time, b.time AS bt, b.row_key AS bk FROM a ASOF LEFT JOIN b ON a.system = b.system AND a.time >= b.time),

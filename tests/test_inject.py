@@ -1,6 +1,7 @@
 import datetime as dt
 import hashlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,3 +116,34 @@ def test_window_labels_follow_the_centre(spark):
     labelled = labels.center_label(table, rows, ["entity_id", "split"])
     ones = [r.window_center for r in labelled.collect() if r.anomaly_label == 1]
     assert ones == [START + dt.timedelta(minutes=50)]
+
+
+def greedy_by_hand(events):
+    kept = {}
+    for start, (no, kind) in sorted(events.items()):
+        if not any(n < no and s < start < s + inject.FAULTS[k][0] for s, (n, k) in kept.items()):
+            kept[start] = (no, kind)
+    return sorted(kept)
+
+
+def test_a_dropped_fault_drops_no_others(spark):
+    # 10 covers 50, which covers 90: 50 goes, so 90 stays. 95 lies in 90, but is numbered lower.
+    events = {10: (1, "collective_low"), 50: (2, "collective_high"), 90: (4, "stuck_sensor"), 95: (3, "point_dip")}
+    for rows in (8, 64, 2048):
+        kept = inject.without_overlaps(rows_of(spark, events), rows_per_block=rows).where("event_no is not null")
+        assert sorted(r.rn for r in kept.collect()) == [10, 90, 95] == greedy_by_hand(events)
+    covered = inject.without_covered_events(rows_of(spark, events)).where("event_no is not null")
+    assert sorted(r.rn for r in covered.collect()) == [10]
+
+
+def test_greedy_choice_by_brute_force(spark):
+    """A chain over all blocks, and random faults."""
+    rng = np.random.default_rng(4)
+    kinds = list(inject.FAULTS)
+    chain = {1 + 20 * i: (i + 1, "collective_low") for i in range(5)}
+    wild = {int(s): (int(n) + 1, kinds[rng.integers(0, 6)]) for n, s in enumerate(rng.permutation(np.arange(1, 101))[:60])}
+    for events in (chain, wild):
+        rows = rows_of(spark, events)
+        kept = inject.without_overlaps(rows, rows_per_block=1)
+        assert kept.count() == rows.count()
+        assert sorted(r.rn for r in kept.where("event_no is not null").collect()) == greedy_by_hand(events)
