@@ -19,7 +19,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sensorloom.llm.bpe import PIECES, alphabet
+from sensorloom.llm.bpe import PIECES, Encoder, Vocabulary, alphabet
 from sensorloom.llm.common import release, slices, text_of
 from sensorloom.session import freeze, ship
 
@@ -181,12 +181,17 @@ def pieces_of(docs: DataFrame, vocabulary, text: str = "text", capacity: int = C
     kind = "array<struct<start:bigint,length:bigint,ids_crc32:bigint,ids:array<int>>>"
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoding = _encoding(vocabulary.value)
+        encoding, slow = _encoding(vocabulary.value), None
         for texts in batches:
             starts, lengths, crcs, ids, n = [], [], [], [], [0]
             for part in slices(pa.RecordBatch.from_arrays([texts], ["t"]), 0):
                 for t in part.column(0).to_pylist():
-                    tokens = np.append(encoding.encode_to_numpy(t, allowed_special="all"), np.uint32(END)).astype("<u4")
+                    try:
+                        found = encoding.encode_to_numpy(t, allowed_special="all")
+                    except ValueError:  # its pattern gives up on a run of several hundred thousand blanks or line ends
+                        slow = slow or Encoder(Vocabulary(vocabulary.value))
+                        found = slow.encode([t])[0]
+                    tokens = np.append(found, np.uint32(END)).astype("<u4")
                     cuts = range(len(tokens) % capacity - capacity if len(tokens) % capacity else 0, len(tokens), capacity)
                     for i in cuts:
                         own = tokens[max(0, i) : i + capacity]
@@ -197,7 +202,7 @@ def pieces_of(docs: DataFrame, vocabulary, text: str = "text", capacity: int = C
                     n.append(len(starts))
             fields = [pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(crcs, pa.int64()), pa.array(ids, pa.list_(pa.int32()))]
             yield pa.ListArray.from_arrays(pa.array(n, pa.int32()), pa.StructArray.from_arrays(fields, ["start", "length", "ids_crc32", "ids"]))
-        del encoding
+        del encoding, slow
         release()
 
     new = ["start", "length", "ids_crc32", *(["ids"] if with_ids else [])]

@@ -102,3 +102,14 @@ def test_lengths_that_fit_nowhere(spark):
     assert {rows[1].offset, rows[5].offset} == {0, 5} and rows[1].sequence_id == rows[5].sequence_id
     assert all(rows[i].sequence_id is None and rows[i].offset is None for i in (2, 3, 4))
     assert packing.pack(df.limit(0), capacity=10).count() == 0
+
+
+@pytest.mark.parametrize("text", [" " * 1_000_000 + "a", "\n" * 1_000_000 + "a", "b" + "\t " * 500_000 + "c d"])
+def test_very_long_runs_of_blanks(documents, text):
+    path = queries.vocabulary_path()
+    want = tokenizers.Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    docs = documents([text, "x y"])
+    pieces = packing.pieces_of(docs, packing.send_definition(docs.sparkSession, path), with_ids=True)
+    rows = pieces.where("doc_id = 0").orderBy("piece").collect()
+    assert [i for r in rows for i in r.ids] == [*want, 0]
+    assert packing.pack(pieces).where("sequence_id is null").count() == 0
