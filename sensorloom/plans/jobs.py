@@ -41,8 +41,8 @@ def run_preprocessing(
     path: str | None = None,
 ) -> Prepared:
     """Clean, segment and split the readings; put faults into one test part; store if asked."""
-    # Three tables hold all rows: the readings, parsed once; their placement; and the gaps within chunks. What is
-    # counted over chunks (segments, split, row numbers) lies in summaries that are joined to the last as it is read.
+    # Four tables hold all rows: the readings, parsed once; their placement; the gaps within chunks; and the prepared
+    # rows. What is counted over chunks (segments, split, row numbers) lies in summaries joined on the way.
     readings = freeze(readings, "readings")
     require_rows(readings, "readings")
     arranged = quality.arrange_readings(quality.clean(check_times(readings)), keep_keys=bool(path))
@@ -50,8 +50,8 @@ def run_preprocessing(
     if path:
         quality.write_clean(segmented, path)
     segmented = segmented.drop("equipment", "system")
-    rows = number(quality.time_split(segmented, config.test_size_days), KEYS)
-    entity = fault_entity or (inject.default_entity(quality.clean(readings)) if create_faults else None)
+    rows = freeze(number(quality.time_split(segmented, config.test_size_days), KEYS), "prepared")
+    entity = fault_entity or (inject.default_entity(rows) if create_faults else None)
     if not create_faults:
         return Prepared(quality.unplaced(rows), None, None)
     picked = freeze(inject.pick_events(rows.drop("rn"), entity, config.anomaly_fraction), "picked")

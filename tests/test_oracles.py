@@ -41,6 +41,13 @@ QUICK = [
     "forecast_metrics",
     "forecast_head",
     "clean_store",
+    "impute_knn_time",
+    "time_windows",
+    "time_windows_burst",
+    "peak_thresholds",
+    "sketch_profile",
+    "alert_episodes",
+    "greedy_events",
 ]
 
 
