@@ -12,6 +12,8 @@ by (written partition, length), so that a length that a third of all pieces have
 import json
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -20,12 +22,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sensorloom.llm.bpe import PIECES, Encoder, Vocabulary, alphabet
-from sensorloom.llm.common import release, slices, text_of
+from sensorloom.llm.common import release, text_of
 from sensorloom.session import freeze, ship
 
 CAPACITY = 2048
 #: Ends every document.
 END = 0
+#: Texts whose cuts a task remembers, at most.
+KNOWN_TEXTS = 50_000
 
 Pattern = tuple[int, ...]
 
@@ -163,6 +167,7 @@ def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY) ->
     return placed.select(*(F.col("row").getField(c).alias(c) for c in names), "at.*")
 
 
+@lru_cache(1)
 def _encoding(definition: str) -> tiktoken.Encoding:
     """The tokenizer of a byte-level vocabulary file; its ids rise with the ranks of the merges."""
     read, chars = json.loads(definition), alphabet()
@@ -181,28 +186,38 @@ def pieces_of(docs: DataFrame, vocabulary, text: str = "text", capacity: int = C
     kind = "array<struct<start:bigint,length:bigint,ids_crc32:bigint,ids:array<int>>>"
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoding, slow = _encoding(vocabulary.value), None
+        encoding, slow, known = _encoding(vocabulary.value), None, {}
+
+        def cut(text: str) -> tuple[list, list, list, list]:
+            nonlocal slow
+            try:
+                found = encoding.encode_to_numpy(text, allowed_special="all")
+            except ValueError:  # its pattern gives up on a run of several hundred thousand blanks or line ends
+                slow = slow or Encoder(Vocabulary(vocabulary.value))
+                found = slow.encode([text])[0]
+            tokens = np.append(found, np.uint32(END)).astype("<u4")
+            first = len(tokens) % capacity - capacity if len(tokens) % capacity else 0
+            own = [tokens[max(0, i) : i + capacity] for i in range(first, len(tokens), capacity)]
+            begins = [max(0, i) for i in range(first, len(tokens), capacity)]
+            return begins, [len(x) for x in own], [zlib.crc32(x.tobytes()) for x in own], [x.astype(np.int32) if with_ids else None for x in own]
+
         for texts in batches:
             starts, lengths, crcs, ids, n = [], [], [], [], [0]
-            for part in slices(pa.RecordBatch.from_arrays([texts], ["t"]), 0):
-                for t in part.column(0).to_pylist():
-                    try:
-                        found = encoding.encode_to_numpy(t, allowed_special="all")
-                    except ValueError:  # its pattern gives up on a run of several hundred thousand blanks or line ends
-                        slow = slow or Encoder(Vocabulary(vocabulary.value))
-                        found = slow.encode([t])[0]
-                    tokens = np.append(found, np.uint32(END)).astype("<u4")
-                    cuts = range(len(tokens) % capacity - capacity if len(tokens) % capacity else 0, len(tokens), capacity)
-                    for i in cuts:
-                        own = tokens[max(0, i) : i + capacity]
-                        starts.append(max(0, i))
-                        lengths.append(len(own))
-                        crcs.append(zlib.crc32(own.tobytes()))
-                        ids.append(own.astype(np.int32) if with_ids else None)
-                    n.append(len(starts))
+            for t in texts:
+                text = t.as_py()
+                # Equal texts are cut once; only places and sums are remembered, never tokens.
+                key = None if with_ids else blake2b(text.encode(), digest_size=16).digest()
+                made = known.get(key) or cut(text)
+                if key:
+                    if len(known) >= KNOWN_TEXTS:
+                        known.clear()
+                    known[key] = made
+                for all_of, x in zip((starts, lengths, crcs, ids), made):
+                    all_of += x
+                n.append(len(starts))
             fields = [pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(crcs, pa.int64()), pa.array(ids, pa.list_(pa.int32()))]
             yield pa.ListArray.from_arrays(pa.array(n, pa.int32()), pa.StructArray.from_arrays(fields, ["start", "length", "ids_crc32", "ids"]))
-        del encoding, slow
+        del slow, known
         release()
 
     new = ["start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
