@@ -25,6 +25,7 @@ class PipelineConfig:
     seed: int = 42
     forecast_steps: int = 7 * 24 * 60
     interval_width: float = 0.90
+    interval_widens: bool = False
     respect_segments: bool = False
     forecast_by: tuple[str, ...] = ()
 

@@ -28,6 +28,9 @@ DAILY_ORDER = 4
 WEEKLY_ORDER = 3
 HINGE_SCALE = 0.05
 SEASON_SCALE = 10.0
+# Rounds of the drift's fixed point, and its lower end as a share of the largest value.
+DRIFT_ROUNDS = 8
+LEAST_DRIFT = 1e-6
 MIN_POINTS = 2
 MIN_HOURS = 10
 HOURS_AHEAD = 7 * 24
@@ -184,6 +187,23 @@ def _moments(points: DataFrame, period: DataFrame, by: Sequence[str]) -> DataFra
     return sums.join(counts, "_key").select(*by, "i", "j", (F.col("s") / F.col("n")).alias("moment"))
 
 
+def _drift(a, b, yy, n, scale, wide, noise, hinge) -> float:
+    """Variance of the changes of slope that makes the data likeliest, by a fixed point over the fit.
+
+    Each round fits with that variance as prior and divides the squared changes by the number of them
+    that the data, and not the prior, have decided. The prior of the forecast itself is not changed.
+    """
+    size = (HINGE_SCALE * scale) ** 2
+    for _ in range(DRIFT_ROUNDS):
+        penalty = np.diag(noise / n / np.where(hinge, math.sqrt(size), wide) ** 2 + 1e-9)
+        inverse = np.linalg.inv(a + penalty)
+        coef = inverse @ b
+        noise = max(float(yy - 2 * coef @ b + coef @ a @ coef), 0.0)
+        decided = float(np.sum(1 - np.minimum(np.diag(inverse)[hinge] * noise / n / size, 1.0)))
+        size = max(float(np.sum(coef[hinge] ** 2)) / max(decided, 1e-3), (LEAST_DRIFT * scale) ** 2)
+    return size
+
+
 def _solver(by: Sequence[str]):
     width = len(basis_names())
     hinge = np.zeros(width, bool)
@@ -204,28 +224,58 @@ def _solver(by: Sequence[str]):
             coef = np.linalg.solve(a + penalty, b)
             variance = max(float(yy - 2 * coef @ b + coef @ a @ coef), 0.0)
         row = {k: [rows[k].iloc[0]] for k in by}
-        return pd.DataFrame({**row, "coef": [coef.tolist()], "sigma": [math.sqrt(variance)]})
+        drift = math.sqrt(_drift(a, b, yy, n, scale, wide, variance, hinge))
+        return pd.DataFrame({**row, "coef": [coef.tolist()], "sigma": [math.sqrt(variance)], "drift": [drift]})
 
     return solve
 
 
 def train_seasonal(readings: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Model table (by, start, end, n, coef, sigma); keys with fewer than 2 points have no row."""
+    """Model table (by, start, end, n, coef, sigma, drift); keys with fewer than 2 points have no row.
+
+    ``sigma`` is the noise of the readings, ``drift`` the size of a change of slope at a hinge.
+    """
     points = usable_points(readings)
     period = _periods(points, by)
     system = _with_model(_moments(points, period, by), period.select(*by, "n", "scale"), by)
-    schema = ", ".join([*[f"{k} {dict(points.dtypes)[k]}" for k in by], "coef array<double>", "sigma double"])
+    schema = ", ".join([*[f"{k} {dict(points.dtypes)[k]}" for k in by], "coef array<double>", "sigma double", "drift double"])
     solved = system.groupBy(*by).applyInPandas(_solver(by), schema)
     return _with_model(solved, period.drop("scale"), by)
 
 
-def seasonal_forecast(grid: DataFrame, model: DataFrame, by: Sequence[str] = (), width: float = 0.90) -> DataFrame:
-    """Point and interval of the seasonal model at every time of the grid."""
+def trend_variance(ahead: Column, drift: Column) -> Column:
+    """Variance of the trend ``ahead`` lengths of the history after its end; zero up to the end.
+
+    Changes of slope are taken to come on at the rate of the hinges, each of size ``drift``. Those to come
+    give ahead^3 / 3. The last stretch of the history holds no hinge, so a line was laid through changes
+    there, too; the other terms are what continuing that line misses, over all places of a change.
+    """
+    rest = 1 - HINGE_RANGE
+    missed = F.lit(rest) * (F.lit(rest * rest / 105) + F.lit(11 * rest / 105) * ahead + F.lit(13 / 35) * ahead * ahead)
+    total = drift * drift * F.lit(HINGES / HINGE_RANGE) * (missed + ahead * ahead * ahead / 3)
+    return F.when(ahead > 0, total).otherwise(0.0)
+
+
+def seasonal_forecast(
+    grid: DataFrame, model: DataFrame, by: Sequence[str] = (), width: float = 0.90, widen: bool = False
+) -> DataFrame:
+    """Point and interval of the seasonal model at every time of the grid.
+
+    With ``widen`` the interval grows with the time since the end of the history, by the changes of
+    trend that are to be expected; a model stored without ``drift`` is refused.
+    """
+    if widen and "drift" not in model.columns:
+        raise ValueError("the model holds no drift: train it again for an interval that widens")
     joined = _with_model(grid, model, by)
     point = F.lit(0.0)
     for i, c in enumerate(basis(F.col("timestamp"), F.col("start"), F.col("end"))):
         point = point + F.col("coef")[i] * c
-    half = F.lit(NormalDist().inv_cdf(0.5 + width / 2)) * F.col("sigma")
+    spread = F.col("sigma")
+    if widen:
+        us, low, high = (F.unix_micros(c).cast("double") for c in ("timestamp", "start", "end"))
+        ahead = F.coalesce(F.try_divide(us - high, high - low), F.lit(0.0))
+        spread = F.sqrt(spread * spread + trend_variance(ahead, F.col("drift")))
+    half = F.lit(NormalDist().inv_cdf(0.5 + width / 2)) * spread
     return joined.withColumns(
         {"seasonal_point": point, "forecast_lower": point - half, "forecast_upper": point + half}
     ).drop(*[c for c in model.columns if c not in by])
@@ -275,28 +325,28 @@ def hannan_rissanen(y: np.ndarray, order: tuple[int, int, int], ahead: int, long
     return aic, coef, y[-1] + np.cumsum(future) if d else future
 
 
-def _order_fit(by: Sequence[str], ahead: int):
+def _order_fits(by: Sequence[str], ahead: int):
     def fit(hours: pd.DataFrame) -> pd.DataFrame:
-        order = tuple(int(hours[c].iloc[0]) for c in ("p", "d", "q"))
         y = hours.sort_values("hour")["hourly_mean"].to_numpy(float)
-        found = hannan_rissanen(y, order, ahead) if len(y) >= MIN_HOURS else None
-        row = {k: [hours[k].iloc[0]] for k in by} | dict(zip("pdq", ([v] for v in order)))
-        aic, coef, ahead_values = found if found else (None, np.empty(0), np.empty(0))
-        return pd.DataFrame(
-            {**row, "n_hours": [len(y)], "aic": [aic], "coef": [coef.tolist()], "values": [ahead_values.tolist()]}
-        )
+        rows = []
+        for order in ARIMA_ORDERS:
+            found = hannan_rissanen(y, order, ahead) if len(y) >= MIN_HOURS else None
+            aic, coef, ahead_values = found if found else (None, np.empty(0), np.empty(0))
+            rows.append((*[hours[k].iloc[0] for k in by], *order, len(y), aic, coef.tolist(), ahead_values.tolist()))
+        return pd.DataFrame(rows, columns=[*by, "p", "d", "q", "n_hours", "aic", "coef", "values"])
 
     return fit
 
 
 def arima_orders(readings: DataFrame, by: Sequence[str] = (), ahead: int = HOURS_AHEAD) -> DataFrame:
-    """Fit of every order: (by, p, d, q, n_hours, aic, coef, values); aic null if rejected."""
+    """Fit of every order: (by, p, d, q, n_hours, aic, coef, values); aic null if rejected.
+
+    The hours of a key meet all orders in one group.
+    """
     hours = hourly_mean(readings, by)
-    orders = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(o, "pdq")]) for o in ARIMA_ORDERS])
-    tried = hours.withColumn("_o", F.explode(orders)).select(*by, "hour", "hourly_mean", "_o.*")
-    keys = ", ".join(f"{k} {dict(readings.dtypes)[k]}, " for k in by)
+    keys = "".join(f"{k} {dict(readings.dtypes)[k]}, " for k in by)
     schema = f"{keys}p int, d int, q int, n_hours bigint, aic double, coef array<double>, values array<double>"
-    return tried.groupBy(*by, "p", "d", "q").applyInPandas(_order_fit(by, ahead), schema)
+    return hours.groupBy(*by).applyInPandas(_order_fits(by, ahead), schema)
 
 
 def train_arima(readings: DataFrame, by: Sequence[str] = (), ahead: int = HOURS_AHEAD) -> DataFrame:
@@ -334,10 +384,15 @@ def hourly_values(arima: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def ensemble_forecast(
-    grid: DataFrame, seasonal: DataFrame, arima: DataFrame | None, by: Sequence[str] = (), width: float = 0.90
+    grid: DataFrame,
+    seasonal: DataFrame,
+    arima: DataFrame | None,
+    by: Sequence[str] = (),
+    width: float = 0.90,
+    widen: bool = False,
 ) -> DataFrame:
     """Forecast table; interval from the seasonal part, blend on future rows only."""
-    table = seasonal_forecast(grid, seasonal, by, width)
+    table = seasonal_forecast(grid, seasonal, by, width, widen)
     if arima is None:
         table = table.withColumn("ensemble_point", F.col("seasonal_point"))
     else:
@@ -354,11 +409,13 @@ def ensemble_forecast(
     )
 
 
-def forecast_ensemble(readings: DataFrame, steps: int, by: Sequence[str] = (), width: float = 0.90) -> DataFrame:
+def forecast_ensemble(
+    readings: DataFrame, steps: int, by: Sequence[str] = (), width: float = 0.90, widen: bool = False
+) -> DataFrame:
     """Train both models and forecast ``steps`` minutes beyond the readings."""
     seasonal = freeze(train_seasonal(readings, by), "seasonal")
     arima = freeze(train_arima(readings, by, hours_for(steps)), "arima")
-    return ensemble_forecast(future_grid(readings, steps, by), seasonal, arima, by, width)
+    return ensemble_forecast(future_grid(readings, steps, by), seasonal, arima, by, width, widen)
 
 
 def forecast_head(forecast: DataFrame, n: int, by: Sequence[str] = ()) -> DataFrame:

@@ -17,6 +17,7 @@ from sensorloom.config import PipelineConfig
 from sensorloom.functions import window_features as wf
 from sensorloom.operators import (
     alerts,
+    backtest,
     evaluate,
     forecast,
     forest,
@@ -73,8 +74,16 @@ SOLVER_QUERIES = (
     "forecast_evaluation",
     "forecast_training_job",
     "inference_forecast",
+    "widening_interval",
+    "backtest_errors",
+    "baseline_choice",
+    "forecast_choice",
+    "chosen_forecast",
 )
-SOLVED = ("seasonal_point", "ensemble_point", "forecast_point", "forecast_lower", "forecast_upper", "aic", "mae", "rmse", "mape")
+SOLVED = ("seasonal_point", "ensemble_point", "forecast_point", "forecast_lower", "forecast_upper", "aic", "mae", "rmse", "mape", "predicted")
+# Models of the backtest that SQL can repeat, and those without a solver.
+SQL_MODELS = ("seasonal", "arima", "blend", "day_before", "week_before", "mean")
+BASELINES = ("day_before", "week_before", "mean")
 
 
 def digits(name: str, solved: bool = False) -> int:
@@ -855,6 +864,43 @@ def forecast_evaluation(spark, sf_dir):
     return forecast.forecast_metrics(forecast.aligned(_test(spark, sf_dir), table))
 
 
+@query
+def widening_interval(spark, sf_dir):
+    """The seasonal forecast of a week with an interval that grows by the changes of trend to be expected."""
+    train = _train(spark, sf_dir)
+    model = freeze(forecast.train_seasonal(train), "seasonal")
+    table = forecast.seasonal_forecast(forecast.future_grid(train, 7 * 24 * 60), model, widen=True)
+    return table.withColumn("step", F.coalesce("step", F.lit(0)))
+
+
+@query
+def backtest_errors(spark, sf_dir):
+    """Errors of the models over three origins, all series pooled."""
+    return backtest.errors(backtest.backtest(read_events(spark, sf_dir), models=SQL_MODELS))
+
+
+@query
+def baseline_choice(spark, sf_dir):
+    """For each series the best of the models that only look up known hours."""
+    pairs = backtest.backtest(read_events(spark, sf_dir), ENTITY, BASELINES)
+    return backtest.choose(backtest.errors(pairs, ENTITY), ENTITY)
+
+
+@query
+def forecast_choice(spark, sf_dir):
+    """For each series the best of all models, the trees among them."""
+    pairs = backtest.backtest(read_events(spark, sf_dir), ENTITY)
+    return backtest.choose(backtest.errors(pairs, ENTITY), ENTITY)
+
+
+@query
+def chosen_forecast(spark, sf_dir):
+    """The next day of each series by the model that was best for it."""
+    readings = read_events(spark, sf_dir)
+    choice = freeze(backtest.choose(backtest.errors(backtest.backtest(readings, ENTITY), ENTITY), ENTITY), "choice")
+    return backtest.forecast_chosen(readings, choice, ENTITY)
+
+
 # ---------------------------------------------------------------- jobs
 
 

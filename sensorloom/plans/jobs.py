@@ -151,9 +151,9 @@ class Forecaster:
     arima: DataFrame | None
     by: list[str]
 
-    def forecast(self, steps: int, width: float = 0.90) -> DataFrame:
+    def forecast(self, steps: int, width: float = 0.90, widen: bool = False) -> DataFrame:
         grid = forecast.extend_grid(self.known, steps, self.by)
-        return forecast.ensemble_forecast(grid, self.seasonal, self.arima, self.by, width)
+        return forecast.ensemble_forecast(grid, self.seasonal, self.arima, self.by, width, widen)
 
 
 def run_forecast_training(
@@ -173,7 +173,7 @@ def run_forecast_training(
     fitted = Forecaster(known, seasonal, None if arima.isEmpty() else arima, by)
     if path:
         store.save_forecaster(path, known, seasonal, fitted.arima, by, config)
-    table = fitted.forecast(config.forecast_steps, config.interval_width)
+    table = fitted.forecast(config.forecast_steps, config.interval_width, config.interval_widens)
     metrics = forecast.forecast_metrics(forecast.aligned(test, table, align, by), by)
     return fitted, table, metrics
 
@@ -248,7 +248,7 @@ def run_inference(
 def continue_forecast(known: DataFrame, seasonal: DataFrame, arima: DataFrame | None, by: list[str], config: PipelineConfig) -> DataFrame:
     """The seasonal forecast over the known times and ``forecast_steps`` minutes after them."""
     grid = forecast.extend_grid(known, config.forecast_steps, by)
-    return forecast.seasonal_forecast(grid, seasonal, by, config.interval_width).select(
+    return forecast.seasonal_forecast(grid, seasonal, by, config.interval_width, config.interval_widens).select(
         *by, "timestamp", F.col("seasonal_point").alias("forecast_point"), "forecast_lower", "forecast_upper"
     )
 

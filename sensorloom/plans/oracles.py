@@ -6,7 +6,10 @@ Names match ``catalog``. Forest, spline and fitted models are solved in SQL as w
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from sensorloom.functions import window_features as wf
+from sensorloom.operators import backtest as bt
 from sensorloom.operators import forecast as fc
 from sensorloom.operators.inject import FAULTS
 from sensorloom.operators.windows import MODEL_FEATURES
@@ -536,6 +539,80 @@ v0 AS (SELECT greatest(g[{width + 1}][{width + 1}] - g[1][{width + 1}] * g[1][{w
     return ",\n".join(parts)
 
 
+def _widening() -> str:
+    """sw: the seasonal forecast with the variance of the trend; follows ``_seasonal``."""
+    width = len(fc.basis_names())
+    hinges = f"range(3, {3 + fc.HINGES})"
+    wide = ["NULL", "NULL"] + ["NULL"] * fc.HINGES + [f"{fc.SEASON_SCALE}"] * (width - 2 - fc.HINGES)
+    rest = 1 - fc.HINGE_RANGE
+    parts = [f"d0 AS (SELECT pow({fc.HINGE_SCALE} * scale, 2) AS size, v FROM ends, v3)"]
+    for r in range(1, fc.DRIFT_ROUNDS + 1):
+        parts.append(f"""ds{r} AS (
+  SELECT list_transform(g[1:{width}], lambda row, i: list_concat(list_transform(row, lambda x, j: x + CASE WHEN i = j THEN 1e-9
+      + CASE WHEN i BETWEEN 3 AND {2 + fc.HINGES} THEN v / n / size ELSE coalesce(v / n / pow(([{", ".join(wide)}])[i]::DOUBLE * scale, 2), 0) END
+      ELSE 0 END), list_transform({hinges}, lambda j: CASE WHEN i = j THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END))) AS m FROM gm, ends, d{r - 1})""")
+        parts.append(_gauss(f"di{r}", f"ds{r}", str(width)))
+        parts.append(f"""dc{r} AS MATERIALIZED (
+  SELECT m, coef, greatest(g[{width + 1}][{width + 1}] - 2 * list_dot_product(coef, g[{width + 1}][1:{width}])
+      + list_dot_product(coef, list_transform(g[1:{width}], lambda row: list_dot_product(row[1:{width}], coef))), 0) AS v
+  FROM (SELECT m, list_transform(m, lambda r: r[{width + 1}]) AS coef FROM di{r}_g WHERE step = {width}), gm),
+d{r} AS MATERIALIZED (
+  SELECT greatest(list_sum(list_transform({hinges}, lambda j: pow(coef[j], 2)))
+           / greatest(list_sum(list_transform({hinges}, lambda j: 1 - least(m[j][{width - 1} + j] * dc{r}.v / n / size, 1))), 1e-3),
+         pow({fc.LEAST_DRIFT} * scale, 2)) AS size, dc{r}.v AS v
+  FROM dc{r}, ends, d{r - 1})""")
+    parts.append(f"dr AS (SELECT size AS drift2 FROM d{fc.DRIFT_ROUNDS})")
+    return ",\n".join(parts) + f""",
+sw AS (
+  SELECT timestamp, step, seasonal_point, {NormalDist().inv_cdf(0.95)!r} * sqrt(v + CASE WHEN u > 0 THEN drift2 * {fc.HINGES / fc.HINGE_RANGE}
+           * ({rest} * ({rest * rest / 105} + {11 * rest / 105} * u + {13 / 35} * u * u) + u * u * u / 3) ELSE 0 END) AS half
+  FROM (SELECT ss.*, (epoch_us(timestamp)::DOUBLE - hi) / (hi - lo) AS u FROM ss, ends), v3, dr)"""
+
+
+def _backtest(k: int) -> str:
+    """Pairs (model, a, f) of one origin, all series pooled."""
+    horizon = bt.HORIZON
+
+    def known(period: int) -> str:
+        slot = lambda at: f"(epoch({at})::BIGINT // 3600) % {period}"
+        return f"""(SELECT step, coalesce(last, (SELECT avg(value) FROM s WHERE split = 'train')) AS f FROM gr
+          LEFT JOIN (SELECT {slot("time")} AS slot, arg_max(value, time) AS last FROM s WHERE split = 'train' GROUP BY 1) ON slot = {slot("timestamp")})"""
+
+    return with_(
+        readings(),
+        f"""hh AS (SELECT date_trunc('hour', time) AS hour, avg(value) AS y FROM r WHERE value IS NOT NULL GROUP BY 1),
+og AS (SELECT max(hour) - to_hours({horizon - 1 + k * bt.STRIDE}) AS origin FROM hh),
+s AS (SELECT hour AS time, y AS value, CASE WHEN hour < origin THEN 'train' ELSE 'test' END AS split FROM hh, og),
+gr AS (SELECT origin + to_hours(h) AS timestamp, (h + 1)::INT AS step FROM og, (SELECT unnest(range(0, {horizon})) AS h))""",
+        _seasonal(),
+        _arima(horizon),
+        f"""pr AS (
+  SELECT 'seasonal' AS model, step, seasonal_point AS f FROM ss
+  UNION ALL SELECT 'arima', h, level FROM ah WHERE h > 0
+  UNION ALL SELECT 'blend', step, 0.6::DOUBLE * seasonal_point + 0.4::DOUBLE * level FROM ss JOIN ah ON h = step
+  UNION ALL SELECT 'day_before', step, f FROM {known(24)}
+  UNION ALL SELECT 'week_before', step, f FROM {known(168)}
+  UNION ALL SELECT 'mean', step, (SELECT avg(value) FROM s WHERE split = 'train') FROM gr)""",
+    ) + "SELECT model, value AS a, f FROM pr JOIN gr USING (step) JOIN s ON time = timestamp AND split = 'test'"
+
+
+def _baselines() -> str:
+    """al: pairs (entity_id, model, a, f) of the models that look up known hours, over all origins."""
+    slot = lambda at, period: f"(epoch({at})::BIGINT // 3600) % {period}"
+    part = lambda model, period: f"""SELECT t.entity_id, '{model}' AS model, t.y AS a, coalesce(any_value(p.last), any_value(m.y)) AS f
+  FROM ts t JOIN ms m USING (entity_id, origin)
+  LEFT JOIN (SELECT entity_id, origin, {slot("hour", period)} AS slot, arg_max(y, hour) AS last FROM kn GROUP BY ALL) p
+    ON p.entity_id = t.entity_id AND p.origin = t.origin AND p.slot = {slot("t.hour", period)}
+  GROUP BY t.entity_id, t.origin, t.hour, t.y"""
+    return f"""hh AS (SELECT entity_id, date_trunc('hour', time) AS hour, avg(value) AS y FROM r WHERE value IS NOT NULL GROUP BY 1, 2),
+og AS (SELECT max(hour) - to_hours({bt.HORIZON - 1} + {bt.STRIDE} * k) AS origin FROM hh, (SELECT unnest(range(0, {bt.ORIGINS})) AS k) GROUP BY k),
+kn AS (SELECT * FROM hh JOIN og ON hour < origin),
+ts AS (SELECT * FROM hh JOIN og ON hour >= origin AND hour < origin + to_hours({bt.HORIZON})),
+ms AS (SELECT entity_id, origin, avg(y) AS y FROM kn GROUP BY ALL),
+al AS ({part("day_before", 24)} UNION ALL {part("week_before", 168)}
+  UNION ALL SELECT entity_id, 'mean', t.y, m.y FROM ts t JOIN ms m USING (entity_id, origin))"""
+
+
 def _arima(hours: int = fc.HOURS_AHEAD) -> str:
     """fits: every order with coefficients and AIC; ah: so many hours ahead by the best order."""
     lag_w = ", ".join(f"lag(w, {i}) OVER t AS w{i}" for i in range(1, 13))
@@ -866,6 +943,17 @@ SELECT lo.row_key AS event_id, (CASE WHEN hi.bk IS NULL OR (lo.bk IS NOT NULL AN
     sql["seasonal_forecast"] = with_(r, SPLIT, GRID, _seasonal()) + f"""SELECT timestamp, coalesce(step, 0) AS step,
       {r3("seasonal_point", "seasonal_point")}, {r3("seasonal_point - half", "forecast_lower")},
       {r3("seasonal_point + half", "forecast_upper")} FROM ss"""
+    sql["widening_interval"] = with_(r, SPLIT, GRID, _seasonal(), _widening()) + f"""SELECT timestamp, coalesce(step, 0) AS step,
+      {r3("seasonal_point", "seasonal_point")}, {r3("seasonal_point - half", "forecast_lower")},
+      {r3("seasonal_point + half", "forecast_upper")} FROM sw"""
+    pairs = " UNION ALL ".join(f"(SELECT * FROM ({_backtest(k)}))" for k in range(bt.ORIGINS))
+    sql["backtest_errors"] = errors(True).replace("SELECT count(*)", "SELECT model, count(*)").replace("FROM al", f"FROM ({pairs}) GROUP BY model")
+    sql["baseline_choice"] = with_(r, _baselines(), f"""er AS (
+  SELECT entity_id, model, count(*) AS n, sqrt(avg((a - f) * (a - f))) AS rmse, avg(abs(a - f)) AS mae,
+         100 * avg(CASE WHEN a <> 0 THEN abs((a - f) / a) END) AS mape, list_position({list(bt.MODELS)}, model) AS place
+  FROM al GROUP BY entity_id, model)""") + f"""SELECT entity_id, model, {r3("rmse", "rmse")}, {r3("mae", "mae")}, n, models
+      FROM (SELECT *, count(*) OVER (PARTITION BY entity_id) AS models,
+              row_number() OVER (PARTITION BY entity_id ORDER BY n DESC, round(rmse, 9), place) AS k FROM er) WHERE k = 1"""
     sql["arima_orders"] = with_(r, SPLIT, _arima()) + f"SELECT p, d, q, n_hours, {r3('aic', 'aic')} FROM fits"
     both = with_(r, SPLIT, GRID, _seasonal(), _arima(), ENSEMBLE)
     sql["ensemble_forecast"] = both + f"""SELECT timestamp, coalesce(step, 0) AS step, {r3("seasonal_point", "seasonal_point")},

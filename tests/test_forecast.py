@@ -196,3 +196,61 @@ def test_each_series_is_forecast_a_week_like_a_table_of_its_own(make):
         for c in ("seasonal_point", "ensemble_point", "forecast_lower", "forecast_upper"):
             assert np.allclose(mine[c], alone[c], atol=1e-6)
         assert not np.allclose(alone["ensemble_point"], alone["seasonal_point"])
+
+
+def wandering(n_series, known, ahead, size, seed):
+    """Series whose slope changes a little every hour, with noise 1 around them."""
+    rng = np.random.default_rng(seed)
+    per_hour = size * math.sqrt(forecast.HINGES / forecast.HINGE_RANGE / known) / known
+    slope = np.cumsum(rng.normal(0, per_hour, (n_series, known + ahead)), axis=1)
+    return 200 + np.cumsum(slope, axis=1) + rng.normal(0, 1, slope.shape)
+
+
+def test_widening_interval_covers_planted_trends(make):
+    known, ahead = 24 * 28, 24 * 7
+    values = wandering(60, known, ahead, 40.0, 21)
+    readings = hours(make, **{f"e{i}": v[:known] for i, v in enumerate(values)})
+    by = ["entity_id"]
+    model = forecast.train_seasonal(readings, by).cache()
+    assert model.agg(F.expr("median(drift)")).first()[0] == pytest.approx(40, rel=0.4)
+    actual = hours(make, **{f"e{i}": v for i, v in enumerate(values)}).where(F.col("time") > F.lit(START + dt.timedelta(hours=known - 1)))
+    grid = actual.select(*by, F.col("time").alias("timestamp"), "value")
+
+    def covered(widen):
+        table = forecast.seasonal_forecast(grid, model, by, 0.9, widen)
+        return table.agg(F.avg(F.col("value").between(F.col("forecast_lower"), F.col("forecast_upper")).cast("int"))).first()[0]
+
+    assert covered(True) == pytest.approx(0.9, abs=0.07)
+    assert covered(False) < 0.5
+
+
+def test_widening_interval_keeps_the_history_and_grows(make):
+    readings = hours(make, a=wandering(1, 24 * 14, 0, 20.0, 22)[0])
+    model = forecast.train_seasonal(readings)
+    grid = forecast.future_grid(readings, 2 * 24 * 60)
+    narrow, wide = (forecast.seasonal_forecast(grid, model, widen=w).toPandas().sort_values("timestamp") for w in (False, True))
+    past = wide["step"].isna()
+    half = (wide["forecast_upper"] - wide["forecast_lower"])[~past].to_numpy()
+    assert np.array_equal(wide["forecast_upper"][past], narrow["forecast_upper"][narrow["step"].isna()])
+    assert (np.diff(half) > 0).all() and np.allclose(wide["seasonal_point"], narrow["seasonal_point"])
+    with pytest.raises(ValueError):
+        forecast.seasonal_forecast(grid, model.drop("drift"), widen=True)
+
+
+def test_missed_trend_is_that_of_a_line_through_the_last_stretch(spark):
+    """The closed form against lines fitted to a change of slope at each place."""
+    ahead, rest, fine = 0.3, 1 - forecast.HINGE_RANGE, 2000
+    x = (np.arange(fine) + 0.5) / fine * rest
+    missed = []
+    for at in x[::20]:
+        line = np.polyfit(x, np.maximum(x - at, 0), 1)
+        missed.append((rest + ahead - at - np.polyval(line, rest + ahead)) ** 2)
+    want = 4 * forecast.HINGES / forecast.HINGE_RANGE * (np.mean(missed) * rest + ahead**3 / 3)
+    got = spark.range(1).select(forecast.trend_variance(F.lit(ahead), F.lit(2.0)), forecast.trend_variance(F.lit(-0.1), F.lit(2.0))).first()
+    assert got[0] == pytest.approx(want, rel=1e-2) and got[1] == 0
+
+
+def test_arima_by_two_keys(make):
+    readings = hours(make, a=sine(60), b=sine(60, 5)).withColumn("site", F.lit(1))
+    fits = forecast.arima_orders(readings, ["entity_id", "site"], 3)
+    assert fits.count() == 36 and fits.select("entity_id", "site").distinct().count() == 2

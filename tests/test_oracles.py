@@ -48,6 +48,8 @@ QUICK = [
     "sketch_profile",
     "alert_episodes",
     "greedy_events",
+    "widening_interval",
+    "baseline_choice",
 ]
 
 
