@@ -3,7 +3,8 @@
 The merge list itself says how far the end of a text can reach back: ``sufficient_lookahead``. A
 boundary between tokens that lies further from the end of what has been read is final, so the
 transducer emits the tokens before it and keeps a buffer of constant size, however long the text is.
-Merging runs over many pieces in lock-step: in each round every piece applies its best-ranked merge
+A text is read in steps: its closed pieces are stable, an open one is carried on, and one that stays open is
+merged as it comes. Merging runs over many pieces in lock-step: in each round every piece applies its best-ranked merge
 wherever it occurs. Pieces (words, numbers, runs of signs) are what the tokenizer's pattern splits.
 
 Decoding maps tokens to bytes and bytes to text with a decoder that keeps the bytes of an unfinished
@@ -27,10 +28,19 @@ from sensorloom.session import ship
 # How the tokenizer splits a text into pieces (fixed values of the vocabulary's format).
 WHITE = r"\t-\r \x85\xa0  -     　"
 PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
+WHITE_RUN = regex.compile(rf"[{WHITE}]*")
+#: What a piece can go on with, by its last character.
+RUNS = (regex.compile(r"\p{L}*"), regex.compile(r"\p{N}*"), WHITE_RUN, regex.compile(rf"[^{WHITE}\p{{L}}\p{{N}}]*"))
+#: Characters after a piece that settle where it ends: the rest of a contraction.
+DECIDING_CHARS = 3
+#: A text is read in steps of so many characters; a piece that stays open longer than that is merged as it comes.
+STEP_CHARS = 1 << 14
+OPEN_CHARS = 1 << 10
 #: Tokens are emitted from a buffer of so many bytes beside the lookahead.
 STEP_BYTES = 512
 #: Pieces that a task remembers, at most.
 REMEMBERED = 200_000
+REMEMBERED_CHARS = 1 << 23
 #: Decoded at a time.
 CHUNK_TOKENS = 1 << 16
 
@@ -188,26 +198,65 @@ class Transducer:
 
 
 class Encoder:
-    """Texts to tokens; remembers the tokens of frequent pieces, within a bound."""
+    """Texts to tokens, a step of each at a time: closed pieces are final, a long open one goes through a ``Transducer``.
+
+    Texts advance side by side, so that the new pieces of all their steps merge in one lock-step pass.
+    Beside the tokens, a text holds one step, an open piece of less than ``OPEN_CHARS`` characters, or the
+    buffer of its transducer. Tokens of pieces are remembered within a bound.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.known = vocabulary, {}
-        self.special = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(vocabulary.special, key=len, reverse=True)) + ")") if vocabulary.special else None
-
-    def split(self, text: str) -> list[str]:
-        """Pieces; a special token in the text is a piece of its own, which no other piece can equal."""
-        if self.special is None or not any(s in text for s in self.vocabulary.special):
-            return PIECES.findall(text)
-        out = []
-        for i, part in enumerate(self.special.split(text)):
-            out += [part] if i % 2 else PIECES.findall(part)
-        return out
+        self.vocabulary, self.known, self.held = vocabulary, {}, 0
+        self.special = regex.compile("|".join(regex.escape(s) for s in sorted(vocabulary.special, key=len, reverse=True))) if vocabulary.special else None
+
+    def stream(self, text: str) -> Iterator[tuple[bytes, list[str]]]:
+        """Steps of a text: final tokens of a long piece, and the pieces that are closed after it.
+
+        A special token in the text is a piece of its own, which no other piece can equal.
+        """
+        at = 0
+        if self.special is not None and any(s in text for s in self.vocabulary.special):
+            for found in self.special.finditer(text):
+                yield from self._plain(text, at, found.start())
+                yield b"", [found.group()]
+                at = found.end()
+        yield from self._plain(text, at, len(text))
+
+    def _plain(self, text: str, at: int, end: int) -> Iterator[tuple[bytes, list[str]]]:
+        tail, run, tokens = "", None, b""
+        while at < end:
+            step = min(end, at + STEP_CHARS)
+            buffer, last, at = tail + text[at:step], step == end, step
+            if run is not None:
+                stop = run.match(buffer).end()
+                if stop == len(buffer) and not last:
+                    # White space leaves its last character to what follows, so one is held back.
+                    yield tokens + _packed(inner.feed(buffer[:-1].encode())), []
+                    tail, tokens = buffer[-1:], b""
+                    continue
+                if stop < len(buffer) and run is WHITE_RUN:
+                    stop -= 1
+                tokens += _packed(inner.feed(buffer[:stop].encode())) + inner.finish().astype(np.int32).tobytes()
+                buffer, run = buffer[stop:], None
+            pieces, tail = PIECES.findall(buffer), ""
+            while pieces and not last and len(tail) < DECIDING_CHARS:
+                tail = pieces.pop() + tail
+            yield tokens, pieces
+            tokens = b""
+            if len(tail) >= max(OPEN_CHARS, DECIDING_CHARS) and PIECES.match(tail).end() == len(tail):
+                run = next(r for r in RUNS if r.match(tail[-1]).end())
+                inner = Transducer(self.vocabulary)
+                tokens, tail = _packed(inner.feed(tail[:-1].encode())), tail[-1:]
 
     def _learn(self, pieces: set[str]) -> None:
-        if len(self.known) + len(pieces) > REMEMBERED:
+        """Remember the tokens of ``pieces``, whatever else is forgotten."""
+        new = pieces - self.known.keys()
+        if len(self.known) + len(new) > REMEMBERED or self.held > REMEMBERED_CHARS:
             self.known.clear()
+            new, self.held = pieces, 0
+        self.held += sum(map(len, new))
         short, whole = [], Transducer(self.vocabulary).full
-        for p in pieces:
+        for p in new:
             if p in self.vocabulary.special:
                 self.known[p] = np.array([self.vocabulary.special[p]], np.int32).tobytes()
                 continue
@@ -216,21 +265,28 @@ class Encoder:
                 short.append((p, data))
             else:
                 stream = Transducer(self.vocabulary)
-                self.known[p] = np.concatenate([*stream.feed(data), stream.finish()]).astype(np.int32).tobytes()
+                self.known[p] = _packed(stream.feed(data)) + stream.finish().astype(np.int32).tobytes()
         for i in range(0, len(short), 20_000):
             part = short[i : i + 20_000]
             for (p, _), tokens in zip(part, self.vocabulary.merge([d for _, d in part])):
                 self.known[p] = tokens.astype(np.int32).tobytes()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.split(t) for t in texts]
-        wanted = set().union(*split) if split else set()
-        new = wanted - self.known.keys()
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = wanted
-        self._learn(new)
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), np.int32) for pieces in split]
+        streams = [self.stream(t) for t in texts]
+        out: list[list[bytes]] = [[] for _ in texts]
+        running = range(len(texts))
+        while running:
+            steps = [(i, step) for i in running if (step := next(streams[i], None)) is not None]
+            self._learn(set().union(*(pieces for _, (_, pieces) in steps)))
+            for i, (tokens, pieces) in steps:
+                out[i].append(tokens)
+                out[i].append(b"".join(map(self.known.__getitem__, pieces)))
+            running = [i for i, _ in steps]
+        return [np.frombuffer(b"".join(parts), np.int32) for parts in out]
+
+
+def _packed(tokens: Iterator[np.ndarray]) -> bytes:
+    return b"".join(t.astype(np.int32).tobytes() for t in tokens)
 
 
 class Decoder:
@@ -261,7 +317,11 @@ def send_vocabulary(spark: SparkSession, path: str):
 
 
 def encode(docs: DataFrame, sent, text: str = "text", to: str = "ids") -> DataFrame:
-    """Add the token ids of each whole text as ``to`` (array of int); a null text counts as empty and has none."""
+    """Add the token ids of each whole text as ``to`` (array of int); a null text counts as empty and has none.
+
+    All other columns stay; one called ``to`` is replaced. Rows do not meet, so repeated rows and null ids
+    change nothing, and an empty table gives an empty one. A text may be as long as a value can be.
+    """
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(sent.value)
@@ -279,7 +339,10 @@ def encode(docs: DataFrame, sent, text: str = "text", to: str = "ids") -> DataFr
 
 
 def decode(df: DataFrame, sent, ids: str = "ids", to: str = "decoded") -> DataFrame:
-    """Add the text of an array of token ids as ``to``; null or empty arrays give the empty text."""
+    """Add the text of an array of token ids as ``to``; null or empty arrays give the empty text.
+
+    All other columns stay; one called ``to`` is replaced. An empty table gives an empty one.
+    """
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for lists in batches:

@@ -43,6 +43,37 @@ def test_like_the_library(vocabulary, library):
         assert text == library.decode(w.ids, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("step, open_", [(1, 1), (2, 3), (7, 5), (64, 8), (1000, 100)])
+def test_steps_of_any_size_like_the_library(vocabulary, library, monkeypatch, step, open_):
+    monkeypatch.setattr(bpe, "STEP_CHARS", step)
+    monkeypatch.setattr(bpe, "OPEN_CHARS", open_)
+    rng = random.Random(step)
+    own = ["".join(rng.choice("ab \n '1.re") * rng.randrange(1, 9) for _ in range(rng.randrange(30))) for _ in range(400)]
+    own += [t[:3000] for t in texts()[2500:]]
+    got = bpe.Encoder(vocabulary).encode(own)
+    want = library.encode_batch(own, add_special_tokens=False)
+    assert [g.tolist() for g in got] == [w.ids for w in want]
+
+
+@pytest.mark.parametrize("text", [" " * 200_000 + "a", "\n" * 100_000 + "a", "ab" * 50_000, "=" * 100_000 + " 1", "1" * 100_000])
+def test_long_runs_stream_and_hold_little(vocabulary, library, text):
+    encoder, most, out = bpe.Encoder(vocabulary), 0, []
+    for tokens, pieces in encoder.stream(text):
+        most = max(most, sum(map(len, pieces)))
+        encoder._learn(set(pieces))
+        out += [tokens, *map(encoder.known.__getitem__, pieces)]
+    assert np.frombuffer(b"".join(out), np.int32).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert most <= bpe.STEP_CHARS + bpe.OPEN_CHARS
+
+
+def test_forgets_within_its_bound(vocabulary, library, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 50)
+    encoder, own = bpe.Encoder(vocabulary), texts()[:200]
+    for t in own:
+        assert encoder.encode([t])[0].tolist() == library.encode(t, add_special_tokens=False).ids
+        assert len(encoder.known) <= 50 + len(set(bpe.PIECES.findall(t)))
+
+
 def test_decodes_broken_utf8_like_the_library(vocabulary, library):
     ids = random.Random(3).choices(range(vocabulary.size), k=2000)
     assert bpe.Decoder(vocabulary).feed(np.array(ids), True) == library.decode(ids, skip_special_tokens=False)
