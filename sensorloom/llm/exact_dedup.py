@@ -14,10 +14,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import free_name, id_back, id_of, join_classes, release, text_of
+from sensorloom.llm.common import id_back, id_of, join_classes, release, text_of
 from sensorloom.session import freeze, ship
 
 CELLS_PER_ROW = 16
@@ -111,6 +111,13 @@ def _probe(segments: int, sent):
     return F.arrow_udf(run, "boolean")
 
 
+def _segment_of(segments: int):
+    def run(h: pa.Array) -> pa.Array:
+        return pa.array(cells(h.to_numpy(zero_copy_only=False), segments)[0], pa.int64())
+
+    return F.arrow_udf(run, "long")
+
+
 def _probe_segment(segments: int):
     def run(key: tuple[pa.Scalar, ...], hashes: pa.Table, bits: pa.Table) -> pa.Table:
         h = hashes.column("_hash").to_numpy()
@@ -132,8 +139,7 @@ def flag_repeated(df: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
         sent = spark.sparkContext.broadcast({r.segment: bytes(r.bits) for r in bits.collect()})
         return df.withColumn("_repeated", _probe(segments, sent)("_hash"))
     # The same second pass with the parts changed over: each distinct hash goes to its segment.
-    segment = F.udf(lambda h: int(cells(np.array([h]), segments)[0][0]), "long")
-    slim = hashes.distinct().withColumn("segment", segment("_hash"))
+    slim = hashes.distinct().withColumn("segment", _segment_of(segments)("_hash"))
     found = slim.groupBy("segment").cogroup(bits.groupBy("segment")).applyInArrow(_probe_segment(segments), "_hash long")
     found = freeze(found, "repeated").withColumn("_repeated", F.lit(True))
     return df.join(found, "_hash", "left").fillna({"_repeated": False})
@@ -144,23 +150,21 @@ def exact_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", filter_
 
     Texts are equal when their bytes are; a null text equals the empty one. Of equal texts the row
     with the largest id stays (null ids are largest of all and give a null ``keep_id``). If whole
-    rows repeat, id and text alike, one of them stays. An empty table gives an empty table; the four
+    rows repeat, id and text alike, one of them stays: that with the last place in the written table
+    of possible repeats. Columns of any name and, as far as Parquet can hold them, type pass through. An empty table gives an empty table; the four
     new names replace columns of ``docs`` that are called so.
     """
     new = ("keep_id", "group_size", "kept", "text_sha256")
-    kept_names = [c for c in docs.columns if c.lower() not in new]
-    df = flag_repeated(docs.select(*kept_names, F.xxhash64(text_of(text)).alias("_hash")), filter_bytes)
-    df = df.withColumn("text_sha256", F.sha2(text_of(text).cast("binary"), 256))
+    row = F.struct(*[F.col(c) for c in docs.columns if c.lower() not in new]).alias("_row")
+    rows = docs.select(row, id_of(id).alias("_id"), text_of(text).alias("_text"), F.xxhash64(text_of(text)).alias("_hash"))
+    df = flag_repeated(rows, filter_bytes).withColumn("text_sha256", F.sha2(F.col("_text").cast("binary"), 256)).drop("_text", "_hash")
     alone = df.where("not _repeated").select(
-        *kept_names, F.col(id).cast("long").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256"
+        "_row.*", id_back("_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256"
     )
-    number = free_name(docs, "copy")
-    again = df.where("_repeated").withColumn("_id", id_of(id))
+    # Numbered as they are written, so that equal rows differ and copies of one text and id can be spread.
+    again = freeze(df.where("_repeated").drop("_repeated").withColumn("_n", F.monotonically_increasing_id()), "repeated_rows")
     # Row groups first, so that a text with very many copies is summed up before it meets itself.
-    sizes = again.groupBy("text_sha256").agg(F.max("_id").alias("_keep"), F.count("*").alias("group_size"))
-    first = F.row_number().over(Window.partitionBy("text_sha256", "_id").orderBy("_id"))
-    joined = join_classes(again.withColumn(number, first), freeze(sizes, "copies"), "text_sha256", "group_size", "_id")
-    groups = joined.select(
-        *kept_names, id_back("_keep").alias("keep_id"), "group_size", ((F.col("_id") == F.col("_keep")) & (F.col(number) == 1)).alias("kept"), "text_sha256"
-    )
-    return alone.unionByName(groups)
+    sizes = again.groupBy("text_sha256").agg(F.max(F.struct("_id", "_n")).alias("_keep"), F.count("*").alias("group_size"))
+    joined = join_classes(again, freeze(sizes, "copies"), "text_sha256", "group_size", "_n")
+    stays = F.col("_n") == F.col("_keep._n")
+    return alone.unionByName(joined.select("_row.*", id_back("_keep._id").alias("keep_id"), "group_size", stays.alias("kept"), "text_sha256"))

@@ -51,6 +51,24 @@ def test_empty_and_clashing_columns(documents):
     assert sorted(r.kept for r in rows) == [False, True] and {r.copy for r in rows} == {"src0"}
 
 
+@pytest.mark.parametrize("filter_bytes", [ed.FILTER_BYTES, 0])
+def test_own_names_and_maps_pass_through(documents, filter_bytes):
+    df = documents(["t", "t", "u"]).withColumnsRenamed({"lang": "_hash", "source": "_n", "n_chars": "_salt"})
+    df = df.selectExpr("*", "map(doc_id, 'x') as _keep", "'h' as _hot", "1 as _row")
+    out = ed.exact_dedup(df, filter_bytes=filter_bytes)
+    assert out.columns == [*df.columns, "keep_id", "group_size", "kept", "text_sha256"]
+    got = {r.doc_id: (r._hash, r._n, r._salt, r._keep, r._hot, r._row, r.kept) for r in out.collect()}
+    assert got == {i: ("en", "src0", 1, {i: "x"}, "h", 1, i > 0) for i in range(3)}
+
+
+def test_one_of_many_copies_without_ids_stays(documents):
+    texts = ["hot"] * 3000 + [f"t{i}" for i in range(3000)]
+    out = ed.exact_dedup(documents(texts, [None] * 3000 + list(range(3000)), parts=6))
+    rows = out.where("text = 'hot'").collect()
+    assert sum(r.kept for r in rows) == 1 and {(r.keep_id, r.group_size) for r in rows} == {(None, 3000)}
+    assert out.where("kept").count() == 3001
+
+
 def test_no_repeat_is_missed():
     h = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 5000)
     segment, at = ed.cells(np.concatenate([h, h[:500]]), 3)
