@@ -15,6 +15,7 @@ tasks, beyond that it stays in Spark and the words of the texts are joined to it
 
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -76,16 +77,12 @@ class Network:
         """Of each target word, given the words around it."""
         # Sorted by class once, the members of each class are slices.
         order, cls, member, cut = _by_class(target)
-        _, h = self.hidden(around[order])
+        _, h = self.hidden(around.take(order, axis=0))
         z = h @ self.classes
-        z += self.class_bias
-        log_p = z[np.arange(len(z)), cls] - _log_sum(z)
-        for own, some, rows in _groups(cut):
-            z = h.take(rows, axis=0) @ self.members[some]
-            z += self.member_bias[some][:, None, :]
-            z = z.reshape(-1, z.shape[-1])
-            rows = rows.ravel()
-            log_p[rows[own]] += (z[np.arange(len(z)), member[rows]] - _log_sum(z))[own]
+        log_p = _log_share(z, self.class_bias[:, None], cls)
+        for some, rows, theirs, own in _groups(cut):
+            z[theirs] = (h[rows] @ self.members[some]).reshape(-1, z.shape[-1])[own]
+        log_p += _log_share(z, self.member_bias.T.take(cls, axis=1), member)
         out = np.empty_like(log_p)
         out[order] = log_p
         return out
@@ -95,30 +92,30 @@ class Network:
         out, n = into or Network(np.empty_like(self.flat)), len(target)
         out.flat[...] = 0
         order, cls, member, cut = _by_class(target)
-        near = around[order]
+        near = around.take(order, axis=0)
         x, h = self.hidden(near)
         # Hidden values lie between -1 and 1, which bounds all scores: exponentials of small scores need no shift.
-        bound = max((np.abs(w).sum(axis=-2) + np.abs(b)).max() for w, b in ((self.classes, self.class_bias), (self.members, self.member_bias)))
+        bound = max((np.ones(HIDDEN, w.dtype) @ np.abs(w) + np.abs(b)).max() for w, b in ((self.classes, self.class_bias), (self.members, self.member_bias)))
         g = h @ self.classes
         g += self.class_bias
         _softmax(g, n, cls, bound)
         np.matmul(h.T, g, out=out.classes)
         g.sum(axis=0, out=out.class_bias)
         back = g @ self.classes.T
-        for own, some, rows in _groups(cut):
-            seen = h.take(rows, axis=0)
-            g = seen @ self.members[some]
-            g += self.member_bias[some][:, None, :]
-            rows = rows.ravel()
-            flat = g.reshape(-1, g.shape[-1])
-            _softmax(flat, n, member[rows], bound)
-            if len(own) < len(flat):
-                filled = np.ones(len(flat), bool)
-                filled[own] = False
-                flat[filled] = 0
-            out.members[some] = np.swapaxes(seen, -1, -2) @ g
-            out.member_bias[some] = g.sum(axis=-2)
-            back[rows[own]] += (g @ np.swapaxes(self.members[some], -1, -2)).reshape(-1, HIDDEN).take(own, axis=0)
+        groups = list(_groups(cut))
+        g = np.empty_like(back)
+        for some, rows, theirs, own in groups:
+            g[theirs] = (h[rows] @ self.members[some]).reshape(-1, g.shape[-1])[own]
+        g += self.member_bias.take(cls, axis=0)
+        _softmax(g, n, member, bound)
+        for some, rows, theirs, own in groups:
+            seen, part = h[rows], g[theirs]
+            if isinstance(own, np.ndarray):
+                part = np.zeros(seen.shape[:-1] + part.shape[-1:], part.dtype)
+                part.reshape(-1, part.shape[-1])[own] = g[theirs]
+            out.members[some] = np.swapaxes(seen, -1, -2) @ part
+            out.member_bias[some] = part.sum(axis=-2)
+            back[theirs] += (part @ np.swapaxes(self.members[some], -1, -2)).reshape(-1, HIDDEN)[own]
         h *= h
         np.subtract(1, h, out=h)
         back *= h
@@ -126,44 +123,73 @@ class Network:
         back.sum(axis=0, out=out.hidden_bias)
         to_words = (back @ self.context.T).reshape(-1, DIMENSIONS)
         # Rows of equal words are added up by sorting the words, not number by number.
-        words = near.ravel()
-        sort = np.argsort(words.astype(np.int16), kind="stable")
-        found, first = np.unique(words[sort], return_index=True)
-        out.embedding[found] = np.add.reduceat(to_words.take(sort, axis=0), first, axis=0)
+        words = near.astype(np.int16).ravel()
+        sort = np.argsort(words, kind="stable")
+        words = words[sort]
+        first = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
+        out.embedding[words[first]] = np.add.reduceat(to_words.take(sort, axis=0), first, axis=0)
         return out.flat
 
 
-def _by_class(target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _by_class(target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
     """Order by class, class and member of each word in that order, and where each class begins."""
-    cls, member = np.divmod(target, SIZE // CLASSES)
+    target = target.astype(np.int16)
+    cls = target // (SIZE // CLASSES)
     order = np.argsort(cls.astype(np.int8), kind="stable")
-    cls, member = cls[order], member[order]
-    return order, cls, member, np.searchsorted(cls, np.arange(CLASSES + 1))
+    member = (target - cls * (SIZE // CLASSES))[order]
+    cls = cls[order]
+    return order, cls, member, np.searchsorted(cls, np.arange(CLASSES + 1, dtype=np.int16)).tolist()
 
 
-def _groups(cut: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Classes that are handled together: (places that are rows of theirs, classes, rows by class and place).
+def _groups(cut: list[int]) -> Iterator[tuple]:
+    """Classes that are handled together: (classes, rows by class and place, rows that are theirs, places of these).
 
-    Classes of about as many rows share one call; the shorter ones are filled up with other rows.
+    Classes of about as many rows share one call; the shorter ones are filled up with other rows. A class alone is a slice.
     """
-    count = np.diff(cut)
-    size = np.ceil(np.log2(np.maximum(count, 8))).astype(np.int64) * (count > 0)
-    for k in np.unique(size[size > 0]):
-        some = np.flatnonzero(size == k)
-        place = np.arange(count[some].max())
-        own = np.flatnonzero((place < count[some][:, None]).ravel())
-        yield own, some, np.minimum(cut[some][:, None] + place, cut[-1] - 1)
+    sizes: dict[int, list[int]] = {}
+    for c, (i, j) in enumerate(zip(cut, cut[1:])):
+        if i < j:
+            sizes.setdefault(max(j - i - 1, 7).bit_length(), []).append(c)
+    begin = np.array(cut)
+    for some in sizes.values():
+        if len(some) == 1:
+            rows = slice(cut[some[0]], cut[some[0] + 1])
+            yield some[0], rows, rows, slice(None)
+        else:
+            some = np.array(some)
+            count = begin[some + 1] - begin[some]
+            place = np.arange(count.max())
+            own = np.flatnonzero((place < count[:, None]).ravel())
+            rows = np.minimum(begin[some][:, None] + place, cut[-1] - 1)
+            yield some, rows, rows.ravel()[own], own
 
 
 #: exp of scores up to here is far from the limits of a float.
 SAFE = 40.0
 
 
-def _log_sum(z: np.ndarray) -> np.ndarray:
-    top = z.max(axis=1, keepdims=True)
-    z = z - top
+def _log_share(z: np.ndarray, bias: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """For each row of ``z`` the logarithm of the share that the given column has in its exponentials.
+
+    ``bias`` is added first; it has a row for each column of ``z``.
+    """
+    # With the rows turned into columns, the largest number and the sum of each are found faster.
+    z = np.add(z.T, bias, order="C")
+    right, top = z[column, np.arange(z.shape[1])], z.max(axis=0)
+    z -= top
     np.exp(z, out=z)
-    return top[:, 0] + np.log(z.sum(axis=1))
+    # Added up by eighths and then in pairs, in the order in which numpy sums a row.
+    total = z[:8].copy()
+    for i in range(8, len(z), 8):
+        total += z[i : i + 8]
+    while len(total) > 1:
+        total = total[::2] + total[1::2]
+    return right - (top + np.log(total[0]))
+
+
+def _places(z: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """Of one number in each row of ``z``, when its rows stand one behind the other."""
+    return np.arange(0, z.size, z.shape[1]) + column
 
 
 def _softmax(z: np.ndarray, n: int, right: np.ndarray, bound: float) -> None:
@@ -174,7 +200,7 @@ def _softmax(z: np.ndarray, n: int, right: np.ndarray, bound: float) -> None:
     total = z.sum(axis=1, keepdims=True)
     total *= n
     z /= total
-    z[np.arange(len(z)), right] -= np.float32(1 / n)
+    z.ravel()[_places(z, right)] -= np.float32(1 / n)
 
 
 @dataclass
@@ -191,12 +217,18 @@ class Vocabulary:
             out = np.where(self.hashes[at] == hashes, self.rank[at], out)
         return out
 
-    def known(self, hashes: np.ndarray) -> np.ndarray:
-        """Which words are tokens by themselves."""
-        return self.hashes[self._places(hashes)] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
+    @cached_property
+    def _begin(self) -> np.ndarray:
+        """Where the hashes with each beginning of 16 bits begin."""
+        return np.searchsorted(self.hashes >> np.uint64(48), np.arange(1 << 16, dtype=np.uint64))
 
     def _places(self, hashes: np.ndarray) -> np.ndarray:
-        return np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        """Where each hash stands, if it is there."""
+        last = len(self.hashes) - 1
+        at = np.minimum(self._begin[hashes >> np.uint64(48)], last)
+        for _ in range(np.diff(self._begin, append=last + 1).max() - 1):
+            at = np.minimum(at + (self.hashes[at] < hashes), last)
+        return at
 
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -208,12 +240,15 @@ def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def around(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
     """The words at each offset of each word, or the end mark."""
-    place = np.arange(len(tokens)) - np.repeat(first[:-1], np.diff(first))
-    left = np.repeat(np.diff(first), np.diff(first)) - place
     out = np.full((len(tokens), len(OFFSETS)), SIZE, np.int64)
+    begin, end = first[:-1], first[1:]
     for k, o in enumerate(OFFSETS):
-        at = np.flatnonzero((place + o >= 0) & (left - o >= 1))
-        out[at, k] = tokens[at + o]
+        to, of = (slice(-o, None), slice(o)) if o < 0 else (slice(-o), slice(o, None))
+        out[to, k] = tokens[of]
+        # The words at the edge of a text got some of the next text's.
+        for i in range(abs(o)):
+            at = begin + i if o < 0 else end - 1 - i
+            out[at[(at >= begin) & (at < end)], k] = SIZE
     return out
 
 
@@ -221,22 +256,31 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def out(h, n, spelt):
         return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64)), spelt], ["word", "n", "spelt"])
 
-    def none():
-        return np.zeros(0, np.uint64), np.zeros(0), pa.array([], pa.large_binary())
+    def merged(held):
+        hashes, counts, spelt = zip(*held)
+        hashes, first, which = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        return hashes, np.bincount(which, np.concatenate(counts), len(hashes)), pa.concat_arrays(spelt).take(pa.array(first))
+
+    def full(held):
+        return sum(len(h) for h, _, _ in held) > HELD_WORDS or sum(x.nbytes for _, _, x in held) > HELD_BYTES
 
-    hashes, counts, spelt = none()
+    none = np.zeros(0, np.uint64), np.zeros(0), pa.array([], pa.large_binary())
+    held = [none]
     for batch in batches:
         for piece in slices(batch, 0):
             data, offsets = flat_bytes(piece.column(0))
             begin, end, _ = W.spans(data, offsets)
             h, first, n = np.unique(W.word_hashes(data, begin, end), return_index=True, return_counts=True)
-            both = pa.concat_arrays([spelt, rare.cut_out(data, begin[first], end[first])])
-            hashes, first, which = np.unique(np.concatenate([hashes, h]), return_index=True, return_inverse=True)
-            counts, spelt = np.bincount(which, np.concatenate([counts, n]), len(hashes)), both.take(pa.array(first))
-            if len(hashes) > HELD_WORDS or spelt.nbytes > HELD_BYTES:
-                yield out(hashes, counts, spelt.cast(pa.binary()))
-                hashes, counts, spelt = none()
-    yield out(hashes, counts, spelt.cast(pa.binary()))
+            held.append((h, n, rare.cut_out(data, begin[first], end[first])))
+            # Merged only when there may be too many: each piece repeats words of those before.
+            if full(held):
+                held = [merged(held)]
+                if full(held):
+                    h, n, spelt = held[0]
+                    yield out(h, n, spelt.cast(pa.binary()))
+                    held = [none]
+    h, n, spelt = merged(held)
+    yield out(h, n, spelt.cast(pa.binary()))
 
 
 def build_vocabulary(docs: DataFrame, text: str = "text") -> Vocabulary:
@@ -329,7 +373,7 @@ def score(docs: DataFrame, vocabulary: Vocabulary, network: Network, text: str =
                 context = around(tokens, first)
                 parts = [network.log_probabilities(context[i : i + 4 * BATCH], tokens[i : i + 4 * BATCH]) for i in range(0, len(tokens), 4 * BATCH)]
                 log_p = np.concatenate([np.zeros(0), *parts])
-                at = np.flatnonzero(~vocabulary.known(h))
+                at = np.flatnonzero(tokens >= SIZE - LENGTHS)
                 if own is None:
                     others.append(_others(at, data, begin, end, h, first))
                 else:

@@ -116,3 +116,32 @@ def test_rare_words_are_counted_over_all_documents(documents):
     words = [f"w{i:05}" for i in range(3000)]
     vocabulary = scoring.build_vocabulary(documents([" ".join(words[k::3] * 2) for k in range(3)]))
     assert vocabulary.rare.table.count() == 3000 - scoring.FREQUENT
+
+
+def test_no_row_beyond_the_words_passes_a_softmax(monkeypatch):
+    """Each word stands once among the classes and once among its class's members; filling rows are no part of that."""
+    rng, rows, plain_softmax = np.random.default_rng(4), [], scoring._softmax
+    context = rng.integers(0, scoring.SIZE + 1, (1000, 4))
+    target = np.minimum(rng.zipf(1.3, 1000), scoring.SIZE) - 1
+    monkeypatch.setattr(scoring, "_softmax", lambda z, *rest: rows.append(z.size // 32) or plain_softmax(z, *rest))
+    scoring.Network().gradient(context, target)
+    assert rows == [1000, 1000]
+
+
+def test_words_are_found_by_their_hash():
+    """Also when hashes begin alike."""
+    rng = np.random.default_rng(5)
+    for shift in (0, 8, 40):
+        hashes = np.unique(rng.integers(0, 2**64, 300, np.uint64) >> np.uint64(shift))
+        rank = rng.permutation(len(hashes))
+        vocabulary = scoring.Vocabulary(hashes, rank)
+        asked = np.concatenate([hashes, hashes + np.uint64(1), np.array([0, 2**64 - 1], np.uint64)])
+        known = dict(zip(hashes.tolist(), rank.tolist()))
+        assert vocabulary.tokens(asked, np.full(len(asked), 7)).tolist() == [known.get(h, scoring.SIZE - 7) for h in asked.tolist()]
+
+
+def test_edges_of_short_texts():
+    lengths = [0, 1, 0, 0, 2, 3, 0, 5, 1, 0]
+    texts = np.split(np.arange(sum(lengths)), np.cumsum(lengths)[:-1])
+    got = scoring.around(np.arange(sum(lengths)), np.concatenate([[0], np.cumsum(lengths)]))
+    assert got.tolist() == [[t[i + o] if 0 <= i + o < len(t) else scoring.SIZE for o in scoring.OFFSETS] for t in texts for i in range(len(t))]
